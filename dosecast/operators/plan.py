@@ -12,6 +12,8 @@ TOTAL = "total_medicines_required_per_cycle"
 
 
 _ORDER = ("tier", "_subject_order", "_mapping_order")
+# never null, so their first value is that of the first row: one aggregate serves all of them
+_FIRST_ROW = ("visit_count_per_cycle", "parsed_last_visit_cycle", "parsed_last_visit_day")
 
 
 def plan_rows(with_drug: DataFrame) -> DataFrame:
@@ -21,15 +23,21 @@ def plan_rows(with_drug: DataFrame) -> DataFrame:
     ``min_by`` skips rows whose order is null, which is what leaves nulls out. All aggregates combine
     on the map side, so a subject with very many rows reaches the shuffle as one row per task.
     """
-    others = [c for c in with_drug.columns if c not in (*PLAN_KEYS, *_ORDER, TOTAL)]
+    known = (*PLAN_KEYS, *_ORDER, *_FIRST_ROW, TOTAL, "subject_country")
+    others = [c for c in with_drug.columns if c not in known]
     ordered = with_drug.withColumn("_order", F.struct(*_ORDER))
     plan = ordered.groupBy(*PLAN_KEYS).agg(
         F.coalesce(F.sum(TOTAL), F.lit(0)).cast("bigint").alias(TOTAL),
+        F.min_by(F.struct(*_FIRST_ROW), "_order").alias("_first"),
         *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_order"))).alias(c) for c in others],
     )
-    return plan.withColumns(
-        {
-            "is_crossover": text.mentions(F.col("last_study_visit_recorded"), "crossover"),
-            "is_tpc": text.mentions(F.col("last_study_visit_recorded"), "tpc"),
-        }
+    visit = F.col("last_study_visit_recorded")
+    return plan.select(
+        *PLAN_KEYS,
+        TOTAL,
+        *others,
+        "_first.*",
+        F.col("country").alias("subject_country"),
+        text.mentions(visit, "crossover").alias("is_crossover"),
+        text.mentions(visit, "tpc").alias("is_tpc"),
     )
