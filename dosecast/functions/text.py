@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dosecast.fixed_values import CYCLE_PATTERN, DAY_PATTERN, DOSE_PREFIX_PATTERN, FILE_KINDS
+from dosecast.fixed_values import CYCLE_PATTERN, DAY_PATTERN, DOSE_PREFIX_PATTERN, FILE_KINDS, NA_TOKENS
 
 # Unicode white space, so that trimming agrees with str.strip()
 WHITESPACE = (
@@ -100,22 +99,23 @@ def study_from_name(name: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(name, f"({pattern})", 1), F.lit(""))
 
 
-def file_kind(name: Column) -> Column:
-    """Kind of a CSV extract by its name, null for files to ignore."""
-    lower = F.lower(name)
-    is_csv = F.endswith(lower, F.lit(".csv"))
+def file_kind(lower_name: Column) -> Column:
+    """Kind of a CSV extract by its lower-case name, null for files to ignore."""
     kind = F.lit(None).cast("string")
     for label, words in reversed(FILE_KINDS.items()):
-        fits = is_csv
+        fits = F.endswith(lower_name, F.lit(".csv"))
         for word in words:
-            fits = fits & F.contains(lower, F.lit(word))
+            fits = fits & F.contains(lower_name, F.lit(word))
         kind = F.when(fits, label).otherwise(kind)
     return kind
 
 
-def is_na(cell: Column, tokens: Sequence[str]) -> Column:
-    """True for cells that stand for a missing value."""
-    return cell.isNull() | cell.isin(*tokens)
+_NA_LIST = ", ".join(f"'{token}'" for token in NA_TOKENS)
+
+
+def without_na(cell: str) -> Column:
+    """SQL expression of a text cell as a column, null where the text stands for a missing value."""
+    return F.expr(f"CASE WHEN {cell} NOT IN ({_NA_LIST}) THEN {cell} END")
 
 
 def check_pattern(pattern: str) -> str:

@@ -74,8 +74,8 @@ def header_positions(header: Column, kind: Kind, header_map: Column | None = Non
     """0-based cell position of every target column in a file, null where the file lacks it."""
     if header_map is not None:
         header = F.transform(header, lambda h: F.coalesce(F.element_at(header_map, text.strip(h)), h))
-    found = [F.array_position(header, F.lit(h)).cast("int") for _, h, _ in kind.fields]
-    return F.array(*[F.when(p > 0, p - 1) for p in found])
+    wanted = F.lit([h for _, h, _ in kind.fields])
+    return F.transform(wanted, lambda h: F.nullif(F.array_position(header, h), F.lit(0)).cast("int") - 1)
 
 
 def conform(records: DataFrame, kind: Kind, run_timestamp: Column) -> DataFrame:
@@ -87,8 +87,7 @@ def conform(records: DataFrame, kind: Kind, run_timestamp: Column) -> DataFrame:
     split = records.withColumn("_cells", csv_text.cells(F.col("record")))
     columns = [F.col("study").alias("study_protocol")]
     for i, (column, _, data_type) in enumerate(kind.fields):
-        cell = F.get("_cells", F.get("positions", F.lit(i)))
-        cell = F.when(~text.is_na(cell, fixed.NA_TOKENS), cell)
+        cell = text.without_na(f"get(_cells, get(positions, {i}))")
         columns.append(values.typed(cell, data_type).alias(column))
     return split.select(
         *columns,

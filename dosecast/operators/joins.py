@@ -11,9 +11,8 @@ SALTS = 64
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows as text plus a flat charge per row and cell; an upper guide for a broadcast."""
-    cells = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns]
-    row = sum(cells[1:], cells[0]).cast("bigint") + 64
+    """Size of the rows written as JSON, field names included: more than a broadcast of them holds."""
+    row = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).cast("bigint")
     return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
 
 

@@ -12,41 +12,61 @@ from dosecast.operators.joins import dimension_join
 SPECIFIC, GENERIC = 0, 1
 _ADDED = {c: kind for c, _, kind in headers(TREATMENT_MAPPING_HEADERS) if c not in (*MATCH_KEYS, "country")}
 _DIM_KEYS = [f"_m_{k}" for k in MATCH_KEYS]
+_SUBJECT_KEYS = [f"_s_{k}" for k in MATCH_KEYS]
+_HELPERS = (*_DIM_KEYS, *_SUBJECT_KEYS, "_m_country", "_s_country")
 
 
 def mapping_side(mapping: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
-    """Normalised mapping rows with lower-case keys, the country tier and an order among rows."""
-    return mapping.select(
+    """Normalised mapping rows with lower-case keys, the country tier, quantities and an order among rows.
+
+    What depends on the mapping alone is worked out here, once per mapping row, not once per match.
+    """
+    given = mapping.withColumns(
+        {c: F.lit(None).cast(kind) for c, kind in _ADDED.items() if c not in mapping.columns}
+    )
+    visits = F.size(text.visit_days(F.col("visit_days")))
+    counted = given.withColumn("visit_count_per_cycle", visits)
+    return counted.select(
         *[F.lower(k).alias(d) for k, d in zip(MATCH_KEYS, _DIM_KEYS, strict=True)],
         F.lower("country").alias("_m_country"),
         F.when(F.col("country").isNull(), GENERIC).otherwise(SPECIFIC).cast("int").alias("tier"),
         F.struct(*order, F.xxhash64(*mapping.columns).alias("_hash")).alias("_mapping_order"),
-        *[
-            F.col(c) if c in mapping.columns else F.lit(None).cast(kind).alias(c)
-            for c, kind in _ADDED.items()
-        ],
+        *_ADDED,
+        "visit_count_per_cycle",
+        (F.col("visit_count_per_cycle") * F.col("dispensing_quantity")).alias("total_medicines_required_per_cycle"),
+        F.array_compact(F.array("study_drug_dispensed", "additional_study_drug_dispensed")).alias("_drugs"),
     )
 
 
-def with_subject_order(subjects: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """Order among subject rows: the given columns, then a row hash."""
+def subject_side(subjects: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """Normalised subjects with lower-case keys, the parsed last visit and an order among rows.
+
+    The order is the given columns, then a row hash.
+    """
     present = [c for c in order if c in subjects.columns]
-    return subjects.withColumn(
-        "_subject_order", F.struct(*present, F.xxhash64(*subjects.columns).alias("_hash"))
+    visit = F.col("last_study_visit_recorded")
+    return subjects.withColumns(
+        {
+            **{s: F.lower(k) for k, s in zip(MATCH_KEYS, _SUBJECT_KEYS, strict=True)},
+            "_s_country": F.lower("country"),
+            "parsed_last_visit_cycle": text.cycle_number(visit),
+            "parsed_last_visit_day": text.day_number(visit),
+            "_subject_order": F.struct(*present, F.xxhash64(*subjects.columns).alias("_hash")),
+        }
     )
 
 
 def subject_keys() -> dict[str, Column]:
-    return {d: F.lower(k) for k, d in zip(MATCH_KEYS, _DIM_KEYS, strict=True)}
+    return {d: F.col(k) for k, d in zip(_SUBJECT_KEYS, _DIM_KEYS, strict=True)}
 
 
 def _subject_columns(joined: DataFrame) -> DataFrame:
-    return joined.withColumn("subject_country", F.col("country")).drop(*_DIM_KEYS, "_m_country")
+    return joined.withColumn("subject_country", F.col("country")).drop(*_HELPERS)
 
 
 def match_specific(subjects: DataFrame, side: DataFrame, max_bytes: int) -> DataFrame:
     """Country rows of the mapping: four keys and the country."""
-    keys = subject_keys() | {"_m_country": F.lower("country")}
+    keys = subject_keys() | {"_m_country": F.col("_s_country")}
     specific = side.where(F.col("tier") == SPECIFIC)
     return _subject_columns(dimension_join(subjects, specific, keys, max_bytes=max_bytes))
 
@@ -105,17 +125,17 @@ def overrides(side: DataFrame) -> DataFrame:
 
 def match_tiered(subjects: DataFrame, side: DataFrame, max_bytes: int) -> DataFrame:
     """Country rows and generic rows in one join, minus the drugs a country row overrides."""
-    fits_country = F.col("_m_country").isNull() | (F.col("_m_country") == F.lower("country"))
+    fits_country = F.col("_m_country").isNull() | (F.col("_m_country") == F.col("_s_country"))
     both = dimension_join(subjects, side, subject_keys(), residual=fits_country, max_bytes=max_bytes)
     keys = {f"_o{k}": F.col(k) for k in _DIM_KEYS}
-    keys |= {"_o_country": F.lower("country"), "_o_drug": F.col("study_drug_dispensed")}
+    keys |= {"_o_country": F.col("_s_country"), "_o_drug": F.col("study_drug_dispensed")}
     kept = dimension_join(both, overrides(side), keys, "left_anti", max_bytes=max_bytes)
     return _subject_columns(kept)
 
 
 def match_exclusive(subjects: DataFrame, side: DataFrame, max_bytes: int) -> DataFrame:
     """Country rows; generic rows only for subjects that no country row fits."""
-    fits_country = F.col("_m_country").isNull() | (F.col("_m_country") == F.lower("country"))
+    fits_country = F.col("_m_country").isNull() | (F.col("_m_country") == F.col("_s_country"))
     both = dimension_join(subjects, side, subject_keys(), residual=fits_country, max_bytes=max_bytes)
     served = (
         side.where(F.col("tier") == SPECIFIC)
@@ -124,7 +144,7 @@ def match_exclusive(subjects: DataFrame, side: DataFrame, max_bytes: int) -> Dat
         .withColumn("_o_tier", F.lit(GENERIC))
     )
     keys = {f"_o{k}": F.col(k) for k in _DIM_KEYS}
-    keys |= {"_o_country": F.lower("country"), "_o_tier": F.col("tier")}
+    keys |= {"_o_country": F.col("_s_country"), "_o_tier": F.col("tier")}
     return _subject_columns(dimension_join(both, served, keys, "left_anti", max_bytes=max_bytes))
 
 
@@ -133,25 +153,13 @@ MATCHERS = {"tiered": match_tiered, "exclusive": match_exclusive, "flat": match_
 
 def unmatched_subjects(subjects: DataFrame, side: DataFrame, max_bytes: int) -> DataFrame:
     """Subjects that neither a country row nor a generic row fits."""
-    fits_country = F.col("_m_country").isNull() | (F.col("_m_country") == F.lower("country"))
-    return dimension_join(subjects, side, subject_keys(), "left_anti", residual=fits_country, max_bytes=max_bytes)
+    fits_country = F.col("_m_country").isNull() | (F.col("_m_country") == F.col("_s_country"))
+    left = dimension_join(subjects, side, subject_keys(), "left_anti", residual=fits_country, max_bytes=max_bytes)
+    return left.drop(*_HELPERS)
 
 
 def with_drug(matched: DataFrame, both_drugs: bool = False) -> DataFrame:
-    """Quantity per cycle, the drug, and the parsed last visit; rows without a drug go."""
-    visits = F.size(text.visit_days(F.col("visit_days")))
-    primary, additional = F.col("study_drug_dispensed"), F.col("additional_study_drug_dispensed")
-    counted = matched.withColumns(
-        {
-            "visit_count_per_cycle": visits,
-            "total_medicines_required_per_cycle": visits * F.col("dispensing_quantity"),
-            "parsed_last_visit_cycle": text.cycle_number(F.col("last_study_visit_recorded")),
-            "parsed_last_visit_day": text.day_number(F.col("last_study_visit_recorded")),
-        }
-    )
+    """One row per drug to dispense: the primary one, else the additional one; or both. None, no row."""
     if both_drugs:
-        drugs = F.array_compact(F.array(primary, additional))
-        return counted.withColumn("drug_dispensed", F.explode(drugs))
-    return counted.withColumn("drug_dispensed", F.coalesce(primary, additional)).where(
-        F.col("drug_dispensed").isNotNull()
-    )
+        return matched.withColumn("drug_dispensed", F.explode("_drugs")).drop("_drugs")
+    return matched.withColumn("drug_dispensed", F.get("_drugs", F.lit(0))).where("drug_dispensed IS NOT NULL").drop("_drugs")

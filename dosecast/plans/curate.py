@@ -14,6 +14,7 @@ from dosecast.operators import conform as shaping
 from dosecast.operators.joins import dimension_join
 from dosecast.sources import discovery, ragged_csv, sinks
 from dosecast.sources.discovery import FolderChoice, Layout
+from dosecast.sources.staging import stage
 
 
 @dataclass(frozen=True)
@@ -38,31 +39,40 @@ class Curated:
     rejected: DataFrame
 
 
-def chosen_files(spark: SparkSession, params: CurationParams) -> DataFrame:
+def list_extracts(spark: SparkSession, params: CurationParams) -> DataFrame:
+    """All files below the root with folder, study folder, name and kind; listed once and kept."""
+    return stage(discovery.describe(discovery.list_files(spark, params.root), params.layout), "listing")
+
+
+def chosen_files(listed: DataFrame, params: CurationParams) -> DataFrame:
     """Files of the chosen folders that the run reads, of all kinds."""
-    listed = discovery.describe(discovery.list_files(spark, params.root), params.layout)
     picked = discovery.choose_folders(listed, params.choice)
     return discovery.latest_files(picked) if params.latest_only else discovery.all_files(picked)
 
 
 def curate_kind(
-    spark: SparkSession, kind_name: str, params: CurationParams, header_mapping: DataFrame | None = None
+    spark: SparkSession,
+    kind_name: str,
+    params: CurationParams,
+    header_mapping: DataFrame | None = None,
+    listed: DataFrame | None = None,
 ) -> Curated | None:
     """Conformed rows of one kind over all chosen folders, None where there is no such file."""
     kind = shaping.KINDS[kind_name]
     pattern = text.check_pattern(params.study_pattern)
-    listed = discovery.describe(discovery.list_files(spark, params.root), params.layout)
+    if kind.mapped:
+        if header_mapping is None:
+            raise ValueError(f"{kind_name} files need a header mapping")
+        _check_standards(header_mapping, kind)
+    if listed is None:
+        listed = list_extracts(spark, params)
     folders = discovery.chosen_folder_names(listed, params.choice)
-    paths = [f"{params.root.rstrip('/')}/{params.layout.folder.format(name)}" for name in folders]
-    files = discovery.describe(discovery.list_files(spark, *paths), params.layout)
-    files = discovery.latest_files(files) if params.latest_only else discovery.all_files(files)
-    files = files.where(F.col("kind") == kind_name)
+    files = chosen_files(listed, params).where(F.col("kind") == kind_name)
     if files.isEmpty():
         return None
+    paths = [f"{params.root.rstrip('/')}/{params.layout.folder.format(name)}" for name in folders]
     glob = discovery.kind_glob(kind_name) if params.layout.named_files else None
-    records = ragged_csv.read_ragged_csv(
-        spark, paths, files, glob, params.max_header_rows, params.whole_bytes
-    )
+    records = ragged_csv.read_ragged_csv(spark, paths, files, glob, params.max_header_rows, params.whole_bytes)
 
     # per file: study, header positions, verdict
     heads = (
@@ -70,9 +80,6 @@ def curate_kind(
         .withColumn("study", text.study_from_name(F.col("name"), pattern))
     )
     if kind.mapped:
-        if header_mapping is None:
-            raise ValueError(f"{kind_name} files need a header mapping")
-        _check_standards(header_mapping, kind)
         maps = shaping.study_maps(header_mapping).withColumnRenamed("study", "_study")
         heads = dimension_join(heads, maps, {"_study": F.col("study")}, "left")
         positions = shaping.header_positions(F.col("header"), kind, F.col("header_map"))
@@ -89,6 +96,7 @@ def curate_kind(
         F.coalesce("error", F.when(F.col("study").isNull(), shaping.NO_STUDY), F.when(unknown, shaping.UNKNOWN_STUDY))
         .alias("file_error"),
     )
+    heads = stage(heads, "file-heads")
     if not kind.mapped:
         _check_columns(heads, kind)
     rejected = heads.where(F.col("file_error").isNotNull()).select(
@@ -135,8 +143,9 @@ def run_curation(
     without files, or with none that can be read, is not written.
     """
     done = {}
+    listed = list_extracts(spark, params)
     for kind in shaping.KINDS:
-        curated = curate_kind(spark, kind, params, header_mapping)
+        curated = curate_kind(spark, kind, params, header_mapping, listed)
         if curated is None:
             continue
         done[kind] = curated
@@ -155,9 +164,7 @@ def load_treatment_mapping(raw: DataFrame) -> DataFrame:
     fields = shaping.fixed.headers(shaping.fixed.TREATMENT_MAPPING_HEADERS)
     by_first_line = {c.split("\n")[0].strip(): c for c in raw.columns}
     raw = raw.withColumnsRenamed({by_first_line[h]: c for c, h, _ in fields if h in by_first_line})
-    cleaned = raw.select(
-        *[F.when(~text.is_na(F.col(f"`{c}`"), shaping.fixed.NA_TOKENS), F.col(f"`{c}`")).alias(c) for c in raw.columns]
-    )
+    cleaned = raw.select(*[text.without_na(f"`{c}`").alias(c) for c in raw.columns])
     return shaping.cast_to_schema(cleaned, {c: kind for c, _, kind in fields})
 
 

@@ -19,9 +19,8 @@ def prepared_inputs(
     people = prepare.normalize_subjects(people)
     if subject_filter is not None:
         people = people.where(subject_filter)
-    people = match.with_subject_order(people, params.subject_order)
     rows = prepare.normalize_mapping(prepare.prepare_mapping(mapping, keep=params.mapping_order))
-    return people, match.mapping_side(rows, params.mapping_order)
+    return match.subject_side(people, params.subject_order), match.mapping_side(rows, params.mapping_order)
 
 
 def build_plan(

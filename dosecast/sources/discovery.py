@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dosecast.fixed_values import FILE_KINDS
@@ -60,19 +60,32 @@ def list_files(spark: SparkSession, *paths: str, glob: str | None = None) -> Dat
 
 def describe(files: DataFrame, layout: Layout = Layout()) -> DataFrame:
     """Add date folder, extract date, study folder, name and kind; files outside the layout go."""
-    path = F.col("path")
-    named = files.withColumns(
-        {
-            "date_folder": F.regexp_extract(path, layout.pattern, 1),
-            "study_folder": F.regexp_extract(path, layout.pattern, 2),
-            "name": F.regexp_extract(path, layout.pattern, 3),
-        }
-    )
-    dated = named.withColumn(
-        "extract_date",
-        F.when(F.length("date_folder") == 8, F.try_to_date("date_folder", "yyyyMMdd")),
+
+    # nested lambdas bind each part once: a filter pushed below would repeat the patterns per mention
+    def parts(path: Column) -> Column:
+        return F.struct(
+            F.regexp_extract(path, layout.pattern, 1).alias("date_folder"),
+            F.regexp_extract(path, layout.pattern, 2).alias("study_folder"),
+            F.regexp_extract(path, layout.pattern, 3).alias("name"),
+        )
+
+    def complete(part: Column) -> Column:
+        return F.struct(
+            part["date_folder"].alias("date_folder"),
+            part["study_folder"].alias("study_folder"),
+            part["name"].alias("name"),
+            F.when(F.length(part["date_folder"]) == 8, F.try_to_date(part["date_folder"], "yyyyMMdd")).alias(
+                "extract_date"
+            ),
+            text.file_kind(F.lower(part["name"])).alias("kind"),
+        )
+
+    found = F.transform(F.transform(F.array("path"), parts), complete)
+    return (
+        files.withColumn("_file", F.get(found, F.lit(0)))
+        .where(F.col("_file.extract_date").isNotNull())
+        .select(*files.columns, "_file.*")
     )
-    return dated.where(F.col("extract_date").isNotNull()).withColumn("kind", text.file_kind(F.col("name")))
 
 
 def date_folders(files: DataFrame) -> DataFrame:

@@ -19,3 +19,12 @@ def latest_snapshot(df: DataFrame, snapshot_col: str = "processed_timestamp") ->
     """
     day = F.col(snapshot_col).cast("date")
     return df.where(day == df.agg(F.max(day)).scalar())
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows hashed over all cores where a scan gives fewer tasks than that, as one unsplittable file does.
+
+    A scan with tasks enough stays as it is, so a large table is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from dosecast.params import ForecastParams
 from dosecast.sources.staging import stage
+from dosecast.sources.tables import spread
 
 AS_OF = dt.date(2001, 9, 1)
 PARAMS = ForecastParams(as_of_date=AS_OF)
@@ -38,7 +39,7 @@ def subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_orders"), F.max("o_orderdate").alias("last_d"))
     )
     people = (
-        table(spark, sf_dir, "customer")
+        spread(table(spark, sf_dir, "customer"), "c_custkey")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .join(orders, F.col("o_custkey") == F.col("c_custkey"), "left")
@@ -188,7 +189,8 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    rows = people.join(table(spark, sf_dir, "orders"), F.col("o_custkey") == F.col("c_custkey"))
+    orders = spread(table(spark, sf_dir, "orders"), "o_custkey")
+    rows = people.join(orders, F.col("o_custkey") == F.col("c_custkey"))
     cycle = _remainder("o_orderkey", 12).cast("string")
     return rows.select(
         F.concat(F.lit("ST-"), _remainder("c_custkey", 4).cast("string")).alias("study_protocol"),

@@ -206,7 +206,7 @@ def active_subjects(spark, sf_dir):
 @query(f"{_prelude()} SELECT * FROM people")
 def normalized_subjects(spark, sf_dir):
     people, _ = _inputs(spark, sf_dir)
-    return people.drop("_subject_order")
+    return people.select(*view.subjects(spark, sf_dir).columns)
 
 
 @query(
@@ -349,7 +349,7 @@ def match_flat(spark, sf_dir):
 
 @query(f"{_prelude()} SELECT s.* FROM people s WHERE NOT EXISTS (SELECT 1 FROM m WHERE {_keys('s', 'm')} AND {_FITS})")
 def unmatched_subjects(spark, sf_dir):
-    return match.unmatched_subjects(*_inputs(spark, sf_dir), LIMIT).drop("_subject_order")
+    return match.unmatched_subjects(*_inputs(spark, sf_dir), LIMIT).select(*view.subjects(spark, sf_dir).columns)
 
 
 @query(
