@@ -55,10 +55,13 @@ def visit_prefix(visit: Column) -> Column:
 
 
 def visit_days(text: Column) -> Column:
-    """Comma-separated day numbers as array<int>; other tokens dropped, duplicates kept, null gives []."""
+    """Comma-separated day numbers as array<int>; duplicates kept, null gives [].
+
+    Other tokens are dropped, and so are numbers of more than seven digits, which no calendar holds.
+    """
     numbers = F.transform(
         F.split(text, ","),
-        lambda token: F.when(F.rlike(strip(token), F.lit(r"^\d+$")), strip(token).try_cast("int")),
+        lambda token: F.when(F.rlike(strip(token), F.lit(r"^0*\d{1,7}$")), strip(token).try_cast("int")),
     )
     return F.coalesce(F.array_compact(numbers), F.array().cast("array<int>"))
 

@@ -18,7 +18,7 @@ def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
 def parse_date_loose(value: Column, data_type: str) -> Column:
     """Date out of whatever a column holds; text that is no date becomes null."""
     if data_type == "string":
-        return value.try_cast("timestamp").cast("date")
+        return F.coalesce(value.try_cast("timestamp").cast("date"), parse_date(value))
     return value.cast("date")
 
 

@@ -78,25 +78,44 @@ def header_positions(header: Column, kind: Kind, header_map: Column | None = Non
     return F.transform(wanted, lambda h: F.nullif(F.array_position(header, h), F.lit(0)).cast("int") - 1)
 
 
-def conform(records: DataFrame, kind: Kind, run_timestamp: Column) -> DataFrame:
-    """Rows of the target table.
+def _cell_pairs(kind: Kind) -> list[tuple[str, Column, Column]]:
+    """(column, text, value) of every file column, from ``_cells`` and ``positions``.
 
-    ``records`` has study, record, positions, extract_date and name. Positions are found once per file;
-    a row only looks its cells up. Text that stands for missing becomes null, then types apply.
+    Positions are found once per file; a row only looks its cells up. Text that stands for missing is null.
     """
-    split = records.withColumn("_cells", csv_text.cells(F.col("record")))
-    columns = [F.col("study").alias("study_protocol")]
+    pairs = []
     for i, (column, _, data_type) in enumerate(kind.fields):
         cell = text.without_na(f"get(_cells, get(positions, {i}))")
-        columns.append(values.typed(cell, data_type).alias(column))
+        pairs.append((column, cell, values.typed(cell, data_type)))
+    return pairs
+
+
+def conform(records: DataFrame, kind: Kind, run_timestamp: Column) -> DataFrame:
+    """Rows of the target table out of study, record, positions, extract_date and name."""
+    split = records.withColumn("_cells", csv_text.cells(F.col("record")))
     return split.select(
-        *columns,
+        F.col("study").alias("study_protocol"),
+        *[value.alias(column) for column, _, value in _cell_pairs(kind)],
         "extract_date",
         F.col("name").alias("source_file"),
         run_timestamp.cast("timestamp").alias("processed_timestamp"),
     )
 
 
+def cast_failures(records: DataFrame, kind: Kind) -> DataFrame:
+    """(column, n_rows): cells that hold text and do not convert to the type of their column."""
+    split = records.withColumn("_cells", csv_text.cells(F.col("record")))
+    checked = [(c, cell, value) for c, cell, value in _cell_pairs(kind) if dict(_types(kind))[c] != "string"]
+    if not checked:
+        return split.sparkSession.createDataFrame([], "column string, n_rows bigint")
+    one = split.agg(*[F.count_if(cell.isNotNull() & value.isNull()).alias(c) for c, cell, value in checked])
+    return one.unpivot([], [c for c, _, _ in checked], "column", "n_rows")
+
+
+def _types(kind: Kind) -> list[tuple[str, str]]:
+    return [(column, data_type) for column, _, data_type in kind.fields]
+
+
 def drop_sparse_rows(df: DataFrame, n: int = 1) -> DataFrame:
     """Rows with more than ``n`` non-null values."""
     return df.dropna(thresh=n + 1)
@@ -131,15 +150,6 @@ def cast_to_schema(df: DataFrame, schema: dict[str, str]) -> DataFrame:
     return df.select(*out)
 
 
-def cast_failures(raw: DataFrame, cast: DataFrame) -> list[Column]:
-    """Counts of cells that were there and did not convert; for frames that share their row (see quality)."""
-    return [
-        F.count_if(F.col(f"raw.{c}").isNotNull() & F.col(f"cast.{c}").isNull()).alias(c)
-        for c in raw.columns
-        if c in cast.columns
-    ]
-
-
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """Rows of all frames; a column some frame lacks is null there."""
     out = frames[0]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ from dosecast.fixed_values import FORECAST_SCHEMA, FORECAST_SORT
 from dosecast.functions import text
 from dosecast.params import ForecastParams
 
+# A cycle start before the first day that nanosecond timestamps reach is a broken visit text and gives
+# no visits; so are longer spans than LONGEST days, which would leave the calendar.
+EARLIEST = dt.date(1677, 9, 22)
+LONGEST = 3_000_000
+
 
 def cycle_bounds(plan: DataFrame, params: ForecastParams) -> DataFrame:
     """Per plan row: day pattern, cycle length, cap, current and next cycle start, last cycle offset.
@@ -24,12 +31,15 @@ def cycle_bounds(plan: DataFrame, params: ForecastParams) -> DataFrame:
     base = plan.where(F.col("last_study_visit_date").isNotNull() & F.col("subject_number").isNotNull()).withColumns(
         {
             "_days": F.when(F.size(pattern) == 0, F.array(F.lit(1))).otherwise(F.array_sort(pattern)),
-            "_length": F.when(length > 0, length).otherwise(params.default_cycle_days).cast("int"),
-            "_cap": F.when(F.col("max_cycles") >= 1, F.floor("max_cycles")).cast("bigint"),
-            "_current_start": F.date_sub("last_study_visit_date", F.col("parsed_last_visit_day") - 1),
+            "_length": F.when(length > 0, F.least(length, F.lit(LONGEST)))
+            .otherwise(params.default_cycle_days)
+            .cast("int"),
+            "_cap": F.when(F.col("max_cycles") >= 1, F.col("max_cycles").try_cast("bigint")),
+            "_current_start": F.date_sub("last_study_visit_date", F.least("parsed_last_visit_day", F.lit(LONGEST)) - 1),
             "_prefix": F.when(F.col("is_crossover"), "Crossover ").when(F.col("is_tpc"), "TPC ").otherwise(""),
         }
     )
+    base = base.where(F.col("_current_start") >= F.lit(EARLIEST))
     planned = base.withColumn("_planned_start", F.date_add("_current_start", F.col("_length")))
     behind = F.datediff(today, "_planned_start")
     missed = planned.withColumn(
@@ -37,7 +47,7 @@ def cycle_bounds(plan: DataFrame, params: ForecastParams) -> DataFrame:
     )
     start = missed.withColumn("_next_start", F.date_add("_planned_start", F.col("_missed") * F.col("_length")))
     skipped = F.col("_missed") if params.renumber_missed else F.lit(0)
-    first = start.withColumn("_next_cycle", F.col("parsed_last_visit_cycle") + 1 + skipped)
+    first = start.withColumn("_next_cycle", F.col("parsed_last_visit_cycle").cast("bigint") + 1 + skipped)
     room = F.datediff(horizon, "_next_start") - (F.array_min("_days") - 1)
     by_horizon = F.floor(room / F.col("_length"))
     by_cap = F.when(F.col("_cap").isNotNull(), F.col("_cap") - F.col("_next_cycle"))
@@ -67,7 +77,7 @@ def project_visits(plan: DataFrame, params: ForecastParams) -> DataFrame:
         )
     )
     cycle = F.when(current, F.col("parsed_last_visit_cycle")).otherwise(F.col("_next_cycle") + F.col("_k"))
-    return visits.withColumn("cycle", cycle.cast("int")).withColumn(
+    return visits.withColumn("cycle", cycle.try_cast("int")).withColumn(
         "predicted_study_visit",
         F.concat("_prefix", F.lit("Cycle "), F.col("cycle"), F.lit(" Day "), F.col("day")),
     )

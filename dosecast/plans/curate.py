@@ -33,21 +33,33 @@ class CurationParams:
 
 @dataclass(frozen=True)
 class Curated:
-    """``rows`` of the target table and the ``rejected`` files (path, name, error)."""
+    """``rows`` of the target table, ``rejected`` files (path, name, error), ``cast_failures`` per column."""
 
     rows: DataFrame
     rejected: DataFrame
+    cast_failures: DataFrame
 
 
-def list_extracts(spark: SparkSession, params: CurationParams) -> DataFrame:
-    """All files below the root with folder, study folder, name and kind; listed once and kept."""
-    return stage(discovery.describe(discovery.list_files(spark, params.root), params.layout), "listing")
+@dataclass(frozen=True)
+class Selection:
+    """The files a run reads, listed once, and where they are: date folder names per kind."""
+
+    files: DataFrame
+    folders: dict[str, list[str]]
 
 
-def chosen_files(listed: DataFrame, params: CurationParams) -> DataFrame:
-    """Files of the chosen folders that the run reads, of all kinds."""
+def select_files(spark: SparkSession, params: CurationParams) -> Selection:
+    """Choose date folders and files. No valid folder in the chosen range is an error."""
+    listed = discovery.describe(discovery.list_files(spark, params.root), params.layout)
     picked = discovery.choose_folders(listed, params.choice)
-    return discovery.latest_files(picked) if params.latest_only else discovery.all_files(picked)
+    files = discovery.latest_files(picked) if params.latest_only else discovery.all_files(picked)
+    files = stage(files, "chosen-files")
+    # at most one row per calendar day and kind
+    places = files.select("kind", "date_folder").distinct().collect()
+    if not places:
+        discovery.chosen_folder_names(listed, params.choice)
+    kinds = {p["kind"] for p in places}
+    return Selection(files, {k: sorted(p["date_folder"] for p in places if p["kind"] == k) for k in kinds})
 
 
 def curate_kind(
@@ -55,7 +67,7 @@ def curate_kind(
     kind_name: str,
     params: CurationParams,
     header_mapping: DataFrame | None = None,
-    listed: DataFrame | None = None,
+    selection: Selection | None = None,
 ) -> Curated | None:
     """Conformed rows of one kind over all chosen folders, None where there is no such file."""
     kind = shaping.KINDS[kind_name]
@@ -64,13 +76,11 @@ def curate_kind(
         if header_mapping is None:
             raise ValueError(f"{kind_name} files need a header mapping")
         _check_standards(header_mapping, kind)
-    if listed is None:
-        listed = list_extracts(spark, params)
-    folders = discovery.chosen_folder_names(listed, params.choice)
-    files = chosen_files(listed, params).where(F.col("kind") == kind_name)
-    if files.isEmpty():
+    selection = selection or select_files(spark, params)
+    if kind_name not in selection.folders:
         return None
-    paths = [f"{params.root.rstrip('/')}/{params.layout.folder.format(name)}" for name in folders]
+    files = selection.files.where(F.col("kind") == kind_name)
+    paths = [f"{params.root.rstrip('/')}/{params.layout.folder.format(f)}" for f in selection.folders[kind_name]]
     glob = discovery.kind_glob(kind_name) if params.layout.named_files else None
     records = ragged_csv.read_ragged_csv(spark, paths, files, glob, params.max_header_rows, params.whole_bytes)
 
@@ -106,7 +116,9 @@ def curate_kind(
     rows = dimension_join(
         records.where(F.col("record").isNotNull()).select("path", "record"), good, {"_path": F.col("path")}
     )
-    return Curated(shaping.conform(rows, kind, F.lit(params.run_timestamp)), rejected)
+    return Curated(
+        shaping.conform(rows, kind, F.lit(params.run_timestamp)), rejected, shaping.cast_failures(rows, kind)
+    )
 
 
 def _check_standards(header_mapping: DataFrame, kind: shaping.Kind) -> None:
@@ -143,9 +155,9 @@ def run_curation(
     without files, or with none that can be read, is not written.
     """
     done = {}
-    listed = list_extracts(spark, params)
+    selection = select_files(spark, params)
     for kind in shaping.KINDS:
-        curated = curate_kind(spark, kind, params, header_mapping, listed)
+        curated = curate_kind(spark, kind, params, header_mapping, selection)
         if curated is None:
             continue
         done[kind] = curated

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dosecast.operators import match, plan, prepare, project
 from dosecast.params import ForecastParams
+from dosecast.sources import sinks, tables
 
 
 def prepared_inputs(
@@ -50,6 +51,32 @@ def forecast(
     return project.shape_output(forecast_visits(subjects, mapping, params, subject_filter), params, sort)
 
 
+def forecast_from_csv(
+    spark: SparkSession, subjects_path: str, mapping_path: str, params: ForecastParams, output_path: str | None = None
+) -> DataFrame:
+    """Forecast out of two CSV files; with ``output_path`` also written there, sorted, as CSV."""
+    out = forecast(tables.subjects_csv(spark, subjects_path), tables.mapping_csv(spark, mapping_path), params, sort=True)
+    if output_path:
+        sinks.write_csv(out, output_path)
+    return out
+
+
+def forecast_from_tables(
+    spark: SparkSession,
+    subjects_table: str,
+    mapping_table: str,
+    params: ForecastParams,
+    output_path: str | None = None,
+    snapshot_col: str = "processed_timestamp",
+) -> DataFrame:
+    """Forecast of the latest snapshot of a stored subject table; with ``output_path`` it replaces that table."""
+    subjects = tables.latest_snapshot(tables.scan(spark, subjects_table), snapshot_col)
+    out = forecast(subjects, tables.scan(spark, mapping_table), params)
+    if output_path:
+        sinks.write_whole(out, output_path)
+    return out
+
+
 def run_summary(forecast_rows: DataFrame) -> DataFrame:
     """Rows, distinct subjects and drugs, first and last visit date."""
     return forecast_rows.agg(

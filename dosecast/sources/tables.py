@@ -5,12 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dosecast import fixed_values as fixed
+from dosecast.functions import text, values
+
 
 def scan(spark: SparkSession, name_or_path: str) -> DataFrame:
     """A catalog table by name, or a Parquet dataset by path."""
     return spark.read.parquet(name_or_path) if "/" in name_or_path else spark.table(name_or_path)
 
 
+def _typed_csv(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
+    """CSV with a header line as text, missing markers null, known columns typed, others kept as text."""
+    raw = spark.read.option("header", "true").option("escape", '"').csv(path)
+    raw = raw.toDF(*[c.strip() for c in raw.columns])
+    columns = []
+    for name in raw.columns:
+        cell, kind = text.without_na(f"`{name}`"), types.get(name, "string")
+        value = values.parse_date_loose(cell, "string") if kind == "date" else values.typed(cell, kind)
+        columns.append(value.alias(name))
+    return raw.select(*columns)
+
+
+def subjects_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Subject summary from CSV under table column names."""
+    types = {c: kind for c, _, kind in fixed.headers(fixed.SUBJECT_HEADERS)} | {"extract_date": "date"}
+    return _typed_csv(spark, path, types)
+
+
+def mapping_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Treatment mapping from CSV under table column names."""
+    return _typed_csv(spark, path, {c: kind for c, _, kind in fixed.headers(fixed.TREATMENT_MAPPING_HEADERS)})
+
+
 def latest_snapshot(df: DataFrame, snapshot_col: str = "processed_timestamp") -> DataFrame:
     """Rows of the latest day in ``snapshot_col``.
 

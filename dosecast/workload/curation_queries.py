@@ -360,6 +360,28 @@ def rejected_files(spark, sf_dir):
     return curate.curate_kind(spark, "site_supply", extracts.params(root)).rejected.select("name", "error")
 
 
+def _failures_sql(block: str, given: dict[str, str], source: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {given.get(c, 'false')}) AS n_rows FROM {source}"
+        for c, _, t in fixed.headers(block)
+        if t != "string"
+    )
+
+
+@query(
+    _failures_sql(fixed.SUBJECT_HEADERS, {"parent_depot": "true", "last_study_visit_date": "c_custkey % 6 = 0"}, "customer")
+)
+def cast_failures_subjects(spark, sf_dir):
+    """Cells of the latest subject files that do not convert, per column."""
+    root = extracts.subject_extracts(spark, sf_dir)
+    return curate.curate_kind(spark, "subject", extracts.params(root), extracts.header_mapping(spark)).cast_failures
+
+
+@query(_failures_sql(fixed.DEPOT_HEADERS, {"quantity_study_drug_available": "p_partkey % 3 = 0"}, "part"))
+def cast_failures_depot(spark, sf_dir):
+    return curate.curate_kind(spark, "depot", extracts.params(extracts.depot_extracts(spark, sf_dir))).cast_failures
+
+
 @query(
     f"""SELECT study_protocol, randomized_treatment, subject_status, tpc, study_drug_dispensed,
     additional_study_drug_dispensed, CAST(NULL AS VARCHAR) AS additional_study_drug_prefix, country, visit_days,

@@ -6,11 +6,13 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from dosecast.fixed_values import EXCLUDED_STATUSES
+from dosecast.fixed_values import EXCLUDED_STATUSES, FORECAST_SCHEMA
 from dosecast.functions import text
 from dosecast.operators import match, prepare, project, quality, rollup
 from dosecast.operators import plan as planning
 from dosecast.plans import forecast as job
+from dosecast.sources import sinks, tables
+from dosecast.sources.staging import fresh_path
 from dosecast.sources.tables import latest_snapshot as snapshot_of
 from dosecast.workload import adapters as view
 from dosecast.workload.registry import query
@@ -665,3 +667,33 @@ def snapshot_forecast(spark, sf_dir):
     rows = snapshot_of(view.history(spark, sf_dir), "extract_date")
     params = replace(P, subject_order=("extract_date", "row_key"))
     return job.forecast(rows, view.mapping(spark, sf_dir), params)
+
+
+# ---- whole runs -------------------------------------------------------------------------------
+
+
+@query(_forecast_sql())
+def forecast_from_csv(spark, sf_dir):
+    """Subjects and mapping written as CSV, forecast from the files, result read back from CSV."""
+    root = fresh_path(spark, "csv-run")
+    sinks.write_csv(view.subjects(spark, sf_dir), f"{root}/subjects")
+    sinks.write_csv(view.mapping(spark, sf_dir), f"{root}/mapping")
+    job.forecast_from_csv(spark, f"{root}/subjects", f"{root}/mapping", P, f"{root}/forecast")
+    return spark.read.schema(FORECAST_SCHEMA).option("header", "true").csv(f"{root}/forecast")
+
+
+@query(
+    f"{_prelude(_LATEST_HISTORY)},\nmatched AS ({_matched('tiered', ', s.row_key')}),{_medicine()},"
+    f"{_plan(f'tier * 10000000000000000 + {_HISTORY_ORDER}')},{_bounds()},{_VISITS}\n"
+    f"SELECT * EXCLUDE (phase), {_STAMP} FROM forecast"
+)
+def forecast_from_tables(spark, sf_dir):
+    """The history as a table in date partitions; forecast of its latest partition, stored and read back."""
+    root = fresh_path(spark, "table-run")
+    sinks.write_partitions(view.history(spark, sf_dir), f"{root}/subjects")
+    sinks.write_whole(view.mapping(spark, sf_dir), f"{root}/mapping")
+    params = replace(P, subject_order=("extract_date", "row_key"))
+    job.forecast_from_tables(
+        spark, f"{root}/subjects", f"{root}/mapping", params, f"{root}/forecast", snapshot_col="extract_date"
+    )
+    return tables.scan(spark, f"{root}/forecast")
