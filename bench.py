@@ -21,14 +21,10 @@ RUNS = 3
 HEADLINE = {
     "match_tiered": forecast_queries.match_tiered,
     "plan": forecast_queries.plan,
-    "plan_history": forecast_queries.plan_history,
     "forecast": forecast_queries.forecast,
-    "forecast_three_years": forecast_queries.forecast_three_years,
     "rollup_sets": forecast_queries.rollup_sets,
     "quality_output": forecast_queries.quality_output,
-    "cadence_check": forecast_queries.cadence_check,
     "latest_files": curation_queries.latest_files,
-    "ingest_subjects": curation_queries.ingest_subjects,
     "ingest_site": curation_queries.ingest_site,
 }
 

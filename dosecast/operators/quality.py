@@ -50,19 +50,26 @@ def input_checks(subjects: DataFrame, mapping: DataFrame, params: ForecastParams
 
 
 def output_checks(forecast_rows: DataFrame, params: ForecastParams) -> DataFrame:
-    """Past dates are a finding, not an error: the rest of the current cycle may lie before the as-of date."""
-    row_checks = counts(
-        forecast_rows,
-        {
-            "date_not_in_future": F.col("predicted_next_visit_date") <= F.lit(params.as_of_date),
-            "cycle_or_day_not_positive": (F.col("cycle") < 1) | (F.col("day") < 1),
-            "drug_missing": F.col("drug_dispensed").isNull() | (F.col("drug_dispensed") == ""),
-            **{f"null_{c}": F.col(c).isNull() for c in NOT_NULL if c in forecast_rows.columns},
-        },
-    )
+    """Past dates are a finding, not an error: the rest of the current cycle may lie before the as-of date.
+
+    One pass: counts per visit key first, which also tells the repeated visits, then their sums. The
+    forecast is already partitioned by subject, so the first step needs no further shuffle.
+    """
+    checks = {
+        "date_not_in_future": F.col("predicted_next_visit_date") <= F.lit(params.as_of_date),
+        "cycle_or_day_not_positive": (F.col("cycle") < 1) | (F.col("day") < 1),
+        "drug_missing": F.col("drug_dispensed").isNull() | (F.col("drug_dispensed") == ""),
+        **{f"null_{c}": F.col(c).isNull() for c in NOT_NULL if c in forecast_rows.columns},
+    }
     key = ["study_name", "subject_number", "drug_dispensed", "cycle", "day", "predicted_next_visit_date"]
-    repeated = forecast_rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    return row_checks.unionByName(counts(repeated, {"duplicate_visit": F.col("n") > 1}))
+    per_visit = forecast_rows.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(c).alias(f"_{name}") for name, c in checks.items()]
+    )
+    one = per_visit.agg(
+        *[F.coalesce(F.sum(f"_{name}"), F.lit(0)).cast("bigint").alias(name) for name in checks],
+        F.count_if(F.col("_n") > 1).alias("duplicate_visit"),
+    )
+    return one.unpivot([], [*checks, "duplicate_visit"], "check_name", "n_rows")
 
 
 def cadence_checks(visits: DataFrame) -> DataFrame:

@@ -429,7 +429,7 @@ def roll_forward(spark, sf_dir):
         F.col("_current_start").alias("current_start"),
         F.col("_next_start").alias("next_start"),
         F.col("_missed").alias("missed"),
-        F.col("_next_cycle").alias("next_cycle"),
+        F.col("_next_cycle").cast("int").alias("next_cycle"),
         F.col("_last_k").alias("last_k"),
     )
 
