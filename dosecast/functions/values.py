@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -34,3 +35,8 @@ def typed(text: Column, data_type: str, formats: Sequence[str] = DATE_FORMATS) -
     if data_type in ("int", "bigint"):
         return whole_number(text, data_type)
     return text if data_type == "string" else text.try_cast(data_type)
+
+
+def moment(stamp: dt.datetime) -> Column:
+    """Timestamp literal that reads the same in the session's time zone, whatever that of the driver."""
+    return F.lit(stamp.isoformat(sep=" ")).cast("timestamp")

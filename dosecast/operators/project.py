@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dosecast.fixed_values import FORECAST_SCHEMA, FORECAST_SORT
-from dosecast.functions import text
+from dosecast.functions import text, values
 from dosecast.params import ForecastParams
 
 # A cycle start before the first day that nanosecond timestamps reach is a broken visit text and gives
@@ -86,7 +86,7 @@ def project_visits(plan: DataFrame, params: ForecastParams) -> DataFrame:
 def shape_output(visits: DataFrame, params: ForecastParams, sort: bool = False) -> DataFrame:
     """The output columns in order and type; ``sort`` adds the global order of the written report."""
     named = visits.withColumnRenamed("study_protocol", "study_name").withColumn(
-        "processed_timestamp", F.lit(params.stamp).cast("timestamp")
+        "processed_timestamp", values.moment(params.stamp)
     )
     columns = []
     for field in FORECAST_SCHEMA.split(", "):

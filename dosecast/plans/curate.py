@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dosecast.fixed_values import STUDY_HEADER
-from dosecast.functions import text
+from dosecast.functions import text, values
 from dosecast.operators import conform as shaping
 from dosecast.operators.joins import dimension_join
 from dosecast.sources import discovery, ragged_csv, sinks
@@ -117,7 +117,7 @@ def curate_kind(
         records.where(F.col("record").isNotNull()).select("path", "record"), good, {"_path": F.col("path")}
     )
     return Curated(
-        shaping.conform(rows, kind, F.lit(params.run_timestamp)), rejected, shaping.cast_failures(rows, kind)
+        shaping.conform(rows, kind, values.moment(params.run_timestamp)), rejected, shaping.cast_failures(rows, kind)
     )
 
 

@@ -60,32 +60,22 @@ def list_files(spark: SparkSession, *paths: str, glob: str | None = None) -> Dat
 
 def describe(files: DataFrame, layout: Layout = Layout()) -> DataFrame:
     """Add date folder, extract date, study folder, name and kind; files outside the layout go."""
+    parts = F.split(F.regexp_replace("path", "(?s)^.*?" + layout.pattern, "$1\n$2\n$3"), "\n")
 
-    # nested lambdas bind each part once: a filter pushed below would repeat the patterns per mention
-    def parts(path: Column) -> Column:
+    def details(part: Column) -> Column:
+        folder, name = part[0], part[2]
         return F.struct(
-            F.regexp_extract(path, layout.pattern, 1).alias("date_folder"),
-            F.regexp_extract(path, layout.pattern, 2).alias("study_folder"),
-            F.regexp_extract(path, layout.pattern, 3).alias("name"),
+            folder.alias("date_folder"),
+            part[1].alias("study_folder"),
+            name.alias("name"),
+            F.when(F.length(folder) == 8, F.try_to_date(folder, "yyyyMMdd")).alias("extract_date"),
+            text.file_kind(F.lower(name)).alias("kind"),
         )
 
-    def complete(part: Column) -> Column:
-        return F.struct(
-            part["date_folder"].alias("date_folder"),
-            part["study_folder"].alias("study_folder"),
-            part["name"].alias("name"),
-            F.when(F.length(part["date_folder"]) == 8, F.try_to_date(part["date_folder"], "yyyyMMdd")).alias(
-                "extract_date"
-            ),
-            text.file_kind(F.lower(part["name"])).alias("kind"),
-        )
-
-    found = F.transform(F.transform(F.array("path"), parts), complete)
-    return (
-        files.withColumn("_file", F.get(found, F.lit(0)))
-        .where(F.col("_file.extract_date").isNotNull())
-        .select(*files.columns, "_file.*")
-    )
+    # lambdas bind the parts once; a filter on them would be pushed down and repeat the patterns
+    fitting = F.filter(F.array(parts), lambda part: F.size(part) == 3)
+    dated = F.filter(F.transform(fitting, details), lambda file: file["extract_date"].isNotNull())
+    return files.withColumn("_file", F.explode(dated)).select(*files.columns, "_file.*")
 
 
 def date_folders(files: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from dosecast.sources.staging import stage
 
 MAX_HEADER_ROWS = 10
 WHOLE_BYTES = 16 * 1024 * 1024
+FEW_FILES = 1000
 
 NO_HEADER = "no valid header"
 LONG_ROW = "row longer than header"
@@ -36,11 +37,22 @@ def _header_cells(line: Column) -> Column:
 
 
 def _without_return(line: Column) -> Column:
-    return F.regexp_replace(line, r"\r\z", "")
+    shorter = F.substr(line, F.lit(1), F.length(line) - 1)
+    return F.when(F.endswith(line, F.lit("\r")), shorter).otherwise(line)
 
 
 def _is_blank(record: Column) -> Column:
-    return F.rlike(record, F.lit(r"^\s*+\z"))
+    return F.btrim(record, F.lit(" \t\r")) == ""
+
+
+def _few_paths(files: DataFrame) -> list[str] | None:
+    """The paths, if they are few enough to name to a reader and free of glob characters; else None.
+
+    Naming them reads nothing else. Without, the folders are read and the wanted files picked by a join.
+    """
+    paths = [r["path"] for r in files.select("path").limit(FEW_FILES + 1).collect()]
+    plain = len(paths) <= FEW_FILES and not any(set(p) & set("*?[]{}\\") for p in paths)
+    return paths if plain else None
 
 
 def read_ragged_csv(
@@ -52,11 +64,12 @@ def read_ragged_csv(
     whole_bytes: int = WHOLE_BYTES,
 ) -> DataFrame:
     """Records of the files below ``paths``; of those in ``chosen`` (column ``path``) if given."""
+    few = None if chosen is None else _few_paths(chosen)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
+    if glob and not few:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(paths).select("path", "length", "content", F.col("_metadata.file_path").alias("uri"))
-    if chosen is not None:
+    files = reader.load(few or paths).select("path", "length", "content", F.col("_metadata.file_path").alias("uri"))
+    if chosen is not None and not few:
         wanted = chosen.select(F.col("path").alias("_wanted"))
         files = dimension_join(files, wanted, {"_wanted": F.col("path")}, "left_semi")
     checked = _cut_in_place(files.where(F.col("length") <= whole_bytes), max_rows)
@@ -133,10 +146,11 @@ def _running_state(df: DataFrame, part: list[str], order: str, closed: str, open
 
 
 def _numbered_lines(spark: SparkSession, paths: list[str], split: DataFrame, glob: str | None) -> DataFrame:
+    few = _few_paths(split)
     reader = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n")
-    if glob:
+    if glob and not few:
         reader = reader.option("pathGlobFilter", glob)
-    lines = reader.text(paths).select(
+    lines = reader.text(few or paths).select(
         F.col("_metadata.file_path").alias("uri"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
@@ -144,15 +158,17 @@ def _numbered_lines(spark: SparkSession, paths: list[str], split: DataFrame, glo
     )
     # lines of one split are read in order by one task, so seq orders them; a split is bounded in bytes
     w = W.partitionBy("uri", "block").orderBy("seq")
-    wanted = split.select(F.col("uri").alias("_wanted"))
-    kept = dimension_join(lines, wanted, {"_wanted": F.col("uri")}, "left_semi")
-    return stage(kept.withColumn("at", F.row_number().over(w) - 1).drop("seq"), "csv-lines")
+    if not few:
+        wanted = split.select(F.col("uri").alias("_wanted"))
+        lines = dimension_join(lines, wanted, {"_wanted": F.col("uri")}, "left_semi")
+    return stage(lines.withColumn("at", F.row_number().over(w) - 1).drop("seq"), "csv-lines")
 
 
 def _read_splits(
     spark: SparkSession, paths: list[str], split: DataFrame, glob: str | None, max_rows: int
 ) -> DataFrame:
     lines = _numbered_lines(spark, paths, split, glob)
+    may_head = (F.col("at") < max_rows) & csv_text.is_header(_without_return(F.col("line")))
     by_block = W.partitionBy("uri").orderBy("block")
     before = by_block.rowsBetween(W.unboundedPreceding, -1)
     blocks = (
@@ -160,7 +176,7 @@ def _read_splits(
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.bool_and(F.is_valid_utf8("line")).alias("valid"),
-            F.min(F.when(csv_text.is_header(_without_return(F.col("line"))), F.struct("at", "line"))).alias("found"),
+            F.min(F.when(may_head, F.struct("at", "line"))).alias("found"),
         )
         .withColumn("lines_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     )

@@ -51,7 +51,7 @@ def _listing(spark, sf_dir):
         F.element_at(F.array(*[F.lit(n) for n in names]), (key % 7 + 1).cast("int")), F.lit(" "), key.cast("string"),
         F.when(key % 13 == 0, ".txt").otherwise(".CSV"),
     )
-    return view.table(spark, sf_dir, "orders").select(
+    return tables.spread(view.table(spark, sf_dir, "orders"), "o_orderkey").select(
         F.concat(F.lit("/raw/"), folder, F.lit("/"), study, name).alias("path"),
         F.timestamp_add("MINUTE", (key % 5).cast("int"), "o_orderdate").alias("modificationTime"),
     )

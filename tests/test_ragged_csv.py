@@ -116,7 +116,9 @@ def test_split_way_reports_the_same_errors(spark, tmp_path):
     assert whole["wide junk.csv"] is None
 
 
-def test_only_chosen_files(spark, tmp_path):
+@pytest.mark.parametrize("few", [1000, 0])
+def test_only_chosen_files(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(ragged_csv, "FEW_FILES", few)
     kept = put(tmp_path, "a b+c%.csv", "x,y\n1,2\n")
     put(tmp_path, "other.csv", "x,y\n3,4\n")
     chosen = spark.createDataFrame([(f"file:{kept}",)], "path string")
