@@ -17,56 +17,39 @@ with a null id has ``held_out`` false.
 from __future__ import annotations
 
 import math
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dosecast.llm.common import id_text, id_type, prepare
+from dosecast.llm.word_hashes import few_at_a_time, hashed, mix
 
 DIMENSIONS = 1 << 18
 SAMPLE = 8000
 FOLDS = 5
 THRESHOLD = 0.3
-_KEPT_WORDS = 200_000
-_SHAPES = [(regex.compile(p), s) for p, s in ((r"\p{Lu}{2,}", "X"), (r"\p{Lu}", "A"), (r"\p{L}+", "a"), (r"\p{N}+", "9"))]
-
-
-class Features:
-    """Hashed n-grams of texts; hashes of words are kept from text to text."""
-
-    def __init__(self):
-        self.known: dict[str, tuple[int, int]] = {}
-
-    def _hash(self, word: str) -> tuple[int, int]:
-        shape = word
-        for pattern, mark in _SHAPES:
-            shape = pattern.sub(mark, shape)
-        found = zlib.crc32(word.encode("utf-8", "surrogatepass")), zlib.crc32(b"shape " + shape.encode("utf-8", "surrogatepass"))
-        self.known[word] = found
-        return found
-
-    def __call__(self, text: str) -> np.ndarray:
-        if len(self.known) > _KEPT_WORDS:
-            self.known.clear()
-        known = self.known.get
-        words = text.split()
-        if not words:
-            return np.zeros(0, dtype=np.uint32)
-        pairs = [known(w) or self._hash(w) for w in words]
-        word, shape = np.array(pairs, dtype=np.uint64).T
-        same = np.append(False, word[1:] == word[:-1])
-        shape = shape + same * np.uint64(0x5BD1E995)  # a word that repeats its neighbour has a shape of its own
-        grams = [word, shape]
-        for own in (word, shape):
-            grams.append(own[:-1] * np.uint64(0x9E3779B97F4A7C15) + own[1:])
-        mixed = np.concatenate(grams)
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return np.unique((mixed >> np.uint64(40)) % np.uint64(DIMENSIONS)).astype(np.uint32)
+
+
+def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-gram buckets of all texts in a row, and where each text's begin and end."""
+    words, firsts, shapes = hashed([t.encode("utf-8", "surrogatepass") for t in texts], shapes=True)
+    owner = np.repeat(np.arange(len(texts), dtype=np.uint64), np.diff(firsts))
+    near = owner[1:] == owner[:-1]
+    same = np.zeros(len(words), bool)
+    same[1:] = near & (words[1:] == words[:-1])
+    shapes = shapes ^ (same * np.uint64(0x5BD1E9955BD1E995))  # a word that repeats its neighbour has its own shape
+    grams, owners = [words, shapes + np.uint64(1)], [owner, owner]
+    for own in grams[:2]:
+        grams.append((own[:-1] * np.uint64(0x9E3779B97F4A7C15) + own[1:])[near])
+        owners.append(owner[1:][near])
+    buckets = mix(np.concatenate(grams)) % np.uint64(DIMENSIONS)
+    keys = np.sort(np.concatenate(owners) * np.uint64(DIMENSIONS) + buckets)
+    keys = keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+    edges = np.searchsorted(keys, np.arange(len(texts) + 1, dtype=np.uint64) * np.uint64(DIMENSIONS))
+    return (keys % np.uint64(DIMENSIONS)).astype(np.uint32), edges
 
 
 @dataclass
@@ -76,11 +59,11 @@ class Model:
     slope: float
     shift: float
 
-    def score(self, features: np.ndarray) -> float:
-        margin = self.bias
-        if len(features):
-            margin += float(self.weight[features].sum()) / math.sqrt(len(features))
-        return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, self.slope * margin + self.shift))))
+    def scores(self, buckets: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0.0], np.cumsum(self.weight[buckets])])
+        margin = (total[edges[1:]] - total[edges[:-1]]) / np.sqrt(np.maximum(1, np.diff(edges))) + self.bias
+        curve = 1.0 / (1.0 + np.exp(-np.clip(self.slope * margin + self.shift, -30.0, 30.0)))
+        return np.round(curve, 9)  # sums differ in the last bits with the company of a text
 
 
 def log_count_ratio(rows: list[np.ndarray], labels: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
@@ -150,9 +133,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample
     chosen = agreed.where("label = other").orderBy(F.xxhash64("labelled"), "labelled").limit(sample).drop("other")
 
     def run(batches):
-        features = Features()
-        for batch in batches:
-            made = [features(t).astype("<u4").tobytes() for t in batch.column("text").to_pylist()]
+        for batch in few_at_a_time(batches):
+            buckets, edges = features(batch.column("text").to_pylist())
+            made = [buckets[a:b].astype("<u4").tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
             yield pa.record_batch(
                 {"doc_id": batch.column("doc_id"), "label": batch.column("label"), "features": pa.array(made, pa.binary())}
             )
@@ -170,10 +153,9 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        features, own = Features(), shared.value
-        for batch in batches:
-            made = [own.score(features(t)) for t in batch.column("text").to_pylist()]
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(made, pa.float64())})
+        for batch in few_at_a_time(batches):
+            made = shared.value.scores(*features(batch.column("text").to_pylist()))
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(made)})
 
     scored = id_text(docs).mapInArrow(run, f"doc_id {id_type(docs)}, score double")
     predicted = (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
