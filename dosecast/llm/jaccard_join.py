@@ -3,7 +3,7 @@
 Each set of shingles walks down a random tree: at a node it takes every shingle whose hash, seeded by the node, is below
 ``BRANCHES`` / its size, so about ``BRANCHES`` of them, and two similar sets take a shared one with good probability. Sets that
 meet in a node form a bucket. A bucket of at most ``SMALL`` sets is compared in full; a larger one is split by one more
-step, up to ``DEPTH``; what is still large there is compared in blocks of ``SMALL``, so no bucket is left out. The walk is
+step (``DEPTH`` steps in all); what is still large there is compared in blocks of ``SMALL``, so no bucket is left out. The walk is
 repeated with fresh seeds; ``runs_for`` gives the number of runs that reaches the target recall for a pair exactly at the threshold
 (more similar pairs are found with higher probability). Candidates are verified on the exact sets.
 
@@ -40,16 +40,16 @@ WORDS = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 BRANCHES = 2.0
-DEPTH = 3
+DEPTH = 2
 SMALL = 256
 _WEIGHTS = np.array([0x9E3779B97F4A7C15 * (2 * k + 3) | 1 for k in range(WORDS)], dtype=object)
 _WEIGHTS = np.array([int(w) & (1 << 64) - 1 for w in _WEIGHTS], np.uint64)
 
 
-def runs_for(threshold: float = THRESHOLD, recall: float = RECALL, depth: int = DEPTH) -> int:
+def runs_for(threshold: float = THRESHOLD, recall: float = RECALL) -> int:
     """Runs after which a pair at the threshold has met with probability ``recall``, were all buckets split to the end."""
     meet = 1.0
-    for _ in range(depth):
+    for _ in range(DEPTH):
         meet = 1.0 - math.exp(-BRANCHES * threshold * meet)
     return math.ceil(math.log(1.0 - recall) / math.log(1.0 - meet))
 
@@ -91,23 +91,15 @@ def _steps(own: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def paths(own: np.ndarray, runs: int) -> tuple[np.ndarray, list[bytes]]:
-    """First-level buckets of a set over all runs, and for each what lies below: the second level as 32-bit numbers with
-    the number of their children, then the third level."""
+    """First-level buckets of a set over all runs, and for each its children as 32-bit numbers."""
     seeds = mix(np.arange(1, runs + 1, dtype=np.uint64))
     _, first = _steps(own, seeds)
     if not len(first):
         return first, []
-    up2, second = _steps(own, first)
-    up3, third = _steps(own, second) if len(second) else (np.zeros(0, np.int64), second)
-    per2 = np.bincount(up3, minlength=len(second))
-    ends2 = np.cumsum(np.bincount(up2, minlength=len(first)))
-    ends3 = np.concatenate([[0], np.cumsum(per2)])
-    below, start = [], 0
-    for end in ends2.tolist():
-        part = np.concatenate([[end - start], second[start:end], per2[start:end], third[ends3[start] : ends3[end]]])
-        below.append(part.astype(np.uint64).astype("<u4").tobytes())
-        start = end
-    return first, below
+    up, second = _steps(own, first)
+    ends = np.cumsum(np.bincount(up, minlength=len(first))).tolist()
+    second = second.astype("<u4")
+    return first, [second[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 def _sets(batches: Iterator[pa.RecordBatch], runs: int) -> Iterator[pa.RecordBatch]:
@@ -131,28 +123,17 @@ def _sets(batches: Iterator[pa.RecordBatch], runs: int) -> Iterator[pa.RecordBat
         )
 
 
-def _split(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
-    """Rows of the next level of large buckets."""
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of the second level of large buckets."""
     for batch in batches:
-        ids, buckets, belows = [], [], []
+        ids, buckets = [], []
         for bucket, below, rep in zip(*(batch.column(c).to_pylist() for c in ("bucket", "below", "rep")), strict=True):
-            part = np.frombuffer(below, "<u4")
-            count = int(part[0]) if level == 1 else len(part)
-            children = part[1 : 1 + count] if level == 1 else part
-            ends = np.cumsum(part[1 + count : 1 + 2 * count]) if level == 1 else np.zeros(count, int)
-            third, start = part[1 + 2 * count :], 0
-            nodes = mix(children.astype(np.uint64) ^ mix(np.array([bucket]).view(np.uint64)))
-            for node, end in zip(nodes.view(np.int64).tolist(), ends.tolist(), strict=True):
-                ids.append(rep)
-                buckets.append(node)
-                belows.append(third[start:end].tobytes())
-                start = end
+            children = np.frombuffer(below, "<u4").astype(np.uint64)
+            nodes = mix(children ^ mix(np.array([bucket]).view(np.uint64)))
+            buckets += nodes.view(np.int64).tolist()
+            ids += [rep] * len(nodes)
         yield pa.record_batch(
-            {
-                "bucket": pa.array(buckets, pa.int64()),
-                "below": pa.array(belows, pa.binary()),
-                "rep": pa.array(ids, batch.schema.field("rep").type),
-            }
+            {"bucket": pa.array(buckets, pa.int64()), "rep": pa.array(ids, batch.schema.field("rep").type)}
         )
 
 
@@ -164,17 +145,11 @@ def _with_sizes(rows: DataFrame, level: int) -> DataFrame:
 
 def _leaves(sets: DataFrame, kind: str) -> DataFrame:
     """bucket, size, rep of all buckets to compare."""
-    rows = sets.select(F.explode(F.arrays_zip("bucket", "below")).alias("x"), "rep").select("x.bucket", "x.below", "rep")
-    schema, leaves = f"bucket bigint, below binary, rep {kind}", None
-    for level in range(1, DEPTH + 1):
-        sized = _with_sizes(rows, level)
-        last = level == DEPTH
-        done = sized.where(F.lit(True) if last else F.col("size") <= SMALL).select("bucket", "size", "rep")
-        leaves = done if leaves is None else leaves.unionByName(done)
-        if not last:
-            large = sized.where(F.col("size") > SMALL).select("bucket", "below", "rep")
-            rows = large.mapInArrow(lambda batches, at=level: _split(batches, at), schema)
-    return leaves
+    first = sets.select(F.explode(F.arrays_zip("bucket", "below")).alias("x"), "rep")
+    first = _with_sizes(first.select("x.bucket", "x.below", "rep"), 1)
+    small = first.where(F.col("size") <= SMALL).select("bucket", "size", "rep")
+    large = first.where(F.col("size") > SMALL).select("bucket", "below", "rep")
+    return small.unionByName(_with_sizes(large.mapInArrow(_split, f"bucket bigint, rep {kind}"), 2))
 
 
 def _blocks(leaves: DataFrame) -> DataFrame:

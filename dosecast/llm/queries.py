@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dosecast.llm import (
-    bpe, decontaminate, html_text, jaccard_join, packed_ids, quality_model, quality_rules, token_counts,
+    bpe, chat, decontaminate, html_text, jaccard_join, packed_ids, pii, quality_model, quality_rules, token_counts,
 )
 from dosecast.llm.common import table
 
@@ -33,6 +33,31 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > OVER_LIMIT).alias("over_limit"))
 
 
+@_query(
+    """
+WITH k AS (
+  SELECT conv_id, CAST(floor(turn / 64.0) AS BIGINT) AS part, turn, role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND role IS NOT NULL),
+s AS (SELECT DISTINCT conv_id, role AS speaker FROM k WHERE role <> 'system'),
+v AS (
+  SELECT k.*, speaker, '<|im_start|>'
+    || CASE WHEN role = 'system' THEN 'system' WHEN role = speaker THEN 'assistant' ELSE 'user name=' || role END
+    || chr(10) || text || '<|im_end|>' || chr(10) AS piece,
+    CASE WHEN role = speaker THEN length(text) + 11 ELSE 0 END AS learn
+  FROM k JOIN s USING (conv_id)),
+o AS (
+  SELECT *, sum(length(piece)) OVER w AS stop, row_number() OVER w AS rn FROM v
+  WINDOW w AS (PARTITION BY conv_id, speaker ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, speaker, part, count(*) AS n_turns, CAST(min(stop - length(piece)) AS BIGINT) AS start,
+  string_agg(piece, '' ORDER BY rn) AS text,
+  coalesce(string_agg(CASE WHEN learn > 0 THEN CAST(stop - learn AS VARCHAR) || ':' || CAST(stop AS VARCHAR) END, ',' ORDER BY rn), '') AS mask
+FROM o GROUP BY conv_id, speaker, part
+"""
+)
+def op2_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
 @_query()
 def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -85,6 +110,11 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@_query()
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 @_query()
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_texts(table(spark, sf_dir, "documents"))
