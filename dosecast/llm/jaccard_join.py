@@ -353,8 +353,8 @@ def similar_texts(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
         "doc_id",
         own.alias("class_id"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("copy_of"),
-        F.coalesce("n_copies", F.lit(1)).cast("bigint").alias("n_copies"),
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("n_copies", F.lit(1))).otherwise(1).cast("bigint").alias("n_copies"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).cast("bigint").alias("n_links"),
     )
 
 

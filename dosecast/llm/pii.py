@@ -8,8 +8,8 @@ The method starts from those entities. Each mention gives two lexical patterns,
 words on both sides. Looser candidates (tokens shaped like the kind that the base did not take) give theirs. Patterns and
 instances form a graph: a pattern is as good as the mean of its instances, drawn to zero by ``DOUBT`` doubtful ones; an
 instance that no base match supports is as good as its patterns together (noisy or). After ``ROUNDS`` rounds, patterns of at
-least ``CONFIDENCE`` with ``SUPPORT`` distinct known instances mark the candidates in their place as new spans, where these
-do not overlap another span. The graph is one row per pattern and instance, counted before it is shuffled.
+least ``CONFIDENCE`` with ``SUPPORT`` distinct known instances name the candidates in their place as identifiers; all their
+mentions become new spans, where these do not overlap another span. The graph is one row per pattern and instance, counted before it is shuffled.
 
 Null and empty texts have no data. Repeated rows give the same spans each; they count as one mention each. Null ids are kept.
 Extra columns pass through ``redact`` untouched.
@@ -191,7 +191,9 @@ def new_spans(found: DataFrame) -> DataFrame:
         )
         scored = stage(scored.select("kind", "pattern", "instance", "known", "score"), "graph")
     good = _pattern_scores(scored).where((F.col("confidence") >= CONFIDENCE) & (F.col("support") >= SUPPORT))
-    taken = mentions.where("NOT known").join(good.select("kind", "pattern").hint("merge"), ["kind", "pattern"], "left_semi")
+    unseen = scored.where("NOT known").join(good.select("kind", "pattern").hint("merge"), ["kind", "pattern"], "left_semi")
+    unseen = unseen.select("kind", "instance").distinct()
+    taken = mentions.where("NOT known").join(unseen.hint("merge"), ["kind", "instance"], "left_semi")
     return taken.groupBy("doc_id", "text_hash").agg(
         F.collect_set(F.struct("start", "end", "kind")).alias("added")
     )
