@@ -41,7 +41,7 @@ THRESHOLD = 0.8
 RECALL = 0.999
 BRANCHES = 1.25  # 1 / THRESHOLD: a shared walk of two sets at the threshold goes on with one child on average
 DEPTH = 2
-SMALL = 256
+SMALL = 512
 _WEIGHTS = np.array([0x9E3779B97F4A7C15 * (2 * k + 3) | 1 for k in range(WORDS)], dtype=object)
 _WEIGHTS = np.array([int(w) & (1 << 64) - 1 for w in _WEIGHTS], np.uint64)
 
