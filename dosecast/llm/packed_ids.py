@@ -15,7 +15,9 @@ text, so equal input gives equal files. Columns other than id and text are not l
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,6 +33,9 @@ from dosecast.sources.staging import fresh_path
 
 BLOCK_IDS = 1 << 18
 END_ID = 2
+KEPT_RUNS = 1_000_000
+_RUN = re.compile(r" ?\S+|\s+(?!\S)|\s+").findall
+_ONLY_PYTHON_SPACE = re.compile("[\x1c-\x1f]")  # white space to Python alone
 
 
 def bits_for(vocabulary: int) -> int:
@@ -87,8 +92,63 @@ def _tokenizer(path: str) -> Tokenizer:
     return library
 
 
+class Encoder:
+    """Ids of whole texts, as the library gives them.
+
+    A byte-level pattern with the blank at the front of a word cuts a text into runs of a blank and non-blanks, and white
+    space, each of which it then cuts on its own. Runs repeat, so the ids of each are asked of the library once and kept.
+    Texts with a special token, and tokenizers with other rules, go to the library whole.
+    """
+
+    def __init__(self, path: str):
+        self.library = loaded(_tokenizer, path)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        rule = spec["pre_tokenizer"]
+        keys = ("type", "add_prefix_space", "use_regex")
+        self.by_runs = spec["normalizer"] is None and [rule.get(k) for k in keys] == ["ByteLevel", False, True]
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        self._reset()
+
+    def _reset(self) -> None:
+        self.number: dict[str, int] = {}
+        self.flat, self.starts = np.zeros(1024, np.uint32), [0]
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.by_runs:
+            return self._whole(texts)
+        if len(self.number) > KEPT_RUNS:
+            self._reset()
+        whole = [i for i, t in enumerate(texts) if _ONLY_PYTHON_SPACE.search(t) or any(s in t for s in self.special)]
+        out = dict(zip(whole, self._whole([texts[i] for i in whole]), strict=True))
+        runs = {i: _RUN(t) for i, t in enumerate(texts) if i not in out}
+        self._learn(list({r for own in runs.values() for r in own if r not in self.number}))
+        starts = np.array(self.starts)
+        for i, own in runs.items():
+            at = np.fromiter(map(self.number.__getitem__, own), np.int64, len(own))
+            first, count = starts[at], starts[at + 1] - starts[at]
+            ends = np.cumsum(count)
+            places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + count, count)
+            out[i] = self.flat[places]
+        return [out[i] for i in range(len(texts))]
+
+    def _learn(self, runs: list[str]) -> None:
+        new = [e.ids for e in self.library.encode_batch_fast(runs, add_special_tokens=False)]
+        ids = np.array([x for own in new for x in own], np.uint32)
+        base = self.starts[-1]
+        while len(self.flat) < base + len(ids):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[base : base + len(ids)] = ids
+        self.number.update(zip(runs, range(len(self.number), len(self.number) + len(runs)), strict=True))
+        self.starts += (base + np.cumsum([len(own) for own in new], dtype=np.int64)).tolist()
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in found]
+
+
 def _blocks(batches, tokenizer: str, end_id: int, bits: int, block_ids: int) -> Iterator[pa.RecordBatch]:
-    library = loaded(_tokenizer, tokenizer)
+    encoder = loaded(Encoder, tokenizer)
     shard = TaskContext.get().partitionId()
     end = np.array([end_id], dtype="<u4")
     ids, starts, parts, total, first, made = [], [], [], 0, 0, 0
@@ -113,11 +173,11 @@ def _blocks(batches, tokenizer: str, end_id: int, bits: int, block_ids: int) ->
         kind = batch.schema.field("doc_id").type
         for at in range(0, batch.num_rows, 200):
             some = batch.slice(at, 200)
-            found = library.encode_batch_fast(some.column("text").to_pylist(), add_special_tokens=False)
+            found = encoder(some.column("text").to_pylist())
             for doc_id, one in zip(some.column("doc_id").to_pylist(), found, strict=True):
                 ids.append(doc_id)
                 starts.append(total)
-                parts += [np.array(one.ids, dtype="<u4"), end]
+                parts += [one, end]
                 total += len(parts[-2]) + 1
                 if total >= block_ids:
                     yield block()
