@@ -55,15 +55,18 @@ def visit_prefix(visit: Column) -> Column:
 
 
 def visit_days(text: Column) -> Column:
-    """Comma-separated day numbers as array<int>; duplicates kept, null gives [].
+    """Comma-separated day numbers as array<bigint>; duplicates kept, null gives [].
 
-    Other tokens are dropped, and so are numbers of more than seven digits, which no calendar holds.
+    Other tokens are dropped. A number beyond bigint counts as the largest one: no visit falls on either.
     """
+    largest = F.lit(2**63 - 1)
     numbers = F.transform(
         F.split(text, ","),
-        lambda token: F.when(F.rlike(strip(token), F.lit(r"^0*\d{1,7}$")), strip(token).try_cast("int")),
+        lambda token: F.when(
+            F.rlike(strip(token), F.lit(r"^\d+$")), F.coalesce(strip(token).try_cast("bigint"), largest)
+        ),
     )
-    return F.coalesce(F.array_compact(numbers), F.array().cast("array<int>"))
+    return F.coalesce(F.array_compact(numbers), F.array().cast("array<bigint>"))
 
 
 def drug_base_of_match(drug: Column) -> Column:

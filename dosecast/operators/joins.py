@@ -26,9 +26,9 @@ def dimension_join(
 ) -> DataFrame:
     """Null-safe join of ``facts`` with ``dim`` on ``dim`` column = fact expression.
 
-    ``how`` is inner, left or left_anti, always seen from the facts. A ``dim`` of at most ``max_bytes``
-    (measured, not estimated) is broadcast, so the facts stay where they are. A larger one is joined by
-    shuffle: matching keys are few, so one of them may hold a large part of the facts. Each fact row
+    ``how`` is inner, left, left_semi or left_anti, always seen from the facts. A ``dim`` of at most ``max_bytes``
+    (measured by a job of its own, not estimated) is broadcast, so the facts stay where they are. A larger one is
+    joined by shuffle, which a hint holds Spark to: matching keys are few, so one of them may hold a large part of the facts. Each fact row
     takes one of ``SALTS`` salts and each ``dim`` row appears under all of them, which spreads a hot key
     over that many tasks and leaves the result unchanged. The adaptive skew join splits further.
     ``dim`` must use column names that ``facts`` does not have.
@@ -43,5 +43,5 @@ def dimension_join(
         return facts.join(F.broadcast(dim), condition, how)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int"))
     copies = dim.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = salted.join(copies, condition & (F.col("_salt") == F.col("_dim_salt")), how)
+    joined = salted.join(copies.hint("merge"), condition & (F.col("_salt") == F.col("_dim_salt")), how)
     return joined.drop("_salt", "_dim_salt")

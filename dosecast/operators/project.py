@@ -12,7 +12,7 @@ from dosecast.functions import text, values
 from dosecast.params import ForecastParams
 
 # A cycle start before the first day that nanosecond timestamps reach is a broken visit text and gives
-# no visits; so are longer spans than LONGEST days, which would leave the calendar.
+# no visits; so are longer spans than LONGEST days, which would leave the calendar. ``unprojected`` reports them.
 EARLIEST = dt.date(1677, 9, 22)
 LONGEST = 3_000_000
 
@@ -30,7 +30,9 @@ def cycle_bounds(plan: DataFrame, params: ForecastParams) -> DataFrame:
     pattern = text.visit_days(F.col("visit_days"))
     base = plan.where(F.col("last_study_visit_date").isNotNull() & F.col("subject_number").isNotNull()).withColumns(
         {
-            "_days": F.when(F.size(pattern) == 0, F.array(F.lit(1))).otherwise(F.array_sort(pattern)),
+            "_days": F.when(F.size(pattern) == 0, F.array(F.lit(1))).otherwise(
+                F.array_sort(F.filter(pattern, lambda d: d <= LONGEST).cast("array<int>"))
+            ),
             "_length": F.when(length > 0, F.least(length, F.lit(LONGEST)))
             .otherwise(params.default_cycle_days)
             .cast("int"),
@@ -39,7 +41,7 @@ def cycle_bounds(plan: DataFrame, params: ForecastParams) -> DataFrame:
             "_prefix": F.when(F.col("is_crossover"), "Crossover ").when(F.col("is_tpc"), "TPC ").otherwise(""),
         }
     )
-    base = base.where(F.col("_current_start") >= F.lit(EARLIEST))
+    base = base.where((F.col("_current_start") >= F.lit(EARLIEST)) & (F.size("_days") > 0))
     planned = base.withColumn("_planned_start", F.date_add("_current_start", F.col("_length")))
     behind = F.datediff(today, "_planned_start")
     missed = planned.withColumn(
@@ -54,6 +56,22 @@ def cycle_bounds(plan: DataFrame, params: ForecastParams) -> DataFrame:
     return first.withColumn("_last_k", F.greatest(F.least(by_horizon, by_cap), F.lit(-1)).cast("int"))
 
 
+def unprojected(plan: DataFrame) -> DataFrame:
+    """Plan rows that cannot be projected as written, with the first ``reason`` that applies."""
+    pattern = text.visit_days(F.col("visit_days"))
+    in_reach = F.filter(pattern, lambda d: d <= LONGEST)
+    start = F.date_sub("last_study_visit_date", F.least("parsed_last_visit_day", F.lit(LONGEST)) - 1)
+    reason = (
+        F.when(F.col("subject_number").isNull(), "no subject number")
+        .when(F.col("last_study_visit_date").isNull(), "no last visit date")
+        .when(F.col("parsed_last_visit_day") > LONGEST, "visit day beyond the calendar")
+        .when(start < F.lit(EARLIEST), "cycle starts before the calendar")
+        .when(F.col("dispensing_frequency_days") > LONGEST, "cycle longer than the calendar")
+        .when((F.size(pattern) > 0) & (F.size(in_reach) == 0), "visit days beyond the calendar")
+    )
+    return plan.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def project_visits(plan: DataFrame, params: ForecastParams) -> DataFrame:
     """One row per future visit: the rest of the current cycle, then whole cycles up to the horizon."""
     bounds = cycle_bounds(plan, params)

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame
 
 
 def write_partitions(df: DataFrame, path: str, file_format: str = "parquet", column: str = "extract_date") -> None:
-    """Replace the partitions that occur in ``df`` and leave all others. No rows, no write."""
+    """Replace the partitions that occur in ``df`` and leave all others. No rows, no write.
+
+    Rows of a partition come together first, split where there are many, so tasks do not each write a file per date.
+    """
     (
-        df.write.format(file_format)
+        df.hint("rebalance", column)
+        .write.format(file_format)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)

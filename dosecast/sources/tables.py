@@ -15,8 +15,8 @@ def scan(spark: SparkSession, name_or_path: str) -> DataFrame:
 
 
 def _typed_csv(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
-    """CSV with a header line as text, missing markers null, known columns typed, others kept as text."""
-    raw = spark.read.option("header", "true").option("escape", '"').csv(path)
+    """CSV with a header line as text, line breaks in quoted cells allowed; missing markers null, known columns typed, others kept as text."""
+    raw = spark.read.options(header="true", escape='"', multiLine="true").csv(path)
     raw = raw.toDF(*[c.strip() for c in raw.columns])
     columns = []
     for name in raw.columns:
@@ -40,11 +40,12 @@ def mapping_csv(spark: SparkSession, path: str) -> DataFrame:
 def latest_snapshot(df: DataFrame, snapshot_col: str = "processed_timestamp") -> DataFrame:
     """Rows of the latest day in ``snapshot_col``.
 
-    The day comes from a scalar subquery that reads that column alone; on a table partitioned by the
-    column it prunes partitions.
+    The day comes from a job that reads that column alone. Its start is then a constant lower bound on the bare
+    column, so partitions are pruned and row groups skipped.
     """
-    day = F.col(snapshot_col).cast("date")
-    return df.where(day == df.agg(F.max(day)).scalar())
+    day = df.agg(F.max(F.col(snapshot_col)).cast("date").alias("day")).first()["day"]
+    start = F.lit(day).cast(dict(df.dtypes)[snapshot_col])
+    return df.where(F.col(snapshot_col) >= start)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -83,6 +83,7 @@ _DAYS = (
     "list_transform(list_filter(string_split(coalesce(visit_days, ''), ','), "
     "lambda x: regexp_full_match(trim(x), '\\d+')), lambda x: CAST(trim(x) AS INTEGER))"
 )
+_LONG_DAYS = _DAYS.replace("INTEGER", "BIGINT")
 _CYCLE = (
     "coalesce(TRY_CAST(nullif(regexp_extract(last_study_visit_recorded, '(?i)(?:C|Cycle\\s?)(\\d+)', 1), '') "
     "AS INTEGER), 0)"
@@ -271,10 +272,10 @@ def parsed_visits(spark, sf_dir):
 
 @query(
     f"""WITH lines AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 7 THEN NULL ELSE
-        CAST(l_linenumber AS VARCHAR) || ', ' || CAST(l_suppkey AS VARCHAR) || ',day ' || l_returnflag || ',1' END
-        AS visit_days FROM lineitem)
-        SELECT l_orderkey, l_linenumber, array_to_string({_DAYS}, ';') AS days,
-        CAST(len({_DAYS}) AS INTEGER) AS n_days FROM lines"""
+        CAST(l_linenumber AS VARCHAR) || ', ' || CAST(l_suppkey AS VARCHAR) || ',day ' || l_returnflag || ',1,'
+        || CAST(l_orderkey + 1234567890123 AS VARCHAR) END AS visit_days FROM lineitem)
+        SELECT l_orderkey, l_linenumber, array_to_string({_LONG_DAYS}, ';') AS days,
+        CAST(len({_LONG_DAYS}) AS INTEGER) AS n_days FROM lines"""
 )
 def visit_day_arrays(spark, sf_dir):
     written = F.when(
@@ -285,6 +286,7 @@ def visit_day_arrays(spark, sf_dir):
             F.concat(F.lit(" "), F.col("l_suppkey").cast("string")),
             F.concat(F.lit("day "), "l_returnflag"),
             F.lit("1"),
+            (F.col("l_orderkey") + 1234567890123).cast("string"),
         ),
     )
     days = text.visit_days(written)
