@@ -35,6 +35,7 @@ BLOCK_IDS = 1 << 18
 END_ID = 2
 KEPT_RUNS = 1_000_000
 _RUN = re.compile(r" ?\S+|\s+(?!\S)|\s+").findall
+_PUNCTUATION = ".,;:!?#*$%&|<>()"
 _ONLY_PYTHON_SPACE = re.compile("[\x1c-\x1f]")  # white space to Python alone
 
 
@@ -92,6 +93,12 @@ def _tokenizer(path: str) -> Tokenizer:
     return library
 
 
+def _parts(run: str) -> tuple[str, ...]:
+    """A run cut where its last letter or number is followed by punctuation, at which the pattern cuts too."""
+    core = run.rstrip(_PUNCTUATION)
+    return (core, run[len(core) :]) if len(core) < len(run) and core[-1:].isalnum() else (run,)
+
+
 class Encoder:
     """Ids of whole texts, as the library gives them.
 
@@ -112,6 +119,7 @@ class Encoder:
 
     def _reset(self) -> None:
         self.number: dict[str, int] = {}
+        self.of_part: dict[str, list[int]] = {}
         self.flat, self.starts = np.zeros(1024, np.uint32), [0]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
@@ -133,7 +141,12 @@ class Encoder:
         return [out[i] for i in range(len(texts))]
 
     def _learn(self, runs: list[str]) -> None:
-        new = [e.ids for e in self.library.encode_batch_fast(runs, add_special_tokens=False)]
+        parts = [_parts(run) for run in runs]
+        known = self.of_part
+        ask = list({p for own in parts for p in own if p not in known})
+        found = self.library.encode_batch_fast(ask, add_special_tokens=False)
+        known.update(zip(ask, (e.ids for e in found), strict=True))
+        new = [known[own[0]] if len(own) == 1 else known[own[0]] + known[own[1]] for own in parts]
         ids = np.array([x for own in new for x in own], np.uint32)
         base = self.starts[-1]
         while len(self.flat) < base + len(ids):
