@@ -19,7 +19,9 @@ import json
 import os
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,9 @@ from dosecast.sources.staging import fresh_path
 
 BLOCK_IDS = 1 << 18
 END_ID = 2
-KEPT_RUNS = 1_000_000
+KEPT_PIECES = 1_000_000
+KEPT_CHARS = 32 << 20
+PARTS_A_CALL = 256
 _RUN = re.compile(r" ?\S+|\s+(?!\S)|\s+").findall
 _PUNCTUATION = ".,;:!?#*$%&|<>()"
 _ONLY_PYTHON_SPACE = re.compile("[\x1c-\x1f]")  # white space to Python alone
@@ -99,12 +103,44 @@ def _parts(run: str) -> tuple[str, ...]:
     return (core, run[len(core) :]) if len(core) < len(run) and core[-1:].isalnum() else (run,)
 
 
+class _Rows:
+    """Id rows one after the other in an array that grows."""
+
+    def __init__(self):
+        self.flat, self.starts, self.n = np.zeros(1 << 16, np.uint32), np.zeros(1 << 12, np.int64), 0
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        base, rows = int(self.starts[self.n]), len(lengths)
+        self.flat = _room(self.flat, base + len(ids))
+        self.starts = _room(self.starts, self.n + rows + 1)
+        self.flat[base : base + len(ids)] = ids
+        self.starts[self.n + 1 : self.n + rows + 1] = base + np.cumsum(lengths)
+        self.n += rows
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the rows ``at``, joined, and the length of each."""
+        first = self.starts[at]
+        count = self.starts[at + 1] - first
+        ends = np.cumsum(count)
+        places = np.repeat(first - ends + count, count)
+        places += np.arange(len(places))
+        return self.flat[places], count
+
+
+def _room(values: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(values):
+        return values
+    return np.concatenate([values, np.zeros(max(size, 2 * len(values)) - len(values), values.dtype)])
+
+
 class Encoder:
     """Ids of whole texts, as the library gives them.
 
-    A byte-level pattern with the blank at the front of a word cuts a text into runs of a blank and non-blanks, and white
-    space, each of which it then cuts on its own. Runs repeat, so the ids of each are asked of the library once and kept.
-    Texts with a special token, and tokenizers with other rules, go to the library whole.
+    A byte-level pattern with the blank at the front of a word begins a new piece at every blank that follows a non-blank.
+    So a text is cut at its blanks, and the ids of each distinct piece are made once and kept. A piece in turn
+    is cut into runs of non-blanks and of white space, whose ids are asked of the library, many in one call with line
+    feeds between them. Where white space comes before a blank, where a text holds a special token, and for tokenizers
+    with other rules, the text goes to the library whole.
     """
 
     def __init__(self, path: str):
@@ -113,53 +149,82 @@ class Encoder:
             spec = json.load(file)
         rule = spec["pre_tokenizer"]
         keys = ("type", "add_prefix_space", "use_regex")
-        self.by_runs = spec["normalizer"] is None and [rule.get(k) for k in keys] == ["ByteLevel", False, True]
+        self.by_pieces = spec["normalizer"] is None and [rule.get(k) for k in keys] == ["ByteLevel", False, True]
         self.special = [t["content"] for t in spec["added_tokens"]]
+        feed = self.library.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if len(feed) == 1 else None
         self._reset()
 
     def _reset(self) -> None:
-        self.number: dict[str, int] = {}
-        self.of_part: dict[str, list[int]] = {}
-        self.flat, self.starts = np.zeros(1024, np.uint32), [0]
+        # a piece stands for itself with a blank before it; the first of a text is kept with a blank, for none before it
+        self.piece: dict[str, int] = defaultdict(count().__next__)
+        self.part: dict[str, int] = defaultdict(count().__next__)
+        self.of_piece, self.of_part = _Rows(), _Rows()
+        self.open, self.chars = np.zeros(1 << 12, bool), 0
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.by_runs:
+        if not self.by_pieces:
             return self._whole(texts)
-        if len(self.number) > KEPT_RUNS:
+        if len(self.piece) > KEPT_PIECES or self.chars > KEPT_CHARS:
             self._reset()
         whole = [i for i, t in enumerate(texts) if _ONLY_PYTHON_SPACE.search(t) or any(s in t for s in self.special)]
+        left, number = set(whole), self.piece.__getitem__
+        at = {}
+        for i, text in enumerate(texts):
+            if i not in left:
+                own = text.split(" ")
+                own[0] = " " + own[0]
+                at[i] = np.fromiter(map(number, own), np.int64, len(own))
+        self._learn()
+        # white space at the end of a piece, the last one aside, belongs with the blank that follows
+        whole += [i for i, own in at.items() if self.open[own[:-1]].any()]
         out = dict(zip(whole, self._whole([texts[i] for i in whole]), strict=True))
-        runs = {i: _RUN(t) for i, t in enumerate(texts) if i not in out}
-        self._learn(list({r for own in runs.values() for r in own if r not in self.number}))
-        starts = np.array(self.starts)
-        for i, own in runs.items():
-            at = np.fromiter(map(self.number.__getitem__, own), np.int64, len(own))
-            first, count = starts[at], starts[at + 1] - starts[at]
-            ends = np.cumsum(count)
-            places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + count, count)
-            out[i] = self.flat[places]
-        return [out[i] for i in range(len(texts))]
-
-    def _learn(self, runs: list[str]) -> None:
-        parts = [_parts(run) for run in runs]
-        known = self.of_part
-        ask = list({p for own in parts for p in own if p not in known})
-        found = self.library.encode_batch_fast(ask, add_special_tokens=False)
-        known.update(zip(ask, (e.ids for e in found), strict=True))
-        new = [known[own[0]] if len(own) == 1 else known[own[0]] + known[own[1]] for own in parts]
-        ids = np.array([x for own in new for x in own], np.uint32)
-        base = self.starts[-1]
-        while len(self.flat) < base + len(ids):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[base : base + len(ids)] = ids
-        self.number.update(zip(runs, range(len(self.number), len(self.number) + len(runs)), strict=True))
-        self.starts += (base + np.cumsum([len(own) for own in new], dtype=np.int64)).tolist()
+        return [out[i] if i in out else self.of_piece.take(at[i])[0] for i in range(len(texts))]
+
+    def _learn(self) -> None:
+        """Ids of the pieces that were met for the first time."""
+        known, number = self.of_piece.n, self.part.__getitem__
+        keys = _newest(self.piece, known)
+        self.open = _room(self.open, len(self.piece))
+        parts, counts = [], []
+        for i, key in enumerate(keys, known):
+            text = key[1:] if key[:1] == " " else " " + key
+            self.open[i] = text[-1:].isspace()
+            self.chars += len(key)
+            own = [p for run in _RUN(text) for p in _parts(run)]
+            parts += map(number, own)
+            counts.append(len(own))
+        self._learn_parts(_newest(self.part, self.of_part.n))
+        ids, lengths = self.of_part.take(np.array(parts, np.int64))
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        ends = np.cumsum(counts, dtype=np.int64)
+        self.of_piece.add(ids, np.diff(before[ends], prepend=0))
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        for at in range(0, len(parts), PARTS_A_CALL):
+            some = parts[at : at + PARTS_A_CALL]
+            joined = self.feed is not None and not any(p.isspace() for p in some)
+            if joined:
+                ids = np.array(self._whole(["\n".join(some)])[0])
+                feeds = np.flatnonzero(ids == self.feed)
+                joined = len(feeds) == len(some) - 1
+            if joined:
+                lengths = np.diff(np.concatenate([[-1], feeds, [len(ids)]])) - 1
+                self.of_part.add(ids[ids != self.feed], lengths)
+            else:
+                found = self._whole(some)
+                self.of_part.add(np.concatenate(found), np.array([len(x) for x in found]))
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32) for e in found]
 
 
+def _newest(numbered: dict[str, int], known: int) -> list[str]:
+    """Keys numbered from ``known`` on, in order."""
+    return list(islice(reversed(numbered), len(numbered) - known))[::-1]
+
+
 def _blocks(batches, tokenizer: str, end_id: int, bits: int, block_ids: int) -> Iterator[pa.RecordBatch]:
     encoder = loaded(Encoder, tokenizer)
     shard = TaskContext.get().partitionId()
