@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 LEVELS = {"depot": "parent_depot", "site": "site_id", "study": "study_name"}
 
 
-def _measures() -> list[Column]:
+def _measures(n_visits: Column | None = None) -> list[Column]:
     # a subject number is unique within its study only
     subject = F.struct("study_name", "subject_number")
     return [
         F.sum("dispensing_quantity").cast("bigint").alias("quantity"),
-        F.count(F.lit(1)).alias("n_visits"),
+        (F.count(F.lit(1)) if n_visits is None else n_visits).alias("n_visits"),
         F.count_distinct(subject).alias("n_subjects"),
     ]
 
@@ -28,14 +28,21 @@ def demand(forecast_rows: DataFrame, level: str) -> DataFrame:
 
 
 def demand_all_levels(forecast_rows: DataFrame) -> DataFrame:
-    """The three rollups in one pass over the forecast; ``level`` tells them apart."""
+    """The three rollups in one pass over the forecast; ``level`` tells them apart.
+
+    Visits become one row per subject, drug and month before the grouping sets triple them. A forecast already sits by
+    study, subject and drug, so that step needs no shuffle.
+    """
     level_columns = list(LEVELS.values())
-    rows = _by_month(forecast_rows).withColumn("study", F.col("study_name"))
+    subject_months = _by_month(forecast_rows).groupBy(*level_columns, "subject_number", "drug_dispensed", "month")
+    rows = subject_months.agg(
+        F.sum("dispensing_quantity").alias("dispensing_quantity"), F.count(F.lit(1)).alias("visits")
+    ).withColumn("study", F.col("study_name"))
     columns = ["parent_depot", "site_id", "study", "drug_dispensed", "month"]
     sets = [[c, "drug_dispensed", "month"] for c in columns[:3]]
     kept_out = F.grouping_id(*columns)
     grouped = rows.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns]).agg(
-        kept_out.alias("_gid"), *_measures()
+        kept_out.alias("_gid"), *_measures(F.sum("visits"))
     )
     # bit of a column is set when the grouping set leaves it out
     level = F.when(F.col("_gid") == 0b01100, "depot").when(F.col("_gid") == 0b10100, "site").otherwise("study")
