@@ -40,6 +40,8 @@ FORECAST_SORT = ("study_name", "parent_depot", "site_id", "subject_number", "cyc
 # ---- fixed values: curation -------------------------------------------------------------------
 
 DATE_FORMATS = ("d-MMM-yyyy", "d MMM yyyy")
+# further forms of a date in an input of the forecast, month first where only numbers tell
+LOOSE_DATE_FORMATS = DATE_FORMATS + ("M/d/yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMMM yyyy", "yyyyMMdd", "yyyy/M/d")
 
 NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",

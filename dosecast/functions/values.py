@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dosecast.fixed_values import DATE_FORMATS
+from dosecast.fixed_values import DATE_FORMATS, LOOSE_DATE_FORMATS
 
 
 def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
@@ -16,10 +16,11 @@ def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     return F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])
 
 
-def parse_date_loose(value: Column, data_type: str) -> Column:
-    """Date out of whatever a column holds; text that is no date becomes null."""
+def parse_date_loose(value: Column, data_type: str, formats: Sequence[str] = LOOSE_DATE_FORMATS) -> Column:
+    """Date out of whatever a column holds: ISO text, or text in one of ``formats``; other text becomes null."""
     if data_type == "string":
-        return F.coalesce(value.try_cast("timestamp").cast("date"), parse_date(value))
+        text = F.trim(value)
+        return F.coalesce(text.try_cast("timestamp").cast("date"), parse_date(text, formats))
     return value.cast("date")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dosecast.fixed_values import (
     EXCLUDED_STATUSES,
+    LOOSE_DATE_FORMATS,
     MAPPING_COLUMNS,
     NORMALIZED_MAPPING_COLUMNS,
     NORMALIZED_SUBJECT_COLUMNS,
@@ -27,11 +28,11 @@ def known_columns(df: DataFrame, known: Sequence[str], keep: Sequence[str] = ())
     return df.select(*present, *[c for c in keep if c in df.columns and c not in present])
 
 
-def coerce_dates(df: DataFrame) -> DataFrame:
+def coerce_dates(df: DataFrame, formats: Sequence[str] = LOOSE_DATE_FORMATS) -> DataFrame:
     """Every column whose name contains ``date`` as a date; what is no date becomes null."""
     return df.select(
         *[
-            values.parse_date_loose(F.col(name), kind).alias(name) if "date" in name.lower() else F.col(name)
+            values.parse_date_loose(F.col(name), kind, formats).alias(name) if "date" in name.lower() else F.col(name)
             for name, kind in df.dtypes
         ]
     )

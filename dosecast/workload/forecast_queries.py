@@ -242,6 +242,10 @@ def date_coercion(spark, sf_dir):
     written = (
         F.when(key % 7 == 0, "not known")
         .when(key % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .when(key % 5 == 0, F.date_format("o_orderdate", "MM/dd/yyyy"))
+        .when(key % 5 == 1, F.date_format("o_orderdate", "MMM d, yyyy"))
+        .when(key % 5 == 2, F.date_format("o_orderdate", "yyyyMMdd"))
+        .when(key % 5 == 3, F.date_format("o_orderdate", " d MMMM yyyy"))
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
     )
     rows = view.table(spark, sf_dir, "orders").select(
