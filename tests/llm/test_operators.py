@@ -8,12 +8,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from dosecast.llm import bpe, chat, decontaminate, html_text, jaccard_join, packed_ids, pii, quality_model, quality_rules, token_counts
-from dosecast.llm.common import BYTE_BPE, WORD_BPE
+from dosecast.llm.common import BYTE_BPE, WORD_BPE, loaded
 
 WORDS = ["alpha", "beta", "gamma", "delta", "Überfluß", "été", "12", "end."]
 
@@ -180,6 +180,17 @@ def test_packing_round_trip(bits, ids, data):
     assert (packed_ids.unpack(packed, bits, first, len(ids) - first) == ids[first:]).all()
 
 
+_ODD = st.sampled_from(["a", "b", " ", "\n", "  ", "\t", ".", ",", "'s", "é", "漢字", "\xa0", "1", "<|endoftext|>", "\x1c", "🙂"])
+
+
+@settings(deadline=None)
+@given(st.lists(st.lists(_ODD, max_size=12).map("".join), min_size=1, max_size=20))
+def test_packed_ids_of_odd_white_space(texts):
+    library = loaded(packed_ids._tokenizer, BYTE_BPE)
+    made = loaded(packed_ids.Encoder, BYTE_BPE)(texts)
+    assert [x.tolist() for x in made] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_packed_ids(docs, nothing, spark, tmp_path):
     library = Tokenizer.from_file(BYTE_BPE)
     ordered = sorted(texts(docs), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
