@@ -24,7 +24,8 @@ class ForecastParams:
         One plan row for the primary and one for the additional drug, instead of primary first.
     ``subject_order`` / ``mapping_order``
         Columns that say which row comes first where a plan row is built from several. A row hash
-        breaks the remaining ties, so results never depend on partitioning.
+        breaks the remaining ties, so results never depend on partitioning. CSV input ranks by file and row where
+        these are left at their defaults.
     ``broadcast_bytes``
         A mapping-side table is broadcast only if its measured size stays within this.
     """

@@ -48,16 +48,19 @@ class Selection:
     folders: dict[str, list[str]]
 
 
+def _folder(params: CurationParams, name: str) -> str:
+    return f"{params.root.rstrip('/')}/{params.layout.folder.format(name)}"
+
+
 def select_files(spark: SparkSession, params: CurationParams) -> Selection:
     """Choose date folders and files. No valid folder in the chosen range is an error."""
-    listed = discovery.describe(discovery.list_files(spark, params.root), params.layout)
-    picked = discovery.choose_folders(listed, params.choice)
+    names = discovery.chosen_folder_names(spark, params.root, params.choice, params.layout)
+    listed = discovery.list_files(spark, *[_folder(params, name) for name in names])
+    picked = discovery.describe(listed, params.layout, params.root)
     files = discovery.latest_files(picked) if params.latest_only else discovery.all_files(picked)
     files = stage(files, "chosen-files")
     # at most one row per calendar day and kind
     places = files.select("kind", "date_folder").distinct().collect()
-    if not places:
-        discovery.chosen_folder_names(listed, params.choice)
     kinds = {p["kind"] for p in places}
     return Selection(files, {k: sorted(p["date_folder"] for p in places if p["kind"] == k) for k in kinds})
 
@@ -80,13 +83,13 @@ def curate_kind(
     if kind_name not in selection.folders:
         return None
     files = selection.files.where(F.col("kind") == kind_name)
-    paths = [f"{params.root.rstrip('/')}/{params.layout.folder.format(f)}" for f in selection.folders[kind_name]]
+    paths = [_folder(params, name) for name in selection.folders[kind_name]]
     glob = discovery.kind_glob(kind_name) if params.layout.named_files else None
     records = ragged_csv.read_ragged_csv(spark, paths, files, glob, params.max_header_rows, params.whole_bytes)
 
     # per file: study, header positions, verdict
     heads = (
-        discovery.describe(records.select("path", "header", "error").distinct(), params.layout)
+        discovery.describe(records.select("path", "header", "error").distinct(), params.layout, params.root)
         .withColumn("study", text.study_from_name(F.col("name"), pattern))
     )
     if kind.mapped:

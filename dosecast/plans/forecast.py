@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +56,14 @@ def forecast(
 def forecast_from_csv(
     spark: SparkSession, subjects_path: str, mapping_path: str, params: ForecastParams, output_path: str | None = None
 ) -> DataFrame:
-    """Forecast out of two CSV files; with ``output_path`` also written there, sorted, as CSV."""
+    """Forecast out of two CSV files; with ``output_path`` also written there, sorted, as CSV.
+
+    Where ``params`` leaves the orders at their defaults, rows rank as they stand in the files.
+    """
+    if params.subject_order == ForecastParams.subject_order:
+        params = replace(params, subject_order=(tables.FILE_ORDER,))
+    if params.mapping_order == ForecastParams.mapping_order:
+        params = replace(params, mapping_order=(tables.FILE_ORDER,))
     out = forecast(tables.subjects_csv(spark, subjects_path), tables.mapping_csv(spark, mapping_path), params, sort=True)
     if output_path:
         sinks.write_csv(out, output_path)

@@ -1,12 +1,13 @@
 """Which files to read: date folders, study folders, file kinds, latest versions.
 
-``<root>/<yyyymmdd>/<study folder>/<file>.csv`` is the default layout. Everything but ``list_files``
-works on any DataFrame with ``path`` and ``modificationTime``.
+``<root>/<yyyymmdd>/<study folder>/<file>.csv`` is the default layout. Everything but ``list_files`` and
+``chosen_folder_names`` works on any DataFrame with ``path`` and ``modificationTime``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,9 +59,22 @@ def list_files(spark: SparkSession, *paths: str, glob: str | None = None) -> Dat
     return reader.load(list(paths)).select("path", "modificationTime", "length")
 
 
-def describe(files: DataFrame, layout: Layout = Layout()) -> DataFrame:
-    """Add date folder, extract date, study folder, name and kind; files outside the layout go."""
-    parts = F.split(F.regexp_replace("path", "(?s)^.*?" + layout.pattern, "$1\n$2\n$3"), "\n")
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
+def describe(files: DataFrame, layout: Layout = Layout(), root: str | None = None) -> DataFrame:
+    """Add date folder, extract date, study folder, name and kind; files outside the layout go.
+
+    With ``root`` the layout begins there, whatever the root's own folders are called; without, at the first folder
+    that fits.
+    """
+    path, start = F.col("path"), "(?s)^.*?"
+    if root is not None:
+        above = re.sub(_SCHEME, "", root).rstrip("/")
+        bare = F.regexp_replace("path", _SCHEME, "")
+        path = F.when(F.startswith(bare, F.lit(above + "/")), F.substr(bare, F.lit(len(above) + 1)))
+        start = "(?s)^"
+    parts = F.split(F.regexp_replace(path, start + layout.pattern, "$1\n$2\n$3"), "\n")
 
     def details(part: Column) -> Column:
         folder, name = part[0], part[2]
@@ -94,12 +108,34 @@ def choose_folders(files: DataFrame, choice: FolderChoice = FolderChoice()) -> D
     return files
 
 
-def chosen_folder_names(files: DataFrame, choice: FolderChoice = FolderChoice()) -> list[str]:
-    """Names of the chosen folders, oldest first: at most one per calendar day. None is an error."""
-    names = [r["date_folder"] for r in date_folders(choose_folders(files, choice)).collect()]
-    if not names:
+def chosen_folder_names(
+    spark: SparkSession, root: str, choice: FolderChoice = FolderChoice(), layout: Layout = Layout()
+) -> list[str]:
+    """Names of the chosen date folders below ``root``, oldest first. None is an error.
+
+    Only the children of the root are listed, so the cost does not depend on what older folders hold. A folder
+    counts even if it is empty.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    children = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    before, after = layout.folder.split("{}")
+    fits = re.compile(re.escape(before) + r"([0-9]{8})" + re.escape(after))
+    dated = []
+    for child in children:
+        found = fits.fullmatch(child.getPath().getName())
+        if found and child.isDirectory():
+            try:
+                dated.append((dt.datetime.strptime(found[1], "%Y%m%d").date(), found[1]))
+            except ValueError:
+                continue  # eight digits that are no day
+    if choice.historical:
+        first, last = choice.start or dt.date.min, choice.end or dt.date.max
+        dated = [d for d in dated if first <= d[0] <= last]
+    else:
+        dated = sorted(dated)[-1:]
+    if not dated:
         raise ValueError("no valid date folders")
-    return names
+    return [name for _, name in sorted(dated)]
 
 
 def latest_files(files: DataFrame) -> DataFrame:

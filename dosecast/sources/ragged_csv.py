@@ -2,13 +2,16 @@
 
 Each file gives rows ``(path, header, line_no, record, error)``. The header is the first of the leading
 ``max_rows`` lines with at least two cells and no blank one; lines before it are dropped. A file that
-cannot be read gives one row with ``error`` and no record, and stops no other file.
+cannot be read gives one row with ``error`` and no record, and stops no other file. One with a header
+alone gives one row without error and record. Lines end in a line feed, a carriage return or both.
 
 Small files without line breaks in cells are cut into lines in place: one narrow pass. A file above
 ``whole_bytes``, or one with line breaks in cells, is read as splittable text, so a huge file is shared
 by many tasks. Its lines are numbered within each split and staged, since a later pass may cut splits
 elsewhere. Quote state then runs along each split and along the list of splits: no step holds a file
-in one task.
+in one task. A file that ends inside quotes is known from its splits and rejected before its lines are
+put together. Carriage returns alone do not make a file splittable: up to the next line feed, it is one line to
+Spark's reader.
 """
 
 from __future__ import annotations
@@ -36,9 +39,8 @@ def _header_cells(line: Column) -> Column:
     return csv_text.cells(F.regexp_replace(line, "^\ufeff", ""))
 
 
-def _without_return(line: Column) -> Column:
-    shorter = F.substr(line, F.lit(1), F.length(line) - 1)
-    return F.when(F.endswith(line, F.lit("\r")), shorter).otherwise(line)
+def _without_end(line: Column) -> Column:
+    return F.regexp_replace(line, r"(\r?\n|\r)\z", "")
 
 
 def _is_blank(record: Column) -> Column:
@@ -74,13 +76,14 @@ def read_ragged_csv(
         files = dimension_join(files, wanted, {"_wanted": F.col("path")}, "left_semi")
     checked = _cut_in_place(files.where(F.col("length") <= whole_bytes), max_rows)
     # one pass over the files: records, or for a file with breaks in cells a row that only names it
+    numbered = F.transform("body", lambda line, at: F.struct(at.alias("at"), line.alias("record")))
+    filled = F.filter(numbered, lambda x: ~_is_blank(x["record"]))
     first_pass = stage(
-        checked.select(
-            "path", "uri", "header", "error", "header_at", "multi_line",
-            F.posexplode_outer("body").alias("at", "record"),
-        ).where(F.col("record").isNull() | ~_is_blank(F.col("record"))),
+        checked.withColumn("_line", F.explode_outer(filled)).select(
+            "path", "uri", "header", "error", "header_at", "multi_line", "_line.*"
+        ),
         "csv-first-pass",
-    )
+    )
     narrow = first_pass.where(~F.col("multi_line")).select(
         "path", "header", (F.col("header_at") + F.col("at")).alias("line_no"), "record", "error"
     )
@@ -96,7 +99,7 @@ def read_ragged_csv(
 def _cut_in_place(files: DataFrame, max_rows: int) -> DataFrame:
     """Per small file: header, body lines, error, and whether some cell holds a line break."""
     content = F.col("content").cast("string")
-    lines = F.transform(F.split(content, "\n"), _without_return)
+    lines = F.split(content, "\r\n|\n|\r")
     cut = files.select("path", "uri", F.is_valid_utf8(content).alias("_valid"), lines.alias("_lines"))
     head = F.slice("_lines", 1, max_rows)
     # 1-based position, 0 for none
@@ -154,28 +157,32 @@ def _numbered_lines(spark: SparkSession, paths: list[str], split: DataFrame, glo
         F.col("_metadata.file_path").alias("uri"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
-        F.col("value").alias("line"),
+        F.is_valid_utf8("value").alias("valid"),  # patterns mend bad bytes, so this comes first
+        "value",
     )
+    # each line keeps its end, so that records can be put together again
+    ended = F.split(F.concat("value", F.lit("\n")), r"(?<=\r)(?!\n)")
+    lines = lines.select("uri", "block", "seq", "valid", F.posexplode(ended).alias("part", "line"))
     # lines of one split are read in order by one task, so seq orders them; a split is bounded in bytes
-    w = W.partitionBy("uri", "block").orderBy("seq")
+    w = W.partitionBy("uri", "block").orderBy("seq", "part")
     if not few:
         wanted = split.select(F.col("uri").alias("_wanted"))
         lines = dimension_join(lines, wanted, {"_wanted": F.col("uri")}, "left_semi")
-    return stage(lines.withColumn("at", F.row_number().over(w) - 1).drop("seq"), "csv-lines")
+    return stage(lines.withColumn("at", F.row_number().over(w) - 1).drop("seq", "part"), "csv-lines")
 
 
 def _read_splits(
     spark: SparkSession, paths: list[str], split: DataFrame, glob: str | None, max_rows: int
 ) -> DataFrame:
     lines = _numbered_lines(spark, paths, split, glob)
-    may_head = (F.col("at") < max_rows) & csv_text.is_header(_without_return(F.col("line")))
+    may_head = (F.col("at") < max_rows) & csv_text.is_header(_without_end(F.col("line")))
     by_block = W.partitionBy("uri").orderBy("block")
     before = by_block.rowsBetween(W.unboundedPreceding, -1)
     blocks = (
         lines.groupBy("uri", "block")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.bool_and(F.is_valid_utf8("line")).alias("valid"),
+            F.bool_and("valid").alias("valid"),
             F.min(F.when(may_head, F.struct("at", "line"))).alias("found"),
         )
         .withColumn("lines_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
@@ -195,7 +202,7 @@ def _read_splits(
         F.col("first.block").alias("header_block"),
         F.col("first.found.at").alias("header_at"),
         header_no.alias("header_no"),
-        _header_cells(_without_return(F.col("first.found.line"))).alias("header"),
+        _header_cells(_without_end(F.col("first.found.line"))).alias("header"),
     )
     heads = split.join(heads, "uri", "left").withColumn(
         "head_error", F.when(F.col("header").isNull(), F.coalesce("head_error", F.lit(NO_HEADER)))
@@ -209,7 +216,7 @@ def _read_splits(
     )
     body = dimension_join(lines, good, {"_uri": F.col("uri")}, residual=after_header)
     body = body.select("uri", "block", "at", "line")
-    bare = _without_return(F.col("line"))
+    bare = _without_end(F.col("line"))
     body = body.withColumns({"_closed": csv_text.ends_open(bare), "_opened": csv_text.stays_open(bare)})
     body = _running_state(body, ["uri", "block"], "at", "_closed", "_opened").drop("_closed", "_opened")
 
@@ -227,40 +234,46 @@ def _read_splits(
     ends = ends.withColumn("starts_open", F.coalesce(F.lag("after_closed").over(by_block), F.lit(False)))
     n_ends = F.when(F.col("starts_open"), F.col("ends_if_opened")).otherwise(F.col("ends_if_closed"))
     ends = ends.withColumn("records_before", F.coalesce(F.sum(n_ends).over(before), F.lit(0)))
-    starts = ends.select("uri", "block", "starts_open", "records_before")
+    whole_file = by_block.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    ends = ends.withColumn("file_open", F.last("after_closed").over(whole_file))
+    starts = stage(ends.select("uri", "block", "starts_open", "records_before", "file_open"), "csv-starts")
 
     w = W.partitionBy("uri", "block").orderBy("at")
-    tracked = body.join(starts, ["uri", "block"]).withColumn(
+    tracked = body.join(starts.where(~F.col("file_open")), ["uri", "block"]).withColumn(
         "open_after", F.when(F.col("starts_open"), F.col("after_opened")).otherwise(F.col("after_closed"))
     )
     finished = F.sum((~F.col("open_after")).cast("bigint")).over(w.rowsBetween(W.unboundedPreceding, -1))
     tracked = tracked.withColumn("record_no", F.col("records_before") + F.coalesce(finished, F.lit(0)))
     pieces = F.array_sort(F.collect_list(F.struct("block", "at", "line")))
     records = tracked.groupBy("uri", "record_no").agg(
-        F.bool_and("open_after").alias("unfinished"),
-        _without_return(F.array_join(F.transform(pieces, lambda p: p["line"]), "\n")).alias("record"),
+        _without_end(F.array_join(F.transform(pieces, lambda p: p["line"]), "")).alias("record")
     )
-    records = stage(records.where(F.col("unfinished") | ~_is_blank(F.col("record"))), "csv-records")
+    records = stage(records.where(~_is_blank(F.col("record"))), "csv-records")
 
     widths = heads.select(F.col("uri").alias("_uri"), F.size("header").alias("width"))
     faults = (
         dimension_join(records, widths, {"_uri": F.col("uri")})
-        .where(F.col("unfinished") | (csv_text.n_cells(F.col("record")) > F.col("width")))
         .groupBy("uri")
-        .agg(F.when(F.bool_or("unfinished"), OPEN_QUOTE).otherwise(LONG_ROW).alias("row_error"))
+        .agg(F.bool_or(csv_text.n_cells(F.col("record")) > F.col("width")).alias("too_long"))
     )
-    verdict = heads.join(faults, "uri", "left").withColumn("error", F.coalesce("head_error", "row_error"))
-    verdict = stage(verdict.select(F.col("uri").alias("_uri"), "path", "header", "header_no", "error"), "csv-verdict")
+    never_closed = starts.where("file_open").select("uri", "file_open").distinct()
+    row_error = F.when(F.col("file_open"), OPEN_QUOTE).when(F.col("too_long"), LONG_ROW)
+    verdict = heads.join(faults, "uri", "left").join(never_closed, "uri", "left").select(
+        F.col("uri").alias("_uri"), "path", "header", "header_no",
+        F.coalesce("head_error", row_error).alias("error"),
+        F.col("too_long").isNull().alias("no_record"),
+    )
+    verdict = stage(verdict, "csv-verdict")
     kept = (
         dimension_join(records, verdict.where(F.col("error").isNull()), {"_uri": F.col("uri")})
         .withColumn("line_no", (F.col("header_no") + 1 + F.col("record_no")).cast("int"))
         .select(*_OUT)
     )
-    failed = verdict.where(F.col("error").isNotNull()).select(
+    without_rows = verdict.where(F.col("error").isNotNull() | F.col("no_record")).select(
         "path",
         "header",
         F.lit(None).cast("int").alias("line_no"),
         F.lit(None).cast("string").alias("record"),
         "error",
     )
-    return kept.unionByName(failed)
+    return kept.unionByName(without_rows)

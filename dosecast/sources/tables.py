@@ -14,16 +14,26 @@ def scan(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.read.parquet(name_or_path) if "/" in name_or_path else spark.table(name_or_path)
 
 
+# path and number of a CSV row: sorts rows as they stand in the files
+FILE_ORDER = "row_in_file"
+
+
 def _typed_csv(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
-    """CSV with a header line as text, line breaks in quoted cells allowed; missing markers null, known columns typed, others kept as text."""
+    """CSV with a header line as text, line breaks in quoted cells allowed, and each row's place as ``FILE_ORDER``.
+
+    Missing markers become null, known columns are typed, others kept as text.
+    """
     raw = spark.read.options(header="true", escape='"', multiLine="true").csv(path)
-    raw = raw.toDF(*[c.strip() for c in raw.columns])
+    # one task reads a file with line breaks in cells from start to end, so numbers rise within it
+    place = F.struct(F.col("_metadata.file_path"), F.monotonically_increasing_id().alias("row")).alias(FILE_ORDER)
+    names = [c.strip() for c in raw.columns]
+    raw = raw.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(raw.columns, names, strict=True)], place)
     columns = []
-    for name in raw.columns:
+    for name in names:
         cell, kind = text.without_na(f"`{name}`"), types.get(name, "string")
         value = values.parse_date_loose(cell, "string") if kind == "date" else values.typed(cell, kind)
         columns.append(value.alias(name))
-    return raw.select(*columns)
+    return raw.select(*columns, FILE_ORDER)
 
 
 def subjects_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -259,6 +259,15 @@ def ingest_subjects(spark, sf_dir):
     return curate.curate_kind(spark, "subject", extracts.params(root), extracts.header_mapping(spark)).rows
 
 
+@query(_subject_sql("2024-02-01"))
+def ingest_subjects_mapping_file(spark, sf_dir):
+    """The header mapping itself comes from a CSV file."""
+    path = fresh_path(spark, "header-mapping") + ".csv"
+    sinks.write_csv(extracts.header_mapping(spark), path)
+    mapping = curate.load_header_mapping(spark, path)
+    return curate.curate_kind(spark, "subject", extracts.params(extracts.subject_extracts(spark, sf_dir)), mapping).rows
+
+
 @query(f"{_subject_sql('2024-01-01')} UNION ALL {_subject_sql('2024-02-01')}")
 def ingest_subjects_history(spark, sf_dir):
     root = extracts.subject_extracts(spark, sf_dir)
@@ -286,6 +295,15 @@ def ingest_site(spark, sf_dir):
     return curate.curate_kind(spark, "site", extracts.params(extracts.site_extracts(spark, sf_dir))).rows
 
 
+@query(_SITE_SQL)
+def empty_kind_kept(spark, sf_dir):
+    """A later run over a folder of the same day without site files leaves the site table as it is."""
+    target, headers = fresh_path(spark, "curated"), extracts.header_mapping(spark)
+    for root in (extracts.site_extracts(spark, sf_dir), extracts.subject_extracts(spark, sf_dir)):
+        curate.run_curation(spark, extracts.params(root), headers, target)
+    return tables.scan(spark, f"{target}/site")
+
+
 @query(_SITE_SQL)
 def ingest_site_split(spark, sf_dir):
     """The same files read as splittable text, the way of files too large to take whole."""

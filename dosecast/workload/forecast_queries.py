@@ -465,6 +465,18 @@ def forecast_sorted(spark, sf_dir):
     return _forecast(spark, sf_dir, sort=True)
 
 
+_EUROPE = f"SELECT * FROM ({view.SUBJECTS_SQL}) WHERE trim(country) = 'EUROPE'"
+
+
+@query(
+    f"{_prelude(_EUROPE)},\nmatched AS ({_matched('tiered')}),"
+    f"{_medicine()},{_plan()},{_bounds()},{_VISITS}\nSELECT * EXCLUDE (phase), {_STAMP} FROM forecast"
+)
+def forecast_filtered(spark, sf_dir):
+    """Subjects of one country in its usual spelling alone."""
+    return _forecast(spark, sf_dir, subject_filter="country = 'EUROPE'")
+
+
 @query(_forecast_sql(horizon=1095))
 def forecast_three_years(spark, sf_dir):
     return _forecast(spark, sf_dir, replace(P, horizon_days=1095))
@@ -688,6 +700,19 @@ def forecast_from_csv(spark, sf_dir):
     return spark.read.schema(FORECAST_SCHEMA).option("header", "true").csv(f"{root}/forecast")
 
 
+@query(
+    f"{_prelude(view.HISTORY_SQL)},\nmatched AS ({_matched('tiered', ', s.row_key')}),{_medicine()},"
+    f"{_plan('tier * 10000000000000000 - row_key')},{_bounds()},{_VISITS}\n"
+    f"SELECT * EXCLUDE (phase), {_STAMP} FROM forecast"
+)
+def forecast_in_file_order(spark, sf_dir):
+    """The history as CSV files with the last key first: where a subject has several rows, the earlier one in the files ranks first."""
+    root = fresh_path(spark, "csv-history")
+    sinks.write_csv(view.history(spark, sf_dir).orderBy(F.desc("row_key")), f"{root}/subjects")
+    sinks.write_csv(view.mapping(spark, sf_dir), f"{root}/mapping")
+    return job.forecast_from_csv(spark, f"{root}/subjects", f"{root}/mapping", P)
+
+
 @query(
     f"{_prelude(_LATEST_HISTORY)},\nmatched AS ({_matched('tiered', ', s.row_key')}),{_medicine()},"
     f"{_plan(f'tier * 10000000000000000 + {_HISTORY_ORDER}')},{_bounds()},{_VISITS}\n"

@@ -121,6 +121,21 @@ def test_whole_run_replaces_partitions_and_keeps_what_has_no_files(spark, tmp_pa
     assert {r["country"] for r in tables.scan(spark, f"{target}/site_supply").collect()} == {"second again"}
 
 
+def test_layout_begins_at_the_root(spark, tmp_path):
+    root = tmp_path / "2024"
+    put(root, "20240101/Acme AA-BB-1-1 Site SupplyMethod.csv", supply("in the date folder"))
+    put(root, "20240101/study 1/Acme AA-BB-1-1 Site SupplyMethod.csv", supply("in a study folder"))
+    rows = curate.curate_kind(spark, "site_supply", params(root, latest_only=False)).rows
+    assert {r["country"] for r in rows.collect()} == {"in the date folder", "in a study folder"}
+
+
+def test_an_empty_newest_folder_is_the_latest(spark, tmp_path):
+    put(tmp_path, "20250101/study 1/Acme AA-BB-1-1 Site SupplyMethod.csv", supply("old day"))
+    (tmp_path / "20250202").mkdir()
+    assert discovery.chosen_folder_names(spark, str(tmp_path)) == ["20250202"]
+    assert curate.curate_kind(spark, "site_supply", params(tmp_path)) is None
+
+
 def test_kind_glob_covers_any_case_and_order(spark, tmp_path):
     for name in ("My SITE x inventory.CSV", "inventory of Site.csv", "Depot Inventory.csv"):
         put(tmp_path, name, "x")

@@ -103,6 +103,22 @@ def test_line_breaks_in_cells_against_csv_module(spark, tmp_path, way):
         assert got[name][1] == rows, name
 
 
+@pytest.mark.parametrize("way", ["whole", "split"])
+def test_every_line_end_counts_and_headers_alone_are_files(spark, tmp_path, way):
+    put(tmp_path, "cr.csv", "junk\rDepot ID,Country\r1,X\r2,Y\r")
+    put(tmp_path, "mixed.csv", "a,b\r\n1,2\r3,4\n5,6")
+    put(tmp_path, "in cell.csv", 'a,b\r1,"x\ry"\r\n"p\r\nq",2\r')
+    put(tmp_path, "head.csv", "a,b\n")
+    put(tmp_path, "bare head.csv", "a,b")
+    put(tmp_path, "open.csv", 'a,b\r1,"2\r3,4\r')
+    got = read(spark, tmp_path, **({} if way == "whole" else {"whole_bytes": 0}))
+    assert got["cr.csv"] == (["Depot ID", "Country"], [["1", "X"], ["2", "Y"]], None)
+    assert got["mixed.csv"] == (["a", "b"], [["1", "2"], ["3", "4"], ["5", "6"]], None)
+    assert got["in cell.csv"] == (["a", "b"], [["1", "x\ry"], ["p\r\nq", "2"]], None)
+    assert got["head.csv"] == got["bare head.csv"] == (["a", "b"], [], None)
+    assert got["open.csv"][1:] == ([], ragged_csv.OPEN_QUOTE)
+
+
 def test_split_way_reports_the_same_errors(spark, tmp_path):
     put(tmp_path, "late.csv", ",,\n" * 15 + "a,b\n1,2\n")
     put(tmp_path, "none.csv", "only one cell\n")
