@@ -3,9 +3,15 @@
 The base rules fail documents of fewer than ``MIN_WORDS`` words or with more than half of their words in
 3-word windows that repeat. The verdict on the others compares two multinomials over hashed word n-grams
 (one and two words, ``BUCKETS`` buckets): one of a trusted target, one of the raw corpus. The score of a
-document is the sum over its n-grams of log p(target) - log p(raw), divided by their number; it is kept
-if the score is at least ``MIN_SCORE``. Both multinomials are smoothed by ``SMOOTHING`` counts per bucket, scaled
-to the corpus, so a bucket that the target lacks has a finite weight.
+document is the sum over its n-grams of log p(target) - log p(raw), divided by their number. Both multinomials are
+smoothed by ``SMOOTHING`` counts per bucket, scaled to the corpus, so a bucket that the target lacks has a finite weight.
+
+The verdict does not use that score, since a document's own n-grams pull it up if it is trusted and down if not, the more
+so the smaller the corpus or the target. It uses the held-out score: the mean of log((t + 1) / (e + 1)) with t the
+count of the bucket in the target and e what its raw count would give there, both without the document's own
+n-grams. A document is kept if its held-out score is at least ``MIN_SCORE``, or at least the ``QUANTILE`` of those of
+the trusted documents that pass the base rules, whichever is lower. What the target holds nothing like (a language without trusted
+documents) cannot be told from what it shuns.
 
 All counts cover all documents. N-grams are counted into buckets before anything is shuffled, so what moves and
 what the scoring reads is one row per bucket and task. The weights are one array of ``BUCKETS`` numbers,
@@ -25,15 +31,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dosecast.llm.common import fresh
+from dosecast.operators.joins import measured_bytes
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 BUCKETS = 1 << 14
 MIN_SCORE = -0.045
+QUANTILE = 0.01
 SMOOTHING = 1.0
 # fixed values of the contract
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = "#*$%&|<>"
+BROADCAST_BYTES = 64 << 20
 
 
 def let(value: Column, use) -> Column:
@@ -109,31 +118,36 @@ def ngram_buckets(text: Column) -> Column:
     return let(words(text), both)
 
 
+def flagged(docs: DataFrame, trusted: DataFrame, id_col: str, name: str, how: str = "left") -> DataFrame:
+    """The documents with a column ``name``: 1 if the id is trusted, else 0. Repeated trusted ids count once."""
+    own = fresh(docs, "trusted_id")
+    ids = trusted.select(F.col(trusted.columns[0]).alias(own)).where(F.col(own).isNotNull()).distinct()
+    side = F.broadcast(ids) if measured_bytes(ids) <= BROADCAST_BYTES else ids.hint("merge")
+    joined = docs.join(side, F.col(id_col) == F.col(own), how)
+    return joined.withColumn(name, F.col(own).isNotNull().cast("int")).drop(own)
+
+
 def bucket_counts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", trusted: DataFrame | None = None):
-    """bucket, raw and target counts. ``trusted`` holds ids; their documents are the target.
-
-    The join by id decides how often a document counts for the target: repeated trusted ids count once.
-    """
-    flagged = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    if trusted is None:
-        flagged = flagged.withColumn("in_target", F.lit(0))
-    else:
-        ids = trusted.select(F.col(trusted.columns[0]).alias("trusted_id")).where("trusted_id IS NOT NULL").distinct()
-        flagged = flagged.join(ids.hint("merge"), F.col("id") == F.col("trusted_id"), "left").select(
-            "text", F.col("trusted_id").isNotNull().cast("int").alias("in_target")
-        )
+    """bucket, raw and target counts. ``trusted`` holds ids; their documents are the target."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = rows.withColumn("in_target", F.lit(0)) if trusted is None else flagged(rows, trusted, "id", "in_target")
     return (
-        flagged.select(F.explode(ngram_buckets(F.col("text"))).alias("bucket"), "in_target")
+        rows.select(F.explode(ngram_buckets(F.col("text"))).alias("bucket"), "in_target")
         .groupBy("bucket")
         .agg(F.count("*").alias("raw"), F.sum("in_target").cast("bigint").alias("target"))
     )
 
 
-def weights(counts: DataFrame, smoothing: float = SMOOTHING) -> list[float]:
-    """Log ratio by bucket, rounded; empty where the target has no n-gram. ``BUCKETS`` rows reach the driver."""
+def collected(counts: DataFrame) -> tuple[list[int], list[int]]:
+    """Raw and target counts by bucket. ``BUCKETS`` rows reach the driver."""
     raw, target = [0] * BUCKETS, [0] * BUCKETS
     for row in counts.collect():
         raw[row["bucket"]], target[row["bucket"]] = row["raw"], row["target"]
+    return raw, target
+
+
+def weights(raw: list[int], target: list[int], smoothing: float = SMOOTHING) -> list[float]:
+    """Log ratio by bucket, rounded; empty where the target has no n-gram."""
     all_raw, all_target = sum(raw), sum(target)
     if not all_target:
         return []
@@ -146,6 +160,44 @@ def weights(counts: DataFrame, smoothing: float = SMOOTHING) -> list[float]:
     return [round(math.log(share(t, all_target) / share(r, all_raw)), 6) for t, r in zip(target, raw, strict=True)]
 
 
+def held_out(buckets: Column, in_target: Column, raw: list[int], target: list[int]) -> Column:
+    """Mean log ratio of the n-grams of a document against what the other documents hold."""
+    raws, targets = constant_array(raw), constant_array(target)
+
+    def of(b: Column) -> Column:
+        n = F.size(b)
+        rest = F.greatest(F.lit(sum(raw)) - n, F.lit(1))
+        share = (F.lit(sum(target)) - n * in_target) / rest
+        first = let(b, lambda x: F.filter(F.sequence(F.lit(0), n - 1), lambda i: ~F.get(x, i).eqNullSafe(F.get(x, i - 1))))
+
+        def total(starts: Column) -> Column:
+            def part(at: Column, k: Column) -> Column:
+                bucket, own = F.get(b, at), F.coalesce(F.get(starts, k + 1), n) - at
+                here = F.get(targets, bucket) - own * in_target + SMOOTHING
+                there = (F.get(raws, bucket) - own) * share + SMOOTHING
+                return own * F.log(here / there)
+
+            return F.aggregate(F.transform(starts, part), F.lit(0.0), lambda s, x: s + x) / n
+
+        return F.when(n > 0, let(first, total)).otherwise(F.lit(0.0))
+
+    return let(F.sort_array(buckets), of)
+
+
+def base_failed(counts: Column) -> Column:
+    n, repeat = counts["n_words"], counts["n_repeat_words"]
+    return (n < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n)
+
+
+def cut(docs: DataFrame, trusted: DataFrame, raw: list[int], target: list[int], text_col: str, id_col: str) -> float:
+    """The least held-out score that is kept."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = flagged(rows, trusted, "id", "in_target", "inner").where(~base_failed(base_facts(F.col("text"))["counts"]))
+    score = held_out(ngram_buckets(F.col("text")), F.col("in_target"), raw, target)
+    low = rows.agg(F.percentile_approx(score, F.lit(QUANTILE), F.lit(100_000)).alias("low")).first()["low"]
+    return MIN_SCORE if low is None else min(MIN_SCORE, low)
+
+
 def constant_array(values: list[float]) -> Column:
     """An array that is one constant of the plan, not one expression per element."""
     return F.from_json(F.lit(json.dumps(values)), "array<double>")
@@ -154,36 +206,43 @@ def constant_array(values: list[float]) -> Column:
 def annotate(docs: DataFrame, trusted: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> tuple[DataFrame, str]:
     """The documents with a struct column of all facts, its verdict ``kept`` and its ``score``; and its name."""
     name = fresh(docs, "quality_facts")
-    table = constant_array(weights(bucket_counts(docs, text_col, id_col, trusted)))
+    raw, target = collected(bucket_counts(docs, text_col, id_col, trusted))
+    table = constant_array(weights(raw, target))
+    least = cut(docs, trusted, raw, target, text_col, id_col)
     text = F.col(text_col)
-    facts = base_facts(text)
+    flag = fresh(docs, "in_target")
 
     def scored(buckets: Column) -> Column:
         total = F.aggregate(buckets, F.lit(0.0), lambda s, x: s + F.coalesce(F.get(table, x), F.lit(0.0)))
-        return F.when(F.size(buckets) > 0, total / F.size(buckets)).otherwise(F.lit(0.0))
-
-    score = let(ngram_buckets(text), scored)
-    first = docs.withColumn(name, F.struct(*[v.alias(k) for k, v in facts.items()]))
-    n, repeat = F.col(name)["counts"]["n_words"], F.col(name)["counts"]["n_repeat_words"]
-    failed = (n < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n)
-    second = first.withColumn(
-        name,
-        F.struct(
-            n.alias("n_words"),
-            *[F.col(name)[c].alias(c) for c in ("word_chars", "n_symbols", "n_dup_lines")],
-            repeat.alias("n_repeat_words"),
+        mean = F.when(F.size(buckets) > 0, total / F.size(buckets)).otherwise(F.lit(0.0))
+        return F.struct(mean.alias("score"), held_out(buckets, F.col(flag), raw, target).alias("held_out"))
+
+    facts = base_facts(text)
+    first = flagged(docs, trusted, id_col, flag).withColumn(name, F.struct(*[v.alias(k) for k, v in facts.items()]))
+    counts = F.col(name)["counts"]
+    failed = base_failed(counts)
+    facts = F.col(name)
+
+    def judged(scores: Column) -> Column:
+        return F.struct(
+            counts["n_words"].alias("n_words"),
+            *[facts[c].alias(c) for c in ("word_chars", "n_symbols", "n_dup_lines")],
+            counts["n_repeat_words"].alias("n_repeat_words"),
             failed.alias("base_failed"),
-            F.when(~failed, score).alias("score"),
-        ),
-    )
-    kept = ~F.col(name)["base_failed"] & (F.col(name)["score"] >= MIN_SCORE)
-    return second.withColumn(name, F.col(name).withField("kept", F.coalesce(kept, F.lit(False)))), name
+            F.coalesce(scores["held_out"] >= least, F.lit(False)).alias("kept"),
+            scores["score"].alias("score"),
+            scores["held_out"].alias("held_out"),
+        )
+
+    # one expression: as fields of a struct the scores would be worked out once for each use
+    scores = F.when(~failed, let(ngram_buckets(text), scored))
+    return first.withColumn(name, let(scores, judged)).drop(flag), name
 
 
 def rules(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """doc_id and all facts per document row."""
     out, name = annotate(docs, trusted)
-    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score", "held_out")
     return out.select("doc_id", *[F.col(name)[c].alias(c) for c in columns])
 
 

@@ -171,6 +171,31 @@ def test_quality_rules(docs, nothing, spark):
     assert quality_rules.rules(nothing, trusted).count() == 0
 
 
+@pytest.mark.parametrize("size, share", [("sf0.001", 1.0), ("sf0.01", 1.0), ("sf0.01", 0.3), ("sf0.001", 0.3)])
+def test_quality_verdict_at_sizes_and_label_shares(spark, size, share):
+    folder = f"/root/testdata/{size}"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    chosen = [(i,) for i, q in sorted(quality.items()) if q == 1 and zlib.crc32(str(i).encode()) % 100 < 100 * share]
+    kept = {r.doc_id: r.kept for r in quality_rules.rules(docs, spark.createDataFrame(chosen, "doc_id bigint")).collect()}
+    clean, bad = {}, []
+    for r in docs.collect():
+        own = (r.text or "").split()
+        odd = sum(bool(re.search(r"[#*$%&|<>]", w)) + ("!!" in w) for w in own)
+        if base_rules(r.text or "")[-1]:
+            continue
+        if quality.get(r.doc_id) == 0:
+            bad.append(kept[r.doc_id])
+        elif 10 * odd <= len(own):
+            clean.setdefault(r.lang, []).append(kept[r.doc_id])
+    assert set(clean) == {"en", "de", "fr", "es"}
+    for lang, verdicts in clean.items():
+        assert sum(verdicts) >= 0.8 * len(verdicts), (lang, sum(verdicts), len(verdicts))
+    every = [v for verdicts in clean.values() for v in verdicts]
+    assert sum(every) >= 0.9 * len(every)
+    assert sum(bad) <= 0.4 * len(bad)
+
+
 @given(st.integers(1, 32), st.lists(st.integers(0, 2**32 - 1), max_size=40), st.data())
 def test_packing_round_trip(bits, ids, data):
     ids = np.array([i % (1 << bits) for i in ids], dtype="<u4")
