@@ -7,10 +7,15 @@ tags inside links. Its density is characters per tag, adjusted for links:
 
 with C characters, T tags, LC and LT those in links, NLC characters outside links; counts of zero count as one.
 The score of an element is the sum of its children's densities, its own text standing for a child. The threshold is the
-lowest density on the path from the element of highest score up to the body, so that the content lies under
-elements at or above it. The subtree of highest score is the article. Elements that by their nature hold no
-article (menus, headers, footers, sidebars, forms, scripts, styles) and those that a class, id or role names as
-notice, advert or comments are taken out before anything is counted.
+lowest density on the path from the element of highest score up to the body. From the body down, each element at or
+above it gives the element of highest score in its subtree; the article is all of these, in page order. Where the
+element of highest score lies in an ``article`` or ``main``, only such elements count, each of them whole.
+
+Elements that by their nature hold no article (menus, headers, footers, sidebars, forms, scripts, styles) and those that
+a class, id or role names as notice, advert or comments are taken out before anything is counted. Such names say nothing
+about an ``article`` (unless inside another one) or ``main`` and what is around a ``main``, nor about an element with most of the page's
+text outside links, as long as no other ``article`` or ``main`` has text. Names after has-, with-, without-, no- and layout- are of other
+elements, and headers inside an article are part of it.
 
 Text comes out by blocks: white space inside a block is one space, block edges are trimmed, blocks are joined by
 a line feed in page order. Nothing is cut by length. A null or empty page, and a page without text, gives an empty text.
@@ -65,6 +70,10 @@ BOILERPLATE = re.compile(
     r"social|related|recommended|pagination|pager|search|form|hidden)(?:$|[\s_-]|\d)",
     re.IGNORECASE,
 )
+# what a class word says of something else than its element
+_OF_OTHERS = re.compile(r"(?:(?<=[\s_-])|^)(?:has|with|without|no|layout)[_-]\S*", re.IGNORECASE)
+_HEADER = re.compile(r"(?:(?<=[\s_-])|^)header(?=$|[\s_-]|\d)", re.IGNORECASE)
+HOMES = ("article", "main")
 _TAG = re.compile(
     r"<!--.*?(?:-->|--!>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|"
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
@@ -74,10 +83,13 @@ _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "drop", "chars", "tags", "link_chars", "link_tags", "density", "score")
+    __slots__ = (
+        "tag", "parent", "children", "drop", "named", "in_home", "chars", "tags", "link_chars", "link_tags", "density", "score",
+    )
 
-    def __init__(self, tag: str, parent: Element | None, drop: bool = False):
-        self.tag, self.parent, self.drop = tag, parent, drop
+    def __init__(self, tag: str, parent: Element | None, drop: bool = False, named: bool = False):
+        self.tag, self.parent, self.drop, self.named = tag, parent, drop, named
+        self.in_home = parent is not None and (parent.in_home or parent.tag in HOMES)
         self.children: list[Element | str] = []
 
 
@@ -89,6 +101,7 @@ def parse(html: str) -> Element:
         found = _TAG.search(html, at)
         if found is None:
             here.children.append(unescape(html[at:]))
+            _settle(root)
             return root
         if found.start() > at:
             here.children.append(unescape(html[at : found.start()]))
@@ -103,8 +116,10 @@ def parse(html: str) -> Element:
         if tag in ("html", "body"):
             continue
         here = _made_room(here, tag)
-        page_header = tag == "header" and not any(e.tag in ("article", "main") for e in _up(here))
-        element = Element(tag, here, tag in NO_ARTICLE or page_header or _names_boilerplate(attributes))
+        in_home = here.in_home or here.tag in HOMES
+        page_header = tag == "header" and not in_home
+        hidden, named = _says(attributes, in_home)
+        element = Element(tag, here, tag in NO_ARTICLE or page_header or hidden, named)
         here.children.append(element)
         if tag in VOID or (attributes.endswith("/") and tag not in BLOCKS):
             continue
@@ -115,18 +130,51 @@ def parse(html: str) -> Element:
         here = element
 
 
-def _names_boilerplate(attributes: str) -> bool:
+def _says(attributes: str, in_home: bool) -> tuple[bool, bool]:
+    """Whether attributes hide an element, and whether a class, id or role names it as what is not the article."""
+    hidden = named = False
     if "=" not in attributes and "hidden" not in attributes.lower():
-        return False
+        return hidden, named
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), unescape("".join(values))
-        if name in ("class", "id", "role") and BOILERPLATE.search(value):
-            return True
-        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-            return True
-    return False
+        if name in ("class", "id", "role"):
+            own = _OF_OTHERS.sub("", value)
+            named = named or bool(BOILERPLATE.search(_HEADER.sub("", own) if in_home else own))
+        elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
+            hidden = True
+        elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
+            hidden = True
+    return hidden, named
+
+
+def _settle(root: Element) -> None:
+    """Drops the elements that their names speak against, unless they hold the article."""
+    order, stack, any_named = [], [(root, False, False, False)], False
+    plain, around_main, at_home = {}, set(), 0
+    while stack:
+        element, in_link, under_name, in_article = stack.pop()
+        if element.named and (element.tag == "main" or (element.tag == "article" and not in_article)):
+            element.named = False
+        any_named = any_named or element.named
+        in_link, under_name = in_link or element.tag == "a", under_name or element.named
+        in_article = in_article or element.tag == "article"
+        count = 0 if in_link else sum(_characters(c) for c in element.children if isinstance(c, str))
+        plain[element] = count
+        if not under_name and (element.in_home or element.tag in HOMES):
+            at_home += count
+        order.append(element)
+        stack.extend((c, in_link, under_name, in_article) for c in element.children if not isinstance(c, str) and not c.drop)
+    if not any_named:
+        return
+    for element in reversed(order):
+        if element.parent is not None:
+            plain[element.parent] += plain[element]
+            if element in around_main or (element.tag == "main" and plain[element]):
+                around_main.add(element.parent)
+    for element in order:
+        if element.named and element not in around_main:
+            most = 2 * plain[element] > plain[root]
+            element.drop = not most or (not element.in_home and at_home > 0)
 
 
 def _closed(here: Element, tag: str) -> Element:
@@ -204,27 +252,46 @@ def _density(e: Element, page_ratio: float) -> float:
     return max(0.0, e.chars / tags * math.log(max(1.0, e.chars * tags / (link_chars * link_tags))) / base)
 
 
-def main_element(root: Element) -> Element | None:
-    """The subtree of the highest score among elements that reach the threshold of the body's path."""
+def main_elements(root: Element) -> list[Element]:
+    """The subtrees of the article, apart and in page order."""
     if not root.chars:
-        return None
+        return []
     elements, stack = [], [root]
     while stack:
         element = stack.pop()
         elements.append(element)
         stack.extend(c for c in reversed(element.children) if not isinstance(c, str) and not c.drop)
-    best = max(elements, key=lambda e: e.score)
-    path, at = [], best
-    while at is not None:
-        path.append(at)
-        at = at.parent
-    threshold = min(e.density for e in path)
-    best = max((e for e in elements if e.density >= threshold), key=lambda e: e.score)
-    while best.tag not in BLOCKS and best.parent is not None:  # an article is made of blocks
-        best = best.parent
-    if best.tag == "p" and best.parent is not None:
-        best = best.parent
-    return next((e for e in _up(best) if e.tag in ("article", "main")), best)
+    at = {e: i for i, e in enumerate(elements)}
+    top, end = {}, {}
+    for i in range(len(elements) - 1, -1, -1):
+        element = elements[i]
+        end[element], top[element] = i + 1, element
+        for child in element.children:
+            if child in at:
+                end[element] = max(end[element], end[child])
+                if top[child].score > top[element].score:
+                    top[element] = top[child]
+    threshold = min(e.density for e in _up(top[root]))
+    home, whole = {}, {}
+    for element in elements:
+        parent = element.parent
+        home[element] = element if element.tag in HOMES else home.get(parent)
+        # an article is made of blocks
+        whole[element] = element if parent is None or (element.tag in BLOCKS and element.tag != "p") else whole[parent]
+    found, stack = set(), [root]
+    while stack:
+        element = stack.pop()
+        if element.density >= threshold:
+            found.add(top[element])
+            stack.extend(c for c in element.children if c in at)
+    in_home = home[top[root]] is not None
+    chosen = {home[e] if in_home else whole[e] for e in found} - {None}
+    out, covered = [], 0
+    for element in sorted(chosen, key=at.get):
+        if at[element] >= covered:
+            out.append(element)
+            covered = end[element]
+    return out
 
 
 def _up(element: Element | None) -> Iterator[Element]:
@@ -267,8 +334,7 @@ def extract(html: str | None) -> str:
         return ""
     root = parse(html)
     measure(root)
-    best = main_element(root)
-    return "\n".join(blocks(best)) if best is not None else ""
+    return "\n".join(text for element in main_elements(root) for text in blocks(element))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:

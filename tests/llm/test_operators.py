@@ -407,6 +407,40 @@ def test_html(spark):
     assert html_text.main_texts(df.where("false")).count() == 0
 
 
+def paragraphs(label, n=5):
+    return [f"{label}{k} " + "plain words of the text " * 13 + "end." for k in range(n)]
+
+
+@pytest.mark.parametrize("n_sections, n", [(2, 5), (3, 5), (2, 10)])
+@pytest.mark.parametrize("wrap", ["{}", "<div id='page'>{}</div>"])
+def test_html_sections_without_article(n_sections, n, wrap):
+    own = [paragraphs("abc"[k], n) for k in range(n_sections)]
+    inside = "".join("<div>" + "".join(f"<p>{p}</p>" for p in one) + "</div>" for one in own)
+    links = "<div>" + "".join(f"<a href='/{k}'>link {k}</a>" for k in range(9)) + "</div>"
+    page = f"<html><body>{links}{wrap.format(inside)}{links}</body></html>"
+    assert html_text.extract(page) == "\n".join(p for one in own for p in one)
+
+
+@pytest.mark.parametrize("before, after", [
+    ("<main class='content with-sidebar'>", "</main>"), ("<div class='has-sidebar'>", "</div>"),
+    ("<div class='layout-sidebar-right'>", "</div>"), ("<div id='search-results'>", "</div>"),
+    ("<article class='discussion'>", "</article>"), ("<div class='page no_sidebar'><article>", "</article></div>"),
+    ("<div class='modal'><main>", "</main></div>"),
+])
+def test_html_class_words_of_the_article(before, after):
+    own = paragraphs("a")
+    ad = "<div class='ad'><p>Buy this now, it is very good.</p></div><div class='sidebar'><p>Some other words here.</p></div>"
+    page = f"<body>{ad}{before}{''.join(f'<p>{p}</p>' for p in own)}{after}{ad}</body>"
+    assert html_text.extract(page) == "\n".join(own)
+
+
+def test_html_headers_and_comments_of_an_article():
+    own = paragraphs("a", 2)
+    inside = "<header class='entry-header'><h1>Title</h1></header>" + "".join(f"<p>{p}</p>" for p in own)
+    comments = "<section class='comments'>" + "".join(f"<article class='comment'><p>{p}</p></article>" for p in paragraphs("c", 9)) + "</section>"
+    assert html_text.extract(f"<body><article>{inside}</article>{comments}</body>") == "\n".join(["Title", *own])
+
+
 def test_html_finds_every_article(spark, sf):
     from html import unescape
 
