@@ -6,8 +6,9 @@ the numbers of its words, and rolling hashes of its windows are looked up in the
 benchmark with numpy. Every hit is verified word by word, so a hash collision changes nothing.
 
 The benchmark's words and windows are broadcast while their measured size is within ``broadcast_bytes``.
-Beyond that they are hashed into as many parts as keep each part within the bound, and each part is
-broadcast and scanned on its own, so every window is looked for whatever the size.
+Beyond that nothing of it reaches the driver: hashes of the documents' windows meet those of the benchmark in a shuffle, and
+the words at the places that meet are compared with the benchmark's in a second one. Rows are told apart by a
+row number, never by their id, so results do not depend on the size.
 
 Null texts and items without words have no windows. An item id that is null is left out of the list of items, its
 windows still count as hits. Repeated items and documents give repeated results for each. Extra columns
@@ -16,6 +17,7 @@ pass through ``decontaminate`` untouched.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -121,28 +123,96 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broadcast_
     """doc_id, n_words, spans (word number, end exclusive; merged) and items per document row."""
     prepare(docs.sparkSession)
     grams = item_windows(benchmark, window)
-    n_parts = max(1, -(-_gram_bytes(grams) // broadcast_bytes))
     schema = (
         f"doc_id {id_type(docs)}, n_words bigint, spans array<struct<start: bigint, end: bigint>>, items array<string>"
     )
-    if n_parts == 1:
+    if _gram_bytes(grams) <= broadcast_bytes:
         return id_text(docs).mapInArrow(_scanner(docs.sparkSession, grams), schema)
-    # each part scans all texts; a row number keeps repeated documents apart
-    row = fresh(docs, "row_number")
-    texts = stage(id_text(docs).withColumn(row, F.monotonically_increasing_id()), "scan")
-    part = F.pmod(F.xxhash64("gram"), F.lit(n_parts))
-    found = None
-    for k in range(n_parts):
-        scan = _scanner(docs.sparkSession, grams.where(part == k), row)
-        one = texts.mapInArrow(scan, f"{schema}, {row} bigint")
-        found = one if found is None else found.unionByName(one)
-    merged = found.groupBy(row).agg(
-        F.min("doc_id").alias("doc_id"),
-        F.max("n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    texts = stage(id_text(docs).withColumn("row", F.monotonically_increasing_id()), "scan")
+    return _joined_hits(texts, grams).select("doc_id", "n_words", "spans", "items")
+
+
+def _joined_hits(texts: DataFrame, grams: DataFrame) -> DataFrame:
+    """row, doc_id, n_words, spans and items per row of ``texts`` (row, doc_id, text), by shuffles alone."""
+    grams = stage(grams, "grams")
+    lengths = sorted(r.n for r in grams.select(F.size("gram").alias("n")).distinct().collect())
+
+    def hashed(batches):
+        for batch in batches:
+            joined = [" ".join(g) for g in batch.column("gram").to_pylist()]
+            pairs = [(len(g), _window_hashes(g, len(g))[0]) for g in map(str.split, joined)]
+            yield pa.record_batch(
+                {
+                    "length": pa.array([n for n, _ in pairs], pa.int32()),
+                    "hash": pa.array(np.array([h for _, h in pairs], np.uint64).view(np.int64)),
+                }
+            )
+
+    def windows(batches):
+        for batch in batches:
+            for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                own = words(text)
+                for length in lengths:
+                    if len(own) >= length:
+                        hashes = _window_hashes(own, length).view(np.int64)
+                        n = len(hashes)
+                        yield pa.record_batch(
+                            {
+                                "row": pa.array(np.full(n, row, np.int64)),
+                                "start": pa.array(np.arange(n, dtype=np.int64)),
+                                "length": pa.array(np.full(n, length, np.int32)),
+                                "hash": pa.array(hashes),
+                            }
+                        )
+
+    def spelled(batches):
+        for batch in batches:
+            rows, starts, ends, said = [], [], [], []
+            for row, text, at in zip(*(batch.column(c).to_pylist() for c in ("row", "text", "at")), strict=True):
+                own = words(text)
+                for x in at:
+                    start, end = x["start"], x["start"] + x["length"]
+                    rows.append(row)
+                    starts.append(start)
+                    ends.append(end)
+                    said.append(b" ".join(own[start:end]).decode("utf-8", "replace"))
+            yield pa.record_batch(
+                {
+                    "row": pa.array(rows, pa.int64()), "start": pa.array(starts, pa.int64()),
+                    "end": pa.array(ends, pa.int64()), "said": pa.array(said, pa.string()),
+                }
+            )
+
+    def counted(batches):
+        for batch in batches:
+            n = [len(words(text)) for text in batch.column("text").to_pylist()]
+            yield pa.record_batch({"row": batch.column("row"), "doc_id": batch.column("doc_id"), "n_words": pa.array(n, pa.int64())})
+
+    known = grams.select("gram").mapInArrow(hashed, "length int, hash bigint").distinct()
+    spots = texts.select("row", "text").mapInArrow(windows, "row bigint, start bigint, length int, hash bigint")
+    spots = spots.join(known.hint("merge"), ["length", "hash"], "left_semi")
+    places = spots.groupBy("row").agg(F.collect_list(F.struct("start", "length")).alias("at"))
+    met = texts.select("row", "text").join(places.hint("merge"), "row")
+    met = met.mapInArrow(spelled, "row bigint, start bigint, end bigint, said string")
+    # a window once for all items that have it, so that its places are not repeated by item
+    items = F.array_compact(F.collect_set(F.col("item_id").cast("string")))
+    owners = grams.groupBy(F.array_join("gram", " ").alias("said")).agg(items.alias("own"))
+    found = met.join(owners.hint("merge"), "said").groupBy("row").agg(
+        F.array_sort(F.collect_set(F.struct("start", "end"))).alias("hit"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("own")))).alias("items"),
     )
-    return merged.select("doc_id", "n_words", _merged(F.col("spans")).alias("spans"), "items")
+    rows = texts.mapInArrow(counted, f"row bigint, doc_id {id_type(texts)}, n_words bigint")
+    none = F.array().cast("array<struct<start: bigint, end: bigint>>")
+    return rows.join(found.hint("merge"), "row", "left").select(
+        "row", "doc_id", "n_words", F.coalesce(_merged(F.col("hit")), none).alias("spans"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    )
+
+
+def _window_hashes(own: list, length: int) -> np.ndarray:
+    """Hash of each window of ``length`` words, the same in every process."""
+    code = {w: hashlib.blake2b(w.encode() if isinstance(w, str) else w, digest_size=8).digest() for w in set(own)}
+    return _rolled(np.frombuffer(b"".join(code[w] for w in own), np.uint64), length)
 
 
 def _merged(spans):
@@ -158,7 +228,7 @@ def _merged(spans):
     return F.aggregate(spans, F.array().cast("array<struct<start: bigint, end: bigint>>"), step)
 
 
-def _scanner(spark, grams: DataFrame, extra: str | None = None):
+def _scanner(spark, grams: DataFrame):
     rows = [(r.item_id, r.gram) for r in grams.toLocalIterator()]
     shared = spark.sparkContext.broadcast(rows)
 
@@ -166,7 +236,7 @@ def _scanner(spark, grams: DataFrame, extra: str | None = None):
         known = Windows(shared.value)
         for batch in batches:
             out = [_scan(known, text) for text in batch.column("text").to_pylist()]
-            columns = {
+            yield pa.record_batch({
                 "doc_id": batch.column("doc_id"),
                 "n_words": pa.array([n for n, _, _ in out], pa.int64()),
                 "spans": pa.array(
@@ -174,8 +244,7 @@ def _scanner(spark, grams: DataFrame, extra: str | None = None):
                     pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])),
                 ),
                 "items": pa.array([i for _, _, i in out], pa.list_(pa.string())),
-            }
-            yield pa.record_batch(columns | ({extra: batch.column(extra)} if extra else {}))
+            })
 
     return run
 
@@ -214,20 +283,33 @@ def decontaminate(
 ) -> DataFrame:
     """The documents without contaminated ones, or with ``remove="spans"`` all of them without the hit words.
 
-    A removed span goes from its first word to its last, and becomes one blank. Spans are cut in the task that
-    scans the text, so they need a benchmark within the broadcast bound; beyond it whole documents go by
-    their ids.
+    A removed span goes from its first word to its last, and becomes one blank. Each row is judged by its own text.
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove is documents or spans, not {remove!r}")
     prepare(docs.sparkSession)
     grams = item_windows(benchmark, window)
     if _gram_bytes(grams) > broadcast_bytes:
-        if remove == "spans":
-            raise ValueError("the benchmark is larger than the broadcast bound; cut the spans that hits() gives")
-        found = hits(docs, benchmark, window, broadcast_bytes).where(F.size("spans") > 0)
-        bad = found.select(F.col("doc_id").alias(name := fresh(docs, "bad_id"))).distinct()
-        return docs.join(bad, docs["doc_id"].eqNullSafe(bad[name]), "left_anti")
+        row, spans = fresh(docs, "row_number"), fresh(docs, "hit_spans")
+        numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "scan")
+        found = _joined_hits(id_text(numbered, row).select(F.col("doc_id").alias("row"), "doc_id", "text"), grams)
+        bad = found.where(F.size("spans") > 0).select(F.col("row").alias(row), F.col("spans").alias(spans))
+        if remove == "documents":
+            return numbered.join(bad.hint("merge"), row, "left_anti").select(*docs.columns)
+
+        def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                cut = [
+                    text if not own else without(text, [(x["start"], x["end"]) for x in own])
+                    for text, own in zip(batch.column("text").to_pylist(), batch.column(spans).to_pylist(), strict=True)
+                ]
+                at = batch.schema.get_field_index("text")
+                batch = batch.set_column(at, batch.schema.field(at), pa.array(cut, batch.schema.field(at).type))
+                yield batch.select(docs_columns)
+
+        docs_columns = docs.columns
+        both = numbered.join(bad.hint("merge"), row, "left").select(*docs.columns, spans)
+        return both.mapInArrow(shortened, docs.schema)
     rows = [(r.item_id, r.gram) for r in grams.toLocalIterator()]
     shared = docs.sparkSession.sparkContext.broadcast(rows)
 

@@ -265,6 +265,20 @@ def test_decontamination(docs, nothing, spark):
     assert decontaminate.report(docs, bench.where("false")).where("contaminated").count() == 0
 
 
+@pytest.mark.parametrize("remove", ["documents", "spans"])
+def test_decontaminate_does_not_depend_on_the_benchmark_size(spark, remove):
+    leak = "one two three four five six seven eight nine ten eleven"
+    rows = [(None, f"So {leak}, indeed"), (None, "clean text"), (7, leak), (7, "another clean text"), (8, None), (None, None), (9, "Short, item")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS row", "2 AS row_number", "'x' AS hit_spans")
+    bench = spark.createDataFrame([(1, leak), (2, "short item"), (None, leak), (2, "short item")], "item_id bigint, text string")
+    one = decontaminate.decontaminate(docs, bench, remove)
+    far = decontaminate.decontaminate(docs, bench, remove, broadcast_bytes=100)
+    assert far.columns == docs.columns and rows_of(far) == rows_of(one)
+    assert far.count() == (4 if remove == "documents" else 7)
+    in_order = lambda df: sorted(map(str, df.collect()))
+    assert in_order(decontaminate.hits(docs, bench)) == in_order(decontaminate.hits(docs, bench, broadcast_bytes=100))
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
