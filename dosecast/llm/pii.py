@@ -4,8 +4,10 @@ The base finds four kinds of data by the contract's patterns. They are matched a
 where a pattern repeats a group, characters that cannot be inside a match are first replaced one for one, so that no
 regular expression recurses over a long text. Positions are the sums of the lengths of gaps and matches.
 
-The method starts from those entities. Each mention gives two lexical patterns, the two words to its left, and the
-words on both sides. Looser candidates (tokens shaped like the kind that the base did not take) give theirs. Patterns and
+The method starts from those entities. Each mention gives three lexical patterns, the two words to its left, the
+words on both sides, and a label (a word that ends with a colon, an equals or a number sign) right before it. Looser candidates
+(tokens shaped like the kind that the base did not take, with and without single blanks between groups of digits) give
+theirs; a number that could be a card or a phone is a candidate for both, and of overlapping ones at one start the longest stands. Patterns and
 instances form a graph: a pattern is as good as the mean of its instances, drawn to zero by ``DOUBT`` doubtful ones; an
 instance that no base match supports is as good as its patterns together (noisy or). After ``ROUNDS`` rounds, patterns of at
 least ``CONFIDENCE`` with ``SUPPORT`` distinct known instances name the candidates in their place as identifiers; all their
@@ -115,34 +117,56 @@ def _in_order(spans: Column) -> Column:
 def loose_spans(text: Column) -> Column:
     """Tokens shaped like one of the kinds, whatever the base makes of them."""
     filled = F.coalesce(text, F.lit(""))
+    # a blank that does not stand alone between groups of digits ends a number
+    single = F.regexp_replace(filled, r" (?![0-9(])|(?<![0-9)]) ", "\n")
     at = _runs(filled, r"(?<![^\s@])[^\s@]++@[^\s@]++")
-    numbers = _runs(filled, r"(?<![0-9A-Za-z().+-])[+(]?[0-9][().0-9-]{5,}+")
+    before = "(?<![0-9A-Za-z().+-])[+(]?[0-9]"
+    numbers = F.concat(_runs(filled, before + "[().0-9-]{5,}+"), _runs(single, before + "[ ().0-9-]{5,}+"))
+    bare = F.array_distinct(F.transform(numbers, _without_edges))
 
-    def kind(x: Column) -> Column:
-        n = F.length(_digits(x["hit"]))
-        dotted = F.rlike(x["hit"], F.lit(r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$"))
-        return F.when(dotted, 1).when(n.between(13, 19), 2).when(n.between(7, 15), 3).otherwise(-1)
+    def of(number: int, good):
+        return F.transform(F.filter(bare, good), _as_kind(number))
 
+    dotted = lambda x: F.rlike(x["hit"], F.lit(r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$"))
+    n_digits = lambda x: F.length(_digits(x["hit"]))
     empty = F.array().cast(f"array<{SPAN}>")
-    emails = F.transform(at, _as_kind(0))
-    others = F.filter(
-        F.transform(numbers, lambda x: F.struct(x["start"], x["end"], kind(x).alias("kind"))), lambda x: x["kind"] >= 0
+    emails = F.transform(F.transform(at, lambda x: _ends(x, F.regexp_replace(x["hit"], r"[.,;:!?)>\]}\"']+$", ""))), _as_kind(0))
+    others = F.concat(
+        of(1, dotted),
+        of(2, lambda x: ~dotted(x) & n_digits(x).between(13, 19)),
+        of(3, lambda x: ~dotted(x) & n_digits(x).between(7, 15)),
     )
     return F.concat(
         F.when(F.contains(filled, F.lit("@")), emails).otherwise(empty),
-        F.when(F.rlike(filled, F.lit("[0-9][().0-9-]{5}")), others).otherwise(empty),
+        F.when(F.rlike(filled, F.lit("[0-9][ ().0-9-]{5}")), others).otherwise(empty),
+    )
+
+
+def _ends(x: Column, hit: Column) -> Column:
+    """A match that is cut at its end to ``hit``."""
+    return F.struct(x["start"].alias("start"), (x["start"] + F.length(hit)).alias("end"), hit.alias("hit"))
+
+
+def _without_edges(x: Column) -> Column:
+    """A number up to its last digit, without a bracket that opens and does not close."""
+    cut = F.regexp_replace(x["hit"], "[^0-9]+$", "")
+    extra = F.when(F.startswith(cut, F.lit("(")) & ~F.contains(cut, F.lit(")")), 1).otherwise(0)
+    return F.struct(
+        (x["start"] + extra).alias("start"), (x["start"] + F.length(cut)).alias("end"), F.substring(cut, extra + 1, F.length(cut)).alias("hit")
     )
 
 
 def _mention(text: Column, span: Column, known: bool) -> Column:
-    """What the graph needs of a span: its place, its text and its two lexical patterns."""
+    """What the graph needs of a span: its place, its text and its lexical patterns."""
     # a window around the span: contexts are words, never whole texts
     low = F.greatest(F.lit(0), span["start"] - CONTEXT_CHARS)
     left = F.lower(F.substring(text, low + 1, span["start"] - low))
+    left = F.regexp_replace(left, r"\($", "")  # a bracket around the span is no word
     right = F.lower(F.substring(text, span["end"] + 1, F.lit(CONTEXT_CHARS)))
     two = F.regexp_extract(left, r"(\S+)\s+(\S+)\s+$", 0)
     one = F.regexp_extract(left, r"(\S+)\s+$", 1)
     after = F.regexp_extract(right, r"^\s+(\S+)", 1)
+    label = F.regexp_extract(left, r"([^\s:=#]+[:=#])\s*$", 1)
     folded = F.regexp_replace(F.trim(two), r"\s+", " ")
     return F.struct(
         span["start"].alias("start"),
@@ -153,6 +177,7 @@ def _mention(text: Column, span: Column, known: bool) -> Column:
         F.array(
             F.when(two != "", F.concat(folded, F.lit(" _"))),
             F.when((one != "") & (after != ""), F.concat(one, F.lit(" _ "), after)),
+            F.when(label != "", F.concat(label, F.lit(" _"))),
         ).alias("patterns"),
     )
 
@@ -225,7 +250,13 @@ def _all_spans(base: Column, added: Column) -> Column:
         overlaps = F.exists(done, lambda y: (y["start"] < x["end"]) & (y["end"] > x["start"]))
         return F.when(overlaps, done).otherwise(F.concat(done, F.array(x)))
 
-    more = _in_order(F.coalesce(added.cast(f"array<{SPAN}>"), empty))
+    keyed = F.transform(
+        F.coalesce(added.cast(f"array<{SPAN}>"), empty),
+        lambda x: F.struct(x["start"].alias("s"), (-x["end"]).alias("e"), x["kind"].alias("k")),
+    )
+    more = F.transform(
+        F.array_sort(keyed), lambda x: F.struct(x["s"].alias("start"), (-x["e"]).alias("end"), x["k"].alias("kind"))
+    )
     return F.when(F.size(more) == 0, base).otherwise(_in_order(F.aggregate(more, base, apart)))
 
 

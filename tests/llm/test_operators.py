@@ -324,6 +324,26 @@ def test_personal_data(docs, nothing, spark):
     assert pii.report(nothing).count() == 0
 
 
+def test_personal_data_spaced_bracketed_and_labelled(spark):
+    said = {f"please call me on +1 (988) 555-24{k} now": None for k in range(10, 20)}
+    said |= {f"{w} {w}s {w}ly Tel: +1 (988) 555-25{k} {w}er": None for k, w in enumerate("ab cd ef gh ij kl mn op qr st".split(), 10)}
+    said |= {f"it is on card number {n} until May": None for n in ("4111 1111 1111 1111", "5500 0000 0000 0004", "3400 0000 0000 009", "6011 0000 0000 0004")}
+    looked_for = [
+        ("please call me on {} now", "(988) 555-2499", "phone"), ("please call me on {} now", "988 555 2498", "phone"),
+        ("please call me on {} now", "0044 20 7946 0958", "phone"), ("please call me on {}.", "988-555-2497", "phone"),
+        ("please call me on ({})", "988-555-2496", "phone"), ("some other words Tel: {} here", "988 555 2495", "phone"),
+        ("at last Tel:{}.", "988-555-2494", "phone"), ("it is on card number {} until May", "4111 1111 1111 1112", "card"),
+    ]
+    for sentence, value, kind in looked_for:
+        at = sentence.index("{}")
+        said[sentence.format(value)] = f"{kind}:{at}:{at + len(value)}"
+    said["there were 988 555 2498 99 1 of them"] = ""
+    df = spark.createDataFrame(list(enumerate(said)), "doc_id bigint, text string")
+    out = {r.doc_id: r.spans for r in pii.report(df).collect()}
+    for i, (text, spans) in enumerate(said.items()):
+        assert spans is None or out[i] == spans, text
+
+
 def shingles(text):
     w = re.findall(rb"[^\x20\x09-\x0d]+", text.lower().encode())
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) > 4 else frozenset([tuple(w)] if w else [])
