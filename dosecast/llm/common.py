@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 ROOT = Path(__file__).resolve().parents[2]
 _shipped: set[str] = set()

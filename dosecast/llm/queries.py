@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dosecast.llm import (
-    bpe, chat, decontaminate, html_text, jaccard_join, packed_ids, pii, quality_model, quality_rules, token_counts,
+    bpe, chat, decontaminate, fill_in_middle, filter_audit, html_text, jaccard_join, packed_ids, pii, quality_model,
+    quality_rules, sentence_pieces, token_counts,
 )
 from dosecast.llm.common import table
 
@@ -128,3 +129,80 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
+@_query(
+    """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+k AS (
+  SELECT doc_id, t, n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS c1, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS c2,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+        OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+      WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+p AS (
+  SELECT doc_id, t, n, form, least(c1, c2) AS a, greatest(c1, c2) AS b FROM k),
+s AS (
+  SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM p)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM s
+"""
+)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.digests(table(spark, sf_dir, "documents"))
+
+
+@_query(
+    """
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS own, length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS upper,
+    min(doc_id) OVER (PARTITION BY t) AS first_id FROM d),
+m AS (
+  SELECT doc_id, part, concat(
+    CASE WHEN len(own) < 50 THEN 'A' ELSE '' END,
+    CASE WHEN 100 * len(list_distinct(own)) < 65 * len(own) THEN 'B' ELSE '' END,
+    CASE WHEN 100 * upper > 5 * length(t) THEN 'C' ELSE '' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+    CASE WHEN doc_id > first_id THEN 'E' ELSE '' END) AS mask FROM w),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+c AS (
+  SELECT part, mask, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, count(*) AS n
+  FROM m LEFT JOIN l USING (doc_id) GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (
+  SELECT x1.f || x2.f || x3.f || x4.f || x5.f AS filter_order FROM x x1, x x2, x x3, x x4, x x5
+  WHERE len(list_distinct([x1.f, x2.f, x3.f, x4.f, x5.f])) = 5),
+s AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step:step] AS f, filter_order[1:step - 1] AS before
+  FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (
+  SELECT part, filter_order, step, f, n, good, toxic, mask, contains(mask, f) AS fails, translate(mask, before, '') <> mask AS gone FROM s, c),
+t AS (
+  SELECT part, filter_order, step, f,
+    sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN fails AND gone THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = f THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN fails AND NOT gone AND good = 1 THEN n ELSE 0 END) AS good_lost,
+    sum(CASE WHEN fails AND NOT gone AND toxic = 1 THEN n ELSE 0 END) AS toxic_lost
+  FROM r GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM t
+"""
+)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -12,8 +12,13 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from dosecast.llm import bpe, chat, decontaminate, html_text, jaccard_join, packed_ids, pii, quality_model, quality_rules, token_counts
-from dosecast.llm.common import BYTE_BPE, WORD_BPE, loaded
+from sentencepiece import SentencePieceProcessor
+
+from dosecast.llm import (
+    bpe, chat, decontaminate, fill_in_middle, filter_audit, html_text, jaccard_join, packed_ids, pii, quality_model,
+    quality_rules, sentence_pieces, token_counts,
+)
+from dosecast.llm.common import BYTE_BPE, PIECE_BPE, WORD_BPE, loaded
 
 WORDS = ["alpha", "beta", "gamma", "delta", "Überfluß", "été", "12", "end."]
 
@@ -482,3 +487,144 @@ def test_html_finds_every_article(spark, sf):
         inside = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
         parts = [" ".join(unescape(re.sub(r"<[^>]*>", " ", p)).split()) for p in re.split(r"</?(?:p|h1)>", inside)]
         assert html_text.extract(r.html) == "\n".join(p for p in parts if p)
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def in_the_middle(doc_id, text):
+    digest = sha("1:" + ("" if doc_id is None else str(doc_id)))
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    n = len(text)
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    if not text or any(s in text for s in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return doc_id, n, "plain", None, None, text
+    prefix, middle, suffix = text[:a], text[a:b], text[b:]
+    if h[3] % 100 < 20:
+        return doc_id, n, "spm", a, b - a, f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return doc_id, n, "psm", a, b - a, f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def test_fill_in_middle(docs, nothing, spark):
+    more = ["a <P> b", "<S", "<M>", "<" * 40, "<P" * 9 + ">", "😀é\n\r\n\u2028" * 3000, "x" * 4096, "y" * 4097, "$1 \\1 ${2}", "\n"]
+    extra = spark.createDataFrame([(i, t) for i in range(100, 130) for t in more], "doc_id bigint, text string")
+    both = docs.select("doc_id", "text").union(extra)
+    expected = Counter(in_the_middle(i, t) for i, t in texts(both))
+    made = fill_in_middle.fill_in_middle(both)
+    assert rows_of(made) == expected
+    assert {f for _, _, f, *_ in expected} == {"plain", "psm", "spm"}
+    digested = Counter((*row[:5], sha(row[5])) for row in expected.elements())
+    out = fill_in_middle.digests(both)
+    assert rows_of(out.drop("restored_sha256")) == digested
+    assert Counter(r.restored_sha256 for r in out.collect()) == Counter(sha(t) for _, t in texts(both))
+    assert fill_in_middle.digests(nothing).count() == 0
+    plan = fill_in_middle.digests(extra)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+
+
+MARKED = ["  two  blanks ", " ", "   ", "▁ literal ▁▁x", "tab\t\tnew\nline", "a\x00b", "<s> </s> <unk> <0x0A>", "漢字 かな 🙂 \ue000", "x" * 20_000, "end "]
+
+
+def test_sentence_pieces(docs, nothing, spark):
+    library = SentencePieceProcessor(model_file=PIECE_BPE)
+    extra = spark.createDataFrame([(200 + i, t) for i, t in enumerate(MARKED)], "doc_id bigint, text string")
+    both = docs.select("doc_id", "text").union(extra).repartition(3)
+    ids = {t: tuple(library.encode(t)) for _, t in texts(both)}
+    expected = Counter((i, ids[t]) for i, t in texts(both))
+    for sizes in ({}, {"block_chars": 10, "shards": 3}):
+        assert Counter((r.doc_id, tuple(r.ids)) for r in sentence_pieces.encode(both, **sizes).collect()) == expected
+    digested = Counter(
+        (i, len(x), sha(",".join(map(str, x))), sha(library.decode(list(x)))) for i, x in expected.elements()
+    )
+    assert rows_of(sentence_pieces.digests(both)) == digested
+    back = Counter((i, library.decode(list(x))) for i, x in expected.elements())
+    assert rows_of(sentence_pieces.decode(sentence_pieces.encode(both))) == back
+    assert sentence_pieces.digests(nothing).count() == 0
+
+
+def test_sentence_pieces_segment_each_chunk_once(monkeypatch):
+    import pyarrow as pa
+
+    given_to_library = []
+    pieces = loaded(sentence_pieces.Pieces, PIECE_BPE)
+    real = pieces.segmented
+    monkeypatch.setattr(pieces, "segmented", lambda chunks: given_to_library.extend(chunks) or real(chunks))
+    rows = [(b, s, sentence_pieces.pack_chunks([f"▁w{s}", "▁▁x" * (b + 1)])) for s in (1, 2) for b in range(3)]
+    batch = pa.record_batch({n: pa.array(c) for n, c in zip(("block", "shard", "chunks"), zip(*rows))})
+    out = pa.Table.from_batches(sentence_pieces.segmented_packs(iter([batch.slice(0, 2), batch.slice(2)]), PIECE_BPE))
+    assert Counter(given_to_library) == Counter({"▁w1": 1, "▁w2": 1, **{"▁▁x" * (b + 1): 2 for b in range(3)}})
+    assert out.num_rows == 6
+
+
+@settings(deadline=None)
+@given(st.lists(st.sampled_from(["a", "the", " ", "▁", "  ", "\n", "é", "漢", "🙂", ".", "<s>", "\x00", "1"]), max_size=15).map("".join))
+def test_chunks_of_odd_white_space(text):
+    pieces = loaded(sentence_pieces.Pieces, PIECE_BPE)
+    ids = [i for found in pieces.segmented(pieces.chunks(text)) for i in found]
+    assert ids == pieces.library.encode(text)
+
+
+def audited(rows, labels):
+    letters = "ABCDE"
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    smallest = {}
+    for i, text, _ in rows:
+        if i is not None:
+            smallest[text or ""] = min(i, smallest.get(text or "", i))
+    out = {}
+    for i, text, source in rows:
+        text = text or ""
+        own = re.findall(r"[^\x20\x09-\x0D]+", text)
+        failed = {
+            letter
+            for letter, fails in zip(
+                letters,
+                (
+                    len(own) < 50,
+                    100 * len(set(own)) < 65 * len(own),
+                    100 * len(re.findall("[A-Z]", text)) > 5 * len(text),
+                    re.search(r"[#$%&*|]", text),
+                    i is not None and smallest[text] < i,
+                ),
+                strict=True,
+            )
+            if fails
+        }
+        for order in map("".join, itertools.permutations(letters)):
+            gone = False
+            for step, letter in enumerate(order, 1):
+                counts = out.setdefault((source or "", order, step), [0] * 6)
+                fails = letter in failed
+                removed, redundant = fails and not gone, fails and gone
+                gone = gone or fails
+                added = (not gone, removed, redundant, failed == {letter}, removed and i in good, removed and i in toxic)
+                counts[:] = [a + b for a, b in zip(counts, added)]
+    share = Counter()
+    for (part, order, step), counts in out.items():
+        share[part, order[step - 1]] += counts[1]
+    return {(p, o, s, *c, share[p, o[s - 1]]) for (p, o, s), c in out.items()}
+
+
+def test_filter_audit(nothing, spark):
+    rows = [(i, t, "hot" if i % 3 else None) for i, t in enumerate(ODD)]
+    rows += [(6, ODD[6], "hot"), (None, ODD[6], "x"), (None, "", ""), (50, ODD[6], "x"), (-1, text_of(3, 60), "x"), (51, "A# " * 60, "y")]
+    rows += [(100 + i, "same " * 60, "hot") for i in range(40)]
+    labels = [(4, 1, 0), (6, 1, 1), (6, 0, 0), (None, 1, 1), (9, 0, 1), (50, None, 1), (102, 1, None), (8, 1, 0)]
+    df = spark.createDataFrame([(*r, 1, "z") for r in rows], "doc_id bigint, text string, source string, part int, digest string").repartition(4)
+    marks = spark.createDataFrame([(*r, 5) for r in labels], "doc_id bigint, quality int, toxic int, n int")
+    out = filter_audit.filter_audit(df, marks).collect()
+    assert {tuple(r) for r in out} == audited(rows, labels) and len(out) == 600 * 4
+    empty = spark.createDataFrame([], "doc_id bigint, text string, source string")
+    assert filter_audit.filter_audit(empty, marks).count() == 0
+    unmarked = filter_audit.filter_audit(df, marks.where("false")).agg({"good_lost": "sum", "toxic_lost": "sum"}).first()
+    assert tuple(unmarked) == (0, 0)
+
+
+def test_packed_counters_hold_large_numbers():
+    many = (1 << 55) - 1
+    table = filter_audit.part_rows("p", [0, 1, 31, 31 | filter_audit.GOOD], [many, many, many, many])
+    first = table.slice(0, 1).to_pylist()[0]
+    assert first["filter_order"] == "ABCDE" and first["kept"] == many and first["removed"] == 3 * many
+    assert first["good_lost"] == many and first["unique_fails"] == many

@@ -9,7 +9,7 @@ from dosecast.llm.queries import trusted_ids
 def test_registered():
     names = contract.queries()
     assert names["pipeline"] is corpus_pipeline.run
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
 
 
 def test_stages(spark, sf):
