@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -12,6 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dosecast.sources.staging import fresh_path
+
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -50,6 +53,21 @@ def loaded(make: Callable, *args):
     return _loaded[key]
 
 
+def bucketed(df: DataFrame, label: str, column: str) -> DataFrame:
+    """``df`` written to the shared folder in buckets by ``column`` and read back, so that a join on it moves the other side alone.
+
+    There are as many buckets as shuffle partitions. The catalog holds the table only until it is read: its files are
+    outside the warehouse, so they stay when the name goes.
+    """
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, column).option("path", fresh_path(spark, label)).saveAsTable(name)
+    rows = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

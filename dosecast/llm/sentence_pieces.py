@@ -10,7 +10,7 @@ one after the other. Each distinct chunk is segmented once, and the ids are join
    library once. The answer is one pack of ids for each pack of chunks.
 3. The packs of a block join the block by its number, and every document reads its ids by position.
 
-What moves are compressed packs and position lists. A block closes at ``BLOCK_CHARS`` characters. A chunk has at most one
+The blocks are written in buckets by their number, so what moves are compressed packs alone, never texts or position lists. A block closes at ``BLOCK_CHARS`` characters. A chunk has at most one
 entry in each block, so a frequent word is no hot key. The table of a shard is emptied at ``KEPT_CHUNKS`` entries, which
 costs a second segmentation of what comes again and changes nothing else.
 
@@ -34,13 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from dosecast.llm.common import PIECE_BPE, id_text, id_type, loaded, prepare
-from dosecast.sources.staging import stage
+from dosecast.llm.common import PIECE_BPE, bucketed, id_text, id_type, loaded, prepare
 
 MARKER = "▁"
 BLOCK_CHARS = 32 << 20
 BLOCK_DOCS = 50_000
-SHARDS = 1 << 12
+SHARDS = 1 << 11
 KEPT_CHUNKS = 1_000_000
 CHUNKS_AT_ONCE = 20_000
 _CHUNKS = re.compile(f"{MARKER}+[^{MARKER}]*").findall
@@ -113,9 +112,8 @@ def _of_documents(
     kind = id_type(docs)
     packs = "array<struct<shard: int, chunks: binary>>"
     schema = f"block bigint, packs {packs}, doc_id array<{kind}>, n_chunks array<int>, positions binary"
-    blocks = stage(
-        id_text(docs).mapInArrow(lambda batches: chunk_blocks(batches, model, block_chars, shards), schema), "chunks"
-    )
+    made = id_text(docs).mapInArrow(lambda batches: chunk_blocks(batches, model, block_chars, shards), schema)
+    blocks = bucketed(made, "chunks", "block")
     packed = blocks.select("block", F.explode("packs").alias("pack")).select("block", "pack.*")
     segmented = packed.repartition("shard").sortWithinPartitions("shard").mapInArrow(
         lambda batches: segmented_packs(batches, model), "block bigint, shard int, lengths binary, ids binary"
