@@ -3,7 +3,8 @@
 Texts are read once and written as blocks of documents: the distinct pre-tokens of the block, and for each
 document the numbers and frequencies of its own. Each distinct pre-token of the corpus is then counted
 once, its count is joined to all blocks that hold it, and every document sums count times frequency. No
-token id is ever made, and the rows that move are the distinct pre-tokens of blocks, not those of documents.
+token id is ever made, and the rows that move are the distinct pre-tokens of blocks, not those of documents: their
+counts come back as one packed list for each block and task, to blocks that lie in buckets by their number.
 
 A block closes at ``BLOCK_CHARS`` characters, so its vocabulary and memory have a bound whatever the
 corpus is. A pre-token that occurs everywhere has one row per block; the adaptive skew join splits it.
@@ -14,7 +15,6 @@ repeat. Null ids are kept. Columns other than the id and the text are not looked
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,12 +23,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dosecast.llm.common import WORD_BPE, id_text, id_type, loaded, prepare
+from dosecast.llm.common import WORD_BPE, bucketed, id_text, id_type, loaded, prepare
 from dosecast.llm.pretokens import WordBpe
-from dosecast.sources.staging import stage
 
 BLOCK_CHARS = 16 << 20
 BLOCK_DOCS = 50_000
+#: Counts that a task packs at once.
+PACK_ROWS = 1 << 20
 
 
 def token_counts(docs: DataFrame, tokenizer: str = WORD_BPE, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -36,24 +37,20 @@ def token_counts(docs: DataFrame, tokenizer: str = WORD_BPE, block_chars: int =
     prepare(docs.sparkSession)
     kind = id_type(docs)
     schema = (
-        f"block string, pieces array<string>, doc_id array<{kind}>, n_bytes array<bigint>, "
+        f"block bigint, pieces array<string>, doc_id array<{kind}>, n_bytes array<bigint>, "
         "n_pieces array<int>, piece_numbers binary, frequencies binary"
     )
 
     def make(batches):
         return frequency_blocks(batches, tokenizer, block_chars)
 
-    blocks = stage(id_text(docs).mapInArrow(make, schema), "pretokens")
+    blocks = bucketed(id_text(docs).mapInArrow(make, schema), "pretokens", "block")
     pieces = blocks.select("block", F.posexplode("pieces").alias("number", "piece"))
     counted = pieces.select("piece").distinct().mapInArrow(
         lambda batches: piece_counts(batches, tokenizer), "piece string, n int"
     )
-    numbers = (
-        pieces.join(counted.hint("merge"), "piece")
-        .groupBy("block")
-        .agg(F.array_sort(F.collect_list(F.struct("number", "n"))).alias("counts"))
-        .select("block", F.col("counts.n").alias("counts"))
-    )
+    found = pieces.join(counted.hint("merge"), "piece").select("block", "number", "n")
+    numbers = found.mapInArrow(count_packs, "block bigint, pack binary").groupBy("block").agg(F.collect_list("pack").alias("packs"))
     sums = blocks.drop("pieces").join(numbers.hint("merge"), "block", "left")
     return sums.mapInArrow(document_sums, f"doc_id {kind}, n_bytes bigint, n_tokens bigint")
 
@@ -74,6 +71,35 @@ def frequency_blocks(batches: Iterator[pa.RecordBatch], tokenizer: str, block_ch
         yield block.record(made)
 
 
+def count_packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of block, number and n as one packed list of numbers and counts per block."""
+    held: list[pa.RecordBatch] = []
+
+    def packed() -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        block, number, n = (rows.column(c).to_numpy() for c in ("block", "number", "n"))
+        order = np.lexsort((number, block))
+        names, first = np.unique(block[order], return_index=True)
+        parts = zip(np.split(number[order], first[1:]), np.split(n[order], first[1:]))
+        packs = [_binary([np.diff(a, prepend=0), b]) for a, b in parts]
+        return pa.record_batch({"block": pa.array(names, pa.int64()), "pack": pa.array(packs, pa.binary())})
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= PACK_ROWS:
+            yield packed()
+            held = []
+    if sum(b.num_rows for b in held):
+        yield packed()
+
+
+def _binary(arrays: list[np.ndarray]) -> bytes:
+    """Unsigned 32-bit integers, compressed; equal bytes together pack better."""
+    raw = np.concatenate(arrays).astype("<u4") if arrays else np.zeros(0, "<u4")
+    columns = raw.view(np.uint8).reshape(-1, 4).T.copy()
+    return columns.size.to_bytes(8, "little") + pa.Codec("zstd").compress(columns.tobytes(), asbytes=True)
+
+
 class _Block:
     def __init__(self, bpe: WordBpe):
         self.bpe, self.chars, self.id_type = bpe, 0, pa.int64()
@@ -107,25 +133,18 @@ class _Block:
         self.chars += len(text)
 
     def record(self, made: int) -> pa.RecordBatch:
-        packed = pa.Codec("zstd")
-
-        def binary(arrays):
-            raw = np.concatenate(arrays).astype("<u4") if arrays else np.zeros(0, "<u4")
-            columns = raw.view(np.uint8).reshape(-1, 4).T.copy()  # equal bytes together pack better
-            return columns.size.to_bytes(8, "little") + packed.compress(columns.tobytes(), asbytes=True)
-
         task = TaskContext.get()
-        name = f"{task.partitionId() if task else 0}-{made}-{uuid.uuid4().hex[:8]}"
+        number = ((task.partitionId() if task else 0) << 32) + made
         ints = pa.list_(pa.int64())
         return pa.record_batch(
             {
-                "block": pa.array([name]),
+                "block": pa.array([number], pa.int64()),
                 "pieces": pa.array([list(self.numbers)], pa.list_(pa.string())),
                 "doc_id": pa.array([self.ids], pa.list_(self.id_type)),
                 "n_bytes": pa.array([self.n_bytes], ints),
                 "n_pieces": pa.array([self.n_pieces], pa.list_(pa.int32())),
-                "piece_numbers": pa.array([binary(self.parts)], pa.binary()),
-                "frequencies": pa.array([binary(self.times)], pa.binary()),
+                "piece_numbers": pa.array([_binary(self.parts)], pa.binary()),
+                "frequencies": pa.array([_binary(self.times)], pa.binary()),
             }
         )
 
@@ -148,11 +167,20 @@ def piece_counts(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[
         yield pa.record_batch({"piece": batch.column("piece"), "n": pa.array(counts, pa.int32())})
 
 
+def _counts_of(packs: list[bytes]) -> np.ndarray:
+    """Counts by number."""
+    pairs = [np.split(_unpacked(p).astype(np.int64), 2) for p in packs]
+    counts = np.zeros(sum(len(steps) for steps, _ in pairs), np.int64)
+    for steps, n in pairs:
+        counts[np.cumsum(steps)] = n
+    return counts
+
+
 def document_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
             one = {name: batch.column(name)[row] for name in batch.schema.names}
-            counts = np.array(one["counts"].values if one["counts"].is_valid else [], dtype=np.int64)
+            counts = _counts_of(one["packs"].as_py() or [])
             lengths = np.array(one["n_pieces"].values, dtype=np.int64)
             steps = _unpacked(one["piece_numbers"].as_py()).astype(np.int64)
             ends = np.cumsum(lengths)
