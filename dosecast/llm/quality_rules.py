@@ -3,35 +3,35 @@
 The base rules fail documents of fewer than ``MIN_WORDS`` words or with more than half of their words in
 3-word windows that repeat. The verdict on the others compares two multinomials over hashed word n-grams
 (one and two words, ``BUCKETS`` buckets): one of a trusted target, one of the raw corpus. The score of a
-document is the sum over its n-grams of log p(target) - log p(raw), divided by their number. Both multinomials are
-smoothed by ``SMOOTHING`` counts per bucket, scaled to the corpus, so a bucket that the target lacks has a finite weight.
+document is the mean over its n-grams of log((t + 1) / (e + 1)), with t the count of the n-gram's bucket in the target and e what
+its raw count would give there. The document's own n-grams are left out of both counts, or they would pull its score up if it is
+trusted and down if not, the more so the smaller the corpus or the target. A document is kept if its score, rounded to
+``DIGITS`` digits, is at least ``MIN_SCORE``, or at least the ``QUANTILE`` of those of the trusted documents that pass the base
+rules, whichever is lower. The quantile is an exact order statistic, so no partitioning changes a verdict. What the target holds
+nothing like (a language without trusted documents) cannot be told from what it shuns.
 
-The verdict does not use that score, since a document's own n-grams pull it up if it is trusted and down if not, the more
-so the smaller the corpus or the target. It uses the held-out score: the mean of log((t + 1) / (e + 1)) with t the
-count of the bucket in the target and e what its raw count would give there, both without the document's own
-n-grams. A document is kept if its held-out score is at least ``MIN_SCORE``, or at least the ``QUANTILE`` of those of
-the trusted documents that pass the base rules, whichever is lower. What the target holds nothing like (a language without trusted
-documents) cannot be told from what it shuns.
+Each text is cut into words once: one pass writes the base facts and the document's distinct buckets with their counts to the shared
+folder, and counting, threshold and verdict work on those.
 
 All counts cover all documents. N-grams are counted into buckets before anything is shuffled, so what moves and
-what the scoring reads is one row per bucket and task. The weights are one array of ``BUCKETS`` numbers,
+what the scoring reads is one row per bucket and task. The counts are two arrays of ``BUCKETS`` numbers,
 a size that does not depend on the data.
 
 Null and empty texts have no words and fail the base rules. Repeated rows are judged alike. Ids play no part
 but for the trusted target; null ids are never trusted. With an empty target every document that passes the
-base rules is kept. Extra columns pass through ``annotate`` and ``keep_good``.
+base rules is kept. Extra columns pass through ``keep_good``.
 """
 
 from __future__ import annotations
 
 import json
-import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dosecast.llm.common import fresh
 from dosecast.operators.joins import measured_bytes
+from dosecast.sources.staging import stage
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -39,6 +39,7 @@ BUCKETS = 1 << 14
 MIN_SCORE = -0.045
 QUANTILE = 0.01
 SMOOTHING = 1.0
+DIGITS = 5
 # fixed values of the contract
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = "#*$%&|<>"
@@ -56,12 +57,15 @@ def words(text: Column) -> Column:
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[\x20\x09-\x0D]+"))
 
 
-def repeated_words(own: Column) -> Column:
-    """Words inside 3-word windows that occur at least twice in the array."""
+def neighbours(left: Column, right: Column, apart: int) -> Column:
+    """Hash of each element of ``left`` with that of ``right`` some places on, as far as there are both."""
+    shifted = F.slice(right, F.lit(apart + 1), F.greatest(F.size(right) - apart, F.lit(0)))
+    cut = F.slice(left, F.lit(1), F.size(shifted))
+    return F.zip_with(cut, shifted, lambda a, b: F.xxhash64(a, b))
 
-    def windows(w: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.size(w) - 3)
-        return F.transform(starts, lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+
+def repeated_words(threes: Column) -> Column:
+    """Words inside 3-word windows, given by their hashes, that occur at least twice."""
 
     def covered(hashes: Column) -> Column:
         placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -78,15 +82,33 @@ def repeated_words(own: Column) -> Column:
         )
         return F.aggregate(gaps, F.lit(0).cast("bigint"), lambda n, x: n + x)
 
-    count = let(
-        windows(own),
+    return let(
+        threes,
         lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("bigint")).otherwise(covered(h)),
     )
-    return F.when(F.size(own) < 4, F.lit(0).cast("bigint")).otherwise(count)
 
 
-def base_facts(text: Column) -> dict[str, Column]:
-    """The base columns of the contract, from a text column."""
+def histogram(buckets: Column) -> Column:
+    """Distinct buckets in order and how often each occurs."""
+    empty = F.array().cast("array<int>")
+
+    def counted(b: Column) -> Column:
+        n = F.size(b)
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: ~F.get(b, i).eqNullSafe(F.get(b, i - 1)))
+
+        def runs(s: Column) -> Column:
+            ends = F.concat(F.slice(s, F.lit(2), F.size(s)), F.array(n))
+            return F.struct(
+                F.transform(s, lambda i: F.get(b, i)).alias("buckets"), F.zip_with(s, ends, lambda x, y: y - x).alias("counts")
+            )
+
+        return F.when(n > 0, let(starts, runs)).otherwise(F.struct(empty.alias("buckets"), empty.alias("counts")))
+
+    return let(F.sort_array(buckets), counted)
+
+
+def text_facts(text: Column) -> Column:
+    """All that the rules need of a text, the words cut out once."""
     filled = F.coalesce(text, F.lit(""))
     lines = let(
         F.filter(F.split(filled, "\n", -1), lambda line: F.btrim(line, F.lit(SPACES)) != ""),
@@ -94,28 +116,23 @@ def base_facts(text: Column) -> dict[str, Column]:
     )
 
     def of_words(w: Column) -> Column:
-        return F.struct(F.size(w).cast("bigint").alias("n_words"), repeated_words(w).alias("n_repeat_words"))
-
-    return {
-        "counts": let(words(text), of_words),
-        "word_chars": F.length(F.translate(filled, SPACES, "")).cast("bigint"),
-        "n_symbols": (F.length(filled) - F.length(F.translate(filled, SYMBOLS, ""))).cast("bigint"),
-        "n_dup_lines": lines,
-    }
+        def of_hashes(ones: Column) -> Column:
+            def of_pairs(twos: Column) -> Column:
+                grams = F.transform(F.concat(ones, twos), lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int"))
+                return F.struct(
+                    F.size(ones).cast("bigint").alias("n_words"),
+                    F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
+                    F.length(F.regexp_replace(filled, f"[^{SYMBOLS}]+", "")).cast("bigint").alias("n_symbols"),
+                    lines.alias("n_dup_lines"),
+                    repeated_words(neighbours(twos, ones, 2)).alias("n_repeat_words"),
+                    histogram(grams).alias("grams"),
+                )
 
+            return let(neighbours(ones, ones, 1), of_pairs)
 
-def ngram_buckets(text: Column) -> Column:
-    """Bucket of each word and of each pair of neighbours."""
+        return let(F.transform(w, lambda x: F.xxhash64(x)), of_hashes)
 
-    def both(w: Column) -> Column:
-        ones = F.transform(w, lambda x: F.xxhash64(x))
-        twos = F.transform(
-            F.when(F.size(w) > 1, F.sequence(F.lit(0), F.size(w) - 2)).otherwise(F.array().cast("array<int>")),
-            lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1)),
-        )
-        return F.transform(F.concat(ones, twos), lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int"))
-
-    return let(words(text), both)
+    return let(words(text), of_words)
 
 
 def flagged(docs: DataFrame, trusted: DataFrame, id_col: str, name: str, how: str = "left") -> DataFrame:
@@ -127,14 +144,12 @@ def flagged(docs: DataFrame, trusted: DataFrame, id_col: str, name: str, how: st
     return joined.withColumn(name, F.col(own).isNotNull().cast("int")).drop(own)
 
 
-def bucket_counts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", trusted: DataFrame | None = None):
-    """bucket, raw and target counts. ``trusted`` holds ids; their documents are the target."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = rows.withColumn("in_target", F.lit(0)) if trusted is None else flagged(rows, trusted, "id", "in_target")
-    return (
-        rows.select(F.explode(ngram_buckets(F.col("text"))).alias("bucket"), "in_target")
-        .groupBy("bucket")
-        .agg(F.count("*").alias("raw"), F.sum("in_target").cast("bigint").alias("target"))
+def bucket_counts(facts: DataFrame, name: str, flag: str) -> DataFrame:
+    """bucket, raw and target counts over all documents of the facts table."""
+    grams = F.col(name)["grams"]
+    one = facts.select(F.explode(F.arrays_zip(grams["buckets"].alias("b"), grams["counts"].alias("n"))).alias("g"), F.col(flag).alias("t"))
+    return one.groupBy(F.col("g")["b"].alias("bucket")).agg(
+        F.sum("g.n").alias("raw"), F.sum(F.col("g")["n"] * F.col("t")).alias("target")
     )
 
 
@@ -146,55 +161,40 @@ def collected(counts: DataFrame) -> tuple[list[int], list[int]]:
     return raw, target
 
 
-def weights(raw: list[int], target: list[int], smoothing: float = SMOOTHING) -> list[float]:
-    """Log ratio by bucket, rounded; empty where the target has no n-gram."""
-    all_raw, all_target = sum(raw), sum(target)
-    if not all_target:
-        return []
-
-    # the smoothing of the target is in proportion to its size, so that sizes cancel out
-    def share(count: int, total: int) -> float:
-        scale = smoothing * total / all_raw
-        return (count + scale) / (total + scale * BUCKETS)
-
-    return [round(math.log(share(t, all_target) / share(r, all_raw)), 6) for t, r in zip(target, raw, strict=True)]
-
-
-def held_out(buckets: Column, in_target: Column, raw: list[int], target: list[int]) -> Column:
-    """Mean log ratio of the n-grams of a document against what the other documents hold."""
+def held_out(grams: Column, in_target: Column, raw: list[int], target: list[int]) -> Column:
+    """Mean log ratio of the n-grams of a document against what the other documents hold, rounded."""
     raws, targets = constant_array(raw), constant_array(target)
 
-    def of(b: Column) -> Column:
-        n = F.size(b)
-        rest = F.greatest(F.lit(sum(raw)) - n, F.lit(1))
-        share = (F.lit(sum(target)) - n * in_target) / rest
-        first = let(b, lambda x: F.filter(F.sequence(F.lit(0), n - 1), lambda i: ~F.get(x, i).eqNullSafe(F.get(x, i - 1))))
+    def of(g: Column) -> Column:
+        def total(n: Column) -> Column:
+            share = (F.lit(sum(target)) - n * in_target) / F.greatest(F.lit(sum(raw)) - n, F.lit(1))
 
-        def total(starts: Column) -> Column:
-            def part(at: Column, k: Column) -> Column:
-                bucket, own = F.get(b, at), F.coalesce(F.get(starts, k + 1), n) - at
-                here = F.get(targets, bucket) - own * in_target + SMOOTHING
-                there = (F.get(raws, bucket) - own) * share + SMOOTHING
-                return own * F.log(here / there)
+            def mean(s: Column) -> Column:
+                def part(bucket: Column, own: Column) -> Column:
+                    here = F.get(targets, bucket) - own * in_target + SMOOTHING
+                    there = (F.get(raws, bucket) - own) * s + SMOOTHING
+                    return own * F.log(here / there)
 
-            return F.aggregate(F.transform(starts, part), F.lit(0.0), lambda s, x: s + x) / n
+                terms = F.zip_with(g["buckets"], g["counts"], part)
+                return F.round(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / n, DIGITS)
 
-        return F.when(n > 0, let(first, total)).otherwise(F.lit(0.0))
+            return let(share, mean)
 
-    return let(F.sort_array(buckets), of)
+        n = F.aggregate(g["counts"], F.lit(0).cast("bigint"), lambda a, x: a + x)
+        return F.when(F.size(g["counts"]) > 0, let(n, total)).otherwise(F.lit(0.0))
 
+    return let(grams, of)
 
-def base_failed(counts: Column) -> Column:
-    n, repeat = counts["n_words"], counts["n_repeat_words"]
+
+def base_failed(facts: Column) -> Column:
+    n, repeat = facts["n_words"], facts["n_repeat_words"]
     return (n < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n)
 
 
-def cut(docs: DataFrame, trusted: DataFrame, raw: list[int], target: list[int], text_col: str, id_col: str) -> float:
-    """The least held-out score that is kept."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = flagged(rows, trusted, "id", "in_target", "inner").where(~base_failed(base_facts(F.col("text"))["counts"]))
-    score = held_out(ngram_buckets(F.col("text")), F.col("in_target"), raw, target)
-    low = rows.agg(F.percentile_approx(score, F.lit(QUANTILE), F.lit(100_000)).alias("low")).first()["low"]
+def cut(scores: DataFrame, score: str) -> float:
+    """The least score that is kept, from those of the trusted documents that pass the base rules."""
+    # scores are rounded, so the exact statistic keeps one count per distinct value
+    low = scores.agg(F.expr(f"percentile_disc({QUANTILE}) WITHIN GROUP (ORDER BY `{score}`)").alias("low")).first()["low"]
     return MIN_SCORE if low is None else min(MIN_SCORE, low)
 
 
@@ -203,50 +203,38 @@ def constant_array(values: list[float]) -> Column:
     return F.from_json(F.lit(json.dumps(values)), "array<double>")
 
 
-def annotate(docs: DataFrame, trusted: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> tuple[DataFrame, str]:
-    """The documents with a struct column of all facts, its verdict ``kept`` and its ``score``; and its name."""
-    name = fresh(docs, "quality_facts")
-    raw, target = collected(bucket_counts(docs, text_col, id_col, trusted))
-    table = constant_array(weights(raw, target))
-    least = cut(docs, trusted, raw, target, text_col, id_col)
-    text = F.col(text_col)
-    flag = fresh(docs, "in_target")
-
-    def scored(buckets: Column) -> Column:
-        total = F.aggregate(buckets, F.lit(0.0), lambda s, x: s + F.coalesce(F.get(table, x), F.lit(0.0)))
-        mean = F.when(F.size(buckets) > 0, total / F.size(buckets)).otherwise(F.lit(0.0))
-        return F.struct(mean.alias("score"), held_out(buckets, F.col(flag), raw, target).alias("held_out"))
-
-    facts = base_facts(text)
-    first = flagged(docs, trusted, id_col, flag).withColumn(name, F.struct(*[v.alias(k) for k, v in facts.items()]))
-    counts = F.col(name)["counts"]
-    failed = base_failed(counts)
+def annotate(
+    docs: DataFrame, trusted: DataFrame, keep: list[str], text_col: str = "text", id_col: str = "doc_id"
+) -> tuple[DataFrame, str]:
+    """The columns ``keep`` of the documents with a struct column of all facts and the verdict ``kept``; and its name."""
+    name, flag = fresh(docs, "quality_facts"), fresh(docs, "in_target")
+    rows = flagged(docs, trusted, id_col, flag).withColumn(name, text_facts(F.col(text_col)))
+    rows = stage(rows.select(*keep, flag, name), "quality-facts")
+    raw, target = collected(bucket_counts(rows, name, flag))
     facts = F.col(name)
-
-    def judged(scores: Column) -> Column:
+    failed = base_failed(facts)
+    score = F.when(~failed & (F.lit(sum(target)) > 0), held_out(facts["grams"], F.col(flag), raw, target))
+    passed = rows.where((F.col(flag) == 1) & ~failed).select(score.alias("score")) if sum(target) else None
+    least = MIN_SCORE if passed is None else cut(passed, "score")
+    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+    def judged(value: Column) -> Column:
+        kept = ~failed & F.coalesce(value >= least, F.lit(not sum(target)))
         return F.struct(
-            counts["n_words"].alias("n_words"),
-            *[facts[c].alias(c) for c in ("word_chars", "n_symbols", "n_dup_lines")],
-            counts["n_repeat_words"].alias("n_repeat_words"),
-            failed.alias("base_failed"),
-            F.coalesce(scores["held_out"] >= least, F.lit(False)).alias("kept"),
-            scores["score"].alias("score"),
-            scores["held_out"].alias("held_out"),
+            *[facts[c].alias(c) for c in columns], failed.alias("base_failed"), kept.alias("kept"), value.alias("held_out")
         )
 
-    # one expression: as fields of a struct the scores would be worked out once for each use
-    scores = F.when(~failed, let(ngram_buckets(text), scored))
-    return first.withColumn(name, let(scores, judged)).drop(flag), name
+    return rows.withColumn(name, let(score, judged)).drop(flag), name
 
 
 def rules(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """doc_id and all facts per document row."""
-    out, name = annotate(docs, trusted)
-    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score", "held_out")
+    out, name = annotate(docs, trusted, ["doc_id"])
+    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "held_out")
     return out.select("doc_id", *[F.col(name)[c].alias(c) for c in columns])
 
 
 def keep_good(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """The documents whose verdict is to keep, with their own columns."""
-    out, name = annotate(docs, trusted)
+    out, name = annotate(docs, trusted, docs.columns)
     return out.where(F.col(name)["kept"]).drop(name)

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sentencepiece import SentencePieceProcessor
@@ -132,48 +133,86 @@ def base_rules(text):
     return len(own), sum(map(len, own)), len(re.findall(r"[#*$%&|<>]", text)), again, len(inside), failed
 
 
-def test_quality_rules(docs, nothing, spark):
+def ngram_buckets(text):
+    import struct
+
     import xxhash
 
-    trusted = spark.createDataFrame([(6,), (6,), (None,), (8,)], "doc_id bigint")
-    out = quality_rules.rules(docs, trusted).collect()
-    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    def of_long(value, seed):
+        return xxhash.xxh64_intdigest(struct.pack("<Q", value), seed)
 
-    def buckets(text):
-        own = re.findall(r"[^\x20\x09-\x0D]+", text)
-        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in own]
-        pairs = [xxhash.xxh64_intdigest(b.encode(), a) for a, b in zip(hashes, own[1:])]
-        return [signed(h) % quality_rules.BUCKETS for h in hashes + pairs]
+    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in re.findall(r"[^\x20\x09-\x0D]+", text)]
+    pairs = [of_long(b, of_long(a, 42)) for a, b in zip(hashes, hashes[1:])]
+    return Counter(h % quality_rules.BUCKETS for h in hashes + pairs)
 
+
+def verdicts(rows, trusted):
+    """(facts, score, kept) of each (id, text), by the formula."""
     raw, target = Counter(), Counter()
-    for i, t in texts(docs):
-        raw.update(buckets(t))
-        if i in (6, 8):
-            target.update(buckets(t))
-    n_raw, n_target = sum(raw.values()), sum(target.values())
-
-    def weight(b):
-        scale = n_target / n_raw
-        share_target = (target[b] + scale) / (n_target + scale * quality_rules.BUCKETS)
-        return np.log(share_target / ((raw[b] + 1) / (n_raw + quality_rules.BUCKETS)))
-
-    by_text = {}
-    for _, t in texts(docs):
-        facts, own = base_rules(t), buckets(t)
-        score = np.mean([weight(b) for b in own]) if own else 0.0
-        by_text[facts] = (score, not facts[-1] and score >= quality_rules.MIN_SCORE)
-    for r in out:
-        facts = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
-        assert facts in by_text
-        if not r.base_failed:
-            assert r.score == pytest.approx(by_text[facts][0], abs=1e-5)
-        assert r.kept == by_text[facts][1]
-    assert len(out) == docs.count()
+    for i, t in rows:
+        raw.update(ngram_buckets(t))
+        if i in trusted:
+            target.update(ngram_buckets(t))
+    all_raw, all_target = raw.total(), target.total()
+
+    def score(i, t):
+        own, known = ngram_buckets(t), i in trusted
+        n = own.total()
+        share = (all_target - n * known) / max(all_raw - n, 1)
+        parts = [c * np.log((target[b] - c * known + 1) / ((raw[b] - c) * share + 1)) for b, c in sorted(own.items())]
+        return round(sum(parts) / n, quality_rules.DIGITS) if n else 0.0
+
+    facts = [base_rules(t) for _, t in rows]
+    scores = [None if f[-1] or not all_target else score(i, t) for f, (i, t) in zip(facts, rows)]
+    passed = sorted(s for s, (i, _) in zip(scores, rows) if s is not None and i in trusted)
+    least = min(quality_rules.MIN_SCORE, passed[int(np.ceil(quality_rules.QUANTILE * len(passed))) - 1] if passed else 0)
+    kept = [not f[-1] and (not all_target or s >= least) for f, s in zip(facts, scores)]
+    return list(zip(facts, scores, kept)), least
+
+
+def test_quality_rules(docs, nothing, spark):
+    trusted = spark.createDataFrame([(6,), (6,), (None,), (8,)], "doc_id bigint")
+    out = quality_rules.rules(docs, trusted)
+    expected, _ = verdicts(texts(docs), {6, 8})
+    made = [(*[r[c] for c in BASE], r.held_out, r.kept) for r in out.collect()]
+    in_order = sorted(made, key=lambda r: (r[:-2], r[-2] or 0))
+    for mine, (facts, score, kept) in zip(in_order, sorted(expected, key=lambda e: (e[0], e[1] or 0))):
+        assert mine[:-2] == facts and mine[-1] == kept
+        assert mine[-2] == (None if score is None else pytest.approx(score, abs=2e-5))
+    assert len(made) == len(expected)
     kept = quality_rules.keep_good(docs, trusted)
-    assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in out)
+    assert kept.columns == docs.columns and kept.count() == sum(k for *_, k in expected)
     everything = quality_rules.rules(docs, trusted.where("false")).collect()
     assert all(r.kept != r.base_failed for r in everything)
     assert quality_rules.rules(nothing, trusted).count() == 0
+    for df in (out, kept):
+        assert "split(" not in df._jdf.queryExecution().optimizedPlan().toString()  # each text was cut once, before
+
+
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def test_quality_verdict_by_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    good = {r.doc_id for r in labels.where("quality = 1").collect()}
+    rows = texts(docs)
+    expected, least = verdicts(rows, good)
+    for parts in (1, 7):
+        out = quality_rules.rules(docs.repartition(parts), labels.where("quality = 1").select("doc_id")).collect()
+        by_id = {r.doc_id: r for r in out}
+        for (i, _), (facts, score, kept) in zip(rows, expected):
+            row = by_id[i]
+            assert tuple(row[c] for c in BASE) == facts
+            assert row.held_out == (None if score is None else pytest.approx(score, abs=2e-5))
+            assert row.kept == kept or abs(score - least) < 2e-5
+    assert any(k for *_, k in expected) and not all(k for *_, k in expected)
+
+
+def test_cut_is_exact_beyond_a_hundred_thousand_scores(spark):
+    scores = spark.range(150_000).select(((F.col("id") * 7919) % 150_000 / 100_000 - 2).alias("score"))
+    found = {quality_rules.cut(scores.select(F.round("score", 5).alias("score")).repartition(n), "score") for n in (1, 3, 16)}
+    assert len(found) == 1 and found.pop() == pytest.approx(-2 + (150_000 * quality_rules.QUANTILE - 1) / 100_000, abs=1e-9)
 
 
 @pytest.mark.parametrize("size, share", [("sf0.001", 1.0), ("sf0.01", 1.0), ("sf0.01", 0.3), ("sf0.001", 0.3)])
