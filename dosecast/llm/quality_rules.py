@@ -128,7 +128,7 @@ def text_facts(text: Column) -> Column:
                     histogram(grams).alias("grams"),
                 )
 
-            return let(neighbours(ones, ones, 1), of_pairs)
+            return let(neighbours(w, w, 1), of_pairs)
 
         return let(F.transform(w, lambda x: F.xxhash64(x)), of_hashes)
 
