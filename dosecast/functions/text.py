@@ -29,17 +29,17 @@ def clean_text(text: Column) -> Column:
 
 def _number_after(text: Column, pattern: str, default: int) -> Column:
     # (?U): Unicode-aware \s and \d
-    digits = F.regexp_extract(text, "(?iU)" + pattern, 1)
-    return F.coalesce(F.nullif(digits, F.lit("")).try_cast("int"), F.lit(default))
+    digits = F.coalesce(F.regexp_extract(text, "(?iU)" + pattern, 1), F.lit(""))
+    return F.when(digits == "", F.lit(default).cast("bigint")).otherwise(digits.try_cast("bigint"))
 
 
 def cycle_number(visit: Column) -> Column:
-    """First cycle number in a visit text, 0 without one."""
+    """First cycle number in a visit text, 0 without one, null for one beyond bigint."""
     return _number_after(visit, CYCLE_PATTERN, 0)
 
 
 def day_number(visit: Column) -> Column:
-    """First day number in a visit text, 1 without one."""
+    """First day number in a visit text, 1 without one, null for one beyond bigint."""
     return _number_after(visit, DAY_PATTERN, 1)
 
 

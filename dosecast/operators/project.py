@@ -11,78 +11,116 @@ from dosecast.fixed_values import FORECAST_SCHEMA, FORECAST_SORT
 from dosecast.functions import text, values
 from dosecast.params import ForecastParams
 
-# A cycle start before the first day that nanosecond timestamps reach is a broken visit text and gives
-# no visits; so are longer spans than LONGEST days, which would leave the calendar. ``unprojected`` reports them.
-EARLIEST = dt.date(1677, 9, 22)
-LONGEST = 3_000_000
+# fixed values: first and last day that nanosecond timestamps reach. A plan row with a date beyond them is a broken one: it
+# gives no visits and has a reason
+EARLIEST, LATEST = dt.date(1677, 9, 22), dt.date(2262, 4, 11)
+REASONS = (
+    "no subject number", "no last visit date", "visit number too long", "cycle starts before the calendar",
+    "next cycle after the calendar", "visit days after the calendar",
+)
+_EPOCH = dt.date(1970, 1, 1)
+# more than the cycles that fit between EARLIEST and LATEST
+_MORE_CYCLES = 1_000_000
 
 
-def cycle_bounds(plan: DataFrame, params: ForecastParams) -> DataFrame:
-    """Per plan row: day pattern, cycle length, cap, current and next cycle start, last cycle offset.
+def _epoch_day(date: dt.date) -> int:
+    return (date - _EPOCH).days
+
+
+def bounded(plan: DataFrame, params: ForecastParams) -> DataFrame:
+    """All plan rows with day pattern, cycle length, cap, cycle starts, last cycle offset, and the ``reason`` of those that
+    cannot be projected (null for the others).
+
+    Dates are counted in days as bigint, and a value that leaves the calendar becomes null before anything is worked out
+    from it, so numbers of any length in texts and mapping are judged as they are.
 
     ``_last_k`` is the last offset with a visit inside the horizon; offset 0 is the next cycle and -1
     the rest of the current one. The earliest day of a cycle moves by the cycle length at each step,
     so the offsets inside the horizon are contiguous and the bound is exact: nothing is generated
     beyond it.
     """
-    today, horizon = F.lit(params.as_of_date), F.lit(params.horizon_date)
-    length = F.col("dispensing_frequency_days")
-    pattern = text.visit_days(F.col("visit_days"))
-    base = plan.where(F.col("last_study_visit_date").isNotNull() & F.col("subject_number").isNotNull()).withColumns(
+    today, horizon = _epoch_day(params.as_of_date), _epoch_day(params.horizon_date)
+    first_day, last_day = _epoch_day(EARLIEST), _epoch_day(LATEST)
+    length, cycle, day = F.col("dispensing_frequency_days"), F.col("parsed_last_visit_cycle"), F.col("parsed_last_visit_day")
+    start = F.try_subtract(F.unix_date("last_study_visit_date").cast("bigint"), day.cast("bigint") - 1)
+    rows = plan.withColumns(
         {
-            "_days": F.when(F.size(pattern) == 0, F.array(F.lit(1))).otherwise(
-                F.array_sort(F.filter(pattern, lambda d: d <= LONGEST).cast("array<int>"))
-            ),
-            "_length": F.when(length > 0, F.least(length, F.lit(LONGEST)))
-            .otherwise(params.default_cycle_days)
-            .cast("int"),
+            "_pattern": text.visit_days(F.col("visit_days")),
+            "_length": F.when(length > 0, length).otherwise(params.default_cycle_days).cast("bigint"),
             "_cap": F.when(F.col("max_cycles") >= 1, F.col("max_cycles").try_cast("bigint")),
-            "_current_start": F.date_sub("last_study_visit_date", F.least("parsed_last_visit_day", F.lit(LONGEST)) - 1),
+            "_start": F.when(start >= first_day, start),
+            "_cycle": F.when(F.try_add(cycle.cast("bigint"), F.lit(_MORE_CYCLES)).isNotNull(), cycle.cast("bigint")),
             "_prefix": F.when(F.col("is_crossover"), "Crossover ").when(F.col("is_tpc"), "TPC ").otherwise(""),
         }
     )
-    base = base.where((F.col("_current_start") >= F.lit(EARLIEST)) & (F.size("_days") > 0))
-    planned = base.withColumn("_planned_start", F.date_add("_current_start", F.col("_length")))
-    behind = F.datediff(today, "_planned_start")
-    missed = planned.withColumn(
-        "_missed", F.when(behind > 0, F.floor(behind / F.col("_length")) + 1).otherwise(0).cast("int")
-    )
-    start = missed.withColumn("_next_start", F.date_add("_planned_start", F.col("_missed") * F.col("_length")))
+    one = F.array(F.lit(1).cast("bigint"))
+    rows = rows.withColumn("_days", F.when(F.size("_pattern") == 0, one).otherwise(F.array_sort("_pattern")))
+    planned = F.try_add("_start", "_length")
+    rows = rows.withColumn("_planned", F.when(planned <= last_day, planned))
+    behind = today - F.col("_planned")
+    rows = rows.withColumn("_missed", F.when(behind > 0, F.floor(behind / F.col("_length")) + 1).otherwise(0).cast("bigint"))
+    following = F.col("_planned") + F.col("_missed") * F.col("_length")
     skipped = F.col("_missed") if params.renumber_missed else F.lit(0)
-    first = start.withColumn("_next_cycle", F.col("parsed_last_visit_cycle").cast("bigint") + 1 + skipped)
-    room = F.datediff(horizon, "_next_start") - (F.array_min("_days") - 1)
-    by_horizon = F.floor(room / F.col("_length"))
-    by_cap = F.when(F.col("_cap").isNotNull(), F.col("_cap") - F.col("_next_cycle"))
-    return first.withColumn("_last_k", F.greatest(F.least(by_horizon, by_cap), F.lit(-1)).cast("int"))
-
-
-def unprojected(plan: DataFrame) -> DataFrame:
-    """Plan rows that cannot be projected as written, with the first ``reason`` that applies."""
-    pattern = text.visit_days(F.col("visit_days"))
-    in_reach = F.filter(pattern, lambda d: d <= LONGEST)
-    start = F.date_sub("last_study_visit_date", F.least("parsed_last_visit_day", F.lit(LONGEST)) - 1)
-    reason = (
-        F.when(F.col("subject_number").isNull(), "no subject number")
-        .when(F.col("last_study_visit_date").isNull(), "no last visit date")
-        .when(F.col("parsed_last_visit_day") > LONGEST, "visit day beyond the calendar")
-        .when(start < F.lit(EARLIEST), "cycle starts before the calendar")
-        .when(F.col("dispensing_frequency_days") > LONGEST, "cycle longer than the calendar")
-        .when((F.size(pattern) > 0) & (F.size(in_reach) == 0), "visit days beyond the calendar")
+    rows = rows.withColumns({"_next": F.when(following <= last_day, following), "_next_cycle": F.col("_cycle") + 1 + skipped})
+    room = F.try_subtract(horizon - F.col("_next"), F.array_min("_days") - 1)
+    rows = rows.withColumns(
+        {
+            "_by_horizon": F.greatest(F.floor(room / F.col("_length")), F.lit(-1)),
+            "_by_cap": F.when(F.col("_cap").isNotNull(), F.col("_cap") - F.col("_next_cycle")),
+            "_last_day": F.array_max("_days"),
+        }
+    )
+    # the cycle after the last one is looked at too, unless the cap ends the run before
+    top = F.least(F.col("_by_horizon") + 1, "_by_cap")
+    too_late = ((F.col("_last_day") > day) & (F.col("_last_day") > last_day + 1 - F.col("_start"))) | (
+        (top >= 0) & (F.col("_last_day") > last_day + 1 - F.col("_next") - top * F.col("_length"))
+    )
+    checks = (
+        F.col("subject_number").isNull(),
+        F.col("last_study_visit_date").isNull(),
+        F.col("_cycle").isNull() | day.isNull(),
+        F.col("_start").isNull(),
+        F.col("_next").isNull(),
+        too_late,
     )
-    return plan.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    reason = F.lit(None).cast("string")
+    for name, check in reversed([*zip(REASONS, checks, strict=True)]):
+        reason = F.when(check, name).otherwise(reason)
+    last_k = F.greatest(F.least("_by_horizon", "_by_cap"), F.lit(-1)).cast("int")
+    return rows.withColumns(
+        {
+            "reason": reason,
+            "_last_k": last_k,
+            "_current_start": F.date_from_unix_date(F.col("_start").try_cast("int")),
+            "_next_start": F.date_from_unix_date(F.col("_next").try_cast("int")),
+        }
+    ).drop("_pattern", "_start", "_cycle", "_planned", "_next", "_by_horizon", "_by_cap", "_last_day")
+
+
+def cycle_bounds(plan: DataFrame, params: ForecastParams) -> DataFrame:
+    """The plan rows that can be projected, with what ``bounded`` adds."""
+    return bounded(plan, params).where("reason IS NULL").drop("reason")
+
+
+def unprojected(plan: DataFrame, params: ForecastParams) -> DataFrame:
+    """Plan rows that cannot be projected, with the first ``reason`` that applies."""
+    return bounded(plan, params).where("reason IS NOT NULL").select(*plan.columns, "reason")
 
 
 def project_visits(plan: DataFrame, params: ForecastParams) -> DataFrame:
     """One row per future visit: the rest of the current cycle, then whole cycles up to the horizon."""
-    bounds = cycle_bounds(plan, params)
+    return visits_of(cycle_bounds(plan, params), params)
+
+
+def visits_of(bounds: DataFrame, params: ForecastParams) -> DataFrame:
     current = F.col("_k") < 0
     visits = (
         bounds.withColumn("_k", F.explode(F.sequence(F.lit(-1), F.col("_last_k"))))
         .withColumn("day", F.explode("_days"))
         .withColumn(
             "predicted_next_visit_date",
-            F.when(current, F.date_add("_current_start", F.col("day") - 1)).otherwise(
-                F.date_add("_next_start", F.col("_k") * F.col("_length") + F.col("day") - 1)
+            F.when(current, F.date_add("_current_start", (F.col("day") - 1).cast("int"))).otherwise(
+                F.date_add("_next_start", (F.col("_k") * F.col("_length") + F.col("day") - 1).cast("int"))
             ),
         )
         .where(F.col("predicted_next_visit_date") <= F.lit(params.horizon_date))
@@ -95,7 +133,7 @@ def project_visits(plan: DataFrame, params: ForecastParams) -> DataFrame:
         )
     )
     cycle = F.when(current, F.col("parsed_last_visit_cycle")).otherwise(F.col("_next_cycle") + F.col("_k"))
-    return visits.withColumn("cycle", cycle.try_cast("int")).withColumn(
+    return visits.withColumn("cycle", cycle).withColumn(
         "predicted_study_visit",
         F.concat("_prefix", F.lit("Cycle "), F.col("cycle"), F.lit(" Day "), F.col("day")),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dosecast.operators import match, plan, prepare, project
@@ -53,6 +53,34 @@ def forecast(
     return project.shape_output(forecast_visits(subjects, mapping, params, subject_filter), params, sort)
 
 
+WHOLE_NUMBERS = ("parent_depot", "site_id", "subject_number", "dispensing_quantity", "cycle", "day")
+
+
+def write_forecast(
+    subjects: DataFrame,
+    mapping: DataFrame,
+    params: ForecastParams,
+    path: str,
+    subject_filter: Column | str | None = None,
+) -> DataFrame:
+    """Write the forecast table and return (check_name, n_rows) of what the write saw.
+
+    Plan rows, those of them without visits by reason, visits, and visits without a whole number that the table needs. The counts
+    are metrics observed on the way to the files, so nothing is read or worked out a second time. Both observations come
+    after the last shuffle, in the tasks that write.
+    """
+    plan_seen, visits_seen = Observation(), Observation()
+    rows = project.bounded(build_plan(subjects, mapping, params, subject_filter), params)
+    lost = {f"unprojected: {r}": F.count_if(F.col("reason") == r) for r in project.REASONS}
+    rows = rows.observe(plan_seen, F.count(F.lit(1)).alias("plan_rows"), *[c.alias(n) for n, c in lost.items()])
+    out = project.shape_output(project.visits_of(rows.where("reason IS NULL").drop("reason"), params), params)
+    missing = {f"visits without {c}": F.count_if(F.col(c).isNull()) for c in WHOLE_NUMBERS}
+    out = out.observe(visits_seen, F.count(F.lit(1)).alias("visits"), *[c.alias(n) for n, c in missing.items()])
+    sinks.write_whole(out, path)
+    counts = [*plan_seen.get.items(), *visits_seen.get.items()]
+    return subjects.sparkSession.createDataFrame(counts, "check_name string, n_rows bigint")
+
+
 def forecast_from_csv(
     spark: SparkSession, subjects_path: str, mapping_path: str, params: ForecastParams, output_path: str | None = None
 ) -> DataFrame:

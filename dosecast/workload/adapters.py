@@ -99,6 +99,50 @@ LEFT JOIN (SELECT o_custkey, count(*) AS n_orders, max(o_orderdate) AS last_d FR
 """
 
 
+def _odd_visit(written: Column) -> Column:
+    return (
+        F.when(_multiple("c_custkey", 19), "Cycle 3000000000 Day 8")
+        .when(_multiple("c_custkey", 23), "TPC C99999999999999999999D1")
+        .when(_multiple("c_custkey", 29), "Cycle 2 Day 200000")
+        .when(_multiple("c_custkey", 31), "Cycle 2 Day 9223372036854775807")
+        .when(_multiple("c_custkey", 37), "Cycle 2 Day 9000")
+        .otherwise(written)
+    )
+
+
+def odd_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The subjects, some with cycle and day numbers that no visit can have or no int can hold."""
+    number = F.col("subject_number").alias("c_custkey")
+    rows = subjects(spark, sf_dir).select("*", number)
+    return rows.withColumn("last_study_visit_recorded", _odd_visit(F.col("last_study_visit_recorded"))).drop("c_custkey")
+
+
+ODD_SUBJECTS_SQL = f"""
+SELECT * REPLACE (CASE WHEN subject_number % 19 = 0 THEN 'Cycle 3000000000 Day 8'
+    WHEN subject_number % 23 = 0 THEN 'TPC C99999999999999999999D1'
+    WHEN subject_number % 29 = 0 THEN 'Cycle 2 Day 200000'
+    WHEN subject_number % 31 = 0 THEN 'Cycle 2 Day 9223372036854775807'
+    WHEN subject_number % 37 = 0 THEN 'Cycle 2 Day 9000' ELSE last_study_visit_recorded END AS last_study_visit_recorded)
+FROM ({SUBJECTS_SQL})
+"""
+
+
+def odd_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping with day numbers and cycle lengths that leave the calendar for some treatments."""
+    crossover = F.col("subject_status") == "Crossover Approved"
+    return mapping(spark, sf_dir).withColumns(
+        {
+            "visit_days": F.when(crossover & (F.col("visit_days") == "1, 8,15"), "1, 8,5000000")
+            .when(crossover & (F.col("visit_days") == "1"), "9223372036854775807,1")
+            .otherwise(F.col("visit_days")),
+            "dispensing_frequency_days": F.when(
+                (F.col("study_protocol") == "ST-1") & (F.col("subject_status") == "Randomized"),
+                F.when(F.col("visit_days") == "1", 9223372036854775807).otherwise(200000),
+            ).otherwise(F.col("dispensing_frequency_days")),
+        }
+    )
+
+
 def mapping_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Treatment mapping: arms of the customers x status x segment x drug of the parts x country."""
     customer, part = table(spark, sf_dir, "customer"), table(spark, sf_dir, "part")
@@ -170,6 +214,15 @@ CROSS JOIN (SELECT NULL AS country UNION ALL SELECT r_name FROM region WHERE r_n
 WHERE ct.country IS NULL OR d.p_type IN ('ECONOMY','LARGE')
 """
 
+ODD_MAPPING_SQL = f"""
+SELECT * REPLACE (CASE WHEN subject_status = 'Crossover Approved' AND visit_days = '1, 8,15' THEN '1, 8,5000000'
+    WHEN subject_status = 'Crossover Approved' AND visit_days = '1' THEN '9223372036854775807,1' ELSE visit_days END AS visit_days,
+  CASE WHEN study_protocol = 'ST-1' AND subject_status = 'Randomized'
+    THEN CASE WHEN visit_days = '1' THEN 9223372036854775807 ELSE 200000 END
+    ELSE dispensing_frequency_days END AS dispensing_frequency_days)
+FROM ({MAPPING_SQL})
+"""
+
 _staged: dict[tuple[str, str], DataFrame] = {}
 
 

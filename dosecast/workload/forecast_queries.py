@@ -30,10 +30,10 @@ def _keys(left: str, right: str) -> str:
     return " AND ".join(f"lower({left}.{k}) IS NOT DISTINCT FROM lower({right}.{k})" for k in names)
 
 
-def _prelude(subjects_sql: str = view.SUBJECTS_SQL, cap: str = "max_cycles") -> str:
+def _prelude(subjects_sql: str = view.SUBJECTS_SQL, cap: str = "max_cycles", mapping_sql: str = view.MAPPING_SQL) -> str:
     return f"""
 WITH subjects AS ({subjects_sql}),
-mapping0 AS ({view.MAPPING_SQL}),
+mapping0 AS ({mapping_sql}),
 mapping AS (SELECT * REPLACE ({cap} AS max_cycles) FROM mapping0),
 active AS (SELECT * FROM subjects WHERE subject_status IS NULL OR subject_status NOT IN ({_EXCLUDED})),
 people AS (SELECT * REPLACE (trim(study_protocol) AS study_protocol, trim(randomized_treatment) AS randomized_treatment,
@@ -84,14 +84,15 @@ _DAYS = (
     "lambda x: regexp_full_match(trim(x), '\\d+')), lambda x: CAST(trim(x) AS INTEGER))"
 )
 _LONG_DAYS = _DAYS.replace("INTEGER", "BIGINT")
-_CYCLE = (
-    "coalesce(TRY_CAST(nullif(regexp_extract(last_study_visit_recorded, '(?i)(?:C|Cycle\\s?)(\\d+)', 1), '') "
-    "AS INTEGER), 0)"
-)
-_DAY = (
-    "coalesce(TRY_CAST(nullif(regexp_extract(last_study_visit_recorded, '(?i)(?:D|Day\\s?)(\\d+)', 1), '') "
-    "AS INTEGER), 1)"
-)
+
+
+def _number(pattern: str, default: int) -> str:
+    digits = f"coalesce(regexp_extract(last_study_visit_recorded, '(?i)(?:{pattern})(\\d+)', 1), '')"
+    return f"CASE WHEN {digits} = '' THEN {default} ELSE TRY_CAST({digits} AS BIGINT) END"
+
+
+_CYCLE = _number("C|Cycle\\s?", 0)
+_DAY = _number("D|Day\\s?", 1)
 
 
 def _medicine(both: bool = False) -> str:
@@ -136,7 +137,7 @@ def _bounds(horizon: int = 365, renumber: bool = False) -> str:
 b1 AS (SELECT *, list_sort(CASE WHEN len({_DAYS}) = 0 THEN [1] ELSE {_DAYS} END) AS days,
     CASE WHEN dispensing_frequency_days > 0 THEN CAST(dispensing_frequency_days AS INTEGER) ELSE 28 END AS c,
     CASE WHEN max_cycles >= 1 THEN CAST(floor(max_cycles) AS BIGINT) END AS cap,
-    last_study_visit_date - (parsed_last_visit_day - 1) AS d1,
+    last_study_visit_date - CAST(parsed_last_visit_day - 1 AS INTEGER) AS d1,
     CASE WHEN is_crossover THEN 'Crossover ' WHEN is_tpc THEN 'TPC ' ELSE '' END AS prefix
   FROM plan WHERE last_study_visit_date IS NOT NULL AND subject_number IS NOT NULL),
 b2 AS (SELECT *, CASE WHEN d1 + c < DATE '2001-09-01'
@@ -180,6 +181,46 @@ def _forecast_sql(select: str = f"SELECT * EXCLUDE (phase), {_STAMP} FROM foreca
     return f"{_to_visits(**kw)}\n{select}"
 
 
+# the same with day counts of any length, for plans with numbers that leave the calendar
+_WIDE_BOUNDS = f"""
+w1 AS (SELECT *, list_sort(CASE WHEN len({_LONG_DAYS}) = 0 THEN [1] ELSE {_LONG_DAYS} END) AS days,
+    CAST(CASE WHEN dispensing_frequency_days > 0 THEN dispensing_frequency_days ELSE 28 END AS HUGEINT) AS c,
+    CASE WHEN max_cycles >= 1 THEN CAST(floor(max_cycles) AS BIGINT) END AS cap,
+    CAST(last_study_visit_date - DATE '1970-01-01' AS HUGEINT) - (CAST(parsed_last_visit_day AS HUGEINT) - 1) AS s0,
+    CASE WHEN is_crossover THEN 'Crossover ' WHEN is_tpc THEN 'TPC ' ELSE '' END AS prefix,
+    DATE '2001-09-01' - DATE '1970-01-01' AS today, DATE '1677-09-22' - DATE '1970-01-01' AS earliest,
+    DATE '2262-04-11' - DATE '1970-01-01' AS latest FROM plan),
+w2 AS (SELECT *, CASE WHEN s0 + c < today THEN (today - (s0 + c)) // c + 1 ELSE 0 END AS missed FROM w1),
+w3 AS (SELECT *, s0 + c + missed * c AS n0, CAST(parsed_last_visit_cycle AS HUGEINT) + 1 AS next_cycle, today + 365 AS horizon FROM w2),
+w4 AS (SELECT *, greatest(-1, CAST(floor(CAST(horizon - n0 - (CAST(days[1] AS HUGEINT) - 1) AS DOUBLE) / CAST(c AS DOUBLE)) AS HUGEINT)) AS by_horizon,
+    cap - next_cycle AS by_cap, CAST(days[-1] AS HUGEINT) AS last_day FROM w3),
+w5 AS (SELECT *, least(by_horizon + 1, by_cap) AS top FROM w4),
+judged AS (SELECT *, CASE WHEN subject_number IS NULL THEN 'no subject number'
+    WHEN last_study_visit_date IS NULL THEN 'no last visit date'
+    WHEN parsed_last_visit_cycle IS NULL OR parsed_last_visit_day IS NULL THEN 'visit number too long'
+    WHEN s0 < earliest THEN 'cycle starts before the calendar'
+    WHEN s0 + c > latest OR n0 > latest THEN 'next cycle after the calendar'
+    WHEN (last_day > parsed_last_visit_day AND s0 + last_day - 1 > latest) OR (top >= 0 AND n0 + top * c + last_day - 1 > latest)
+      THEN 'visit days after the calendar' END AS reason FROM w5),
+bounds AS (SELECT * EXCLUDE (c, days, horizon, today, next_cycle), CAST(c AS BIGINT) AS c, CAST(days AS BIGINT[]) AS days,
+    DATE '2002-09-01' AS horizon, CAST(next_cycle AS BIGINT) AS next_cycle,
+    DATE '1970-01-01' + CAST(s0 AS INTEGER) AS d1, DATE '1970-01-01' + CAST(n0 AS INTEGER) AS next_start,
+    CAST(greatest(-1, least(by_horizon, by_cap)) AS INTEGER) AS last_k FROM judged WHERE reason IS NULL)"""
+
+
+def _wide_plan() -> str:
+    prelude = _prelude(view.ODD_SUBJECTS_SQL, mapping_sql=view.ODD_MAPPING_SQL)
+    medicine = _medicine().replace(_DAYS, _LONG_DAYS)
+    return f"{prelude},\nmatched AS ({_matched('tiered')}),{medicine},{_plan()},{_WIDE_BOUNDS}"
+
+
+_WIDE_VISITS = _VISITS.replace("d1 + day - 1", "d1 + CAST(day - 1 AS INTEGER)").replace(
+    "CAST(k * c AS INTEGER) + day - 1", "CAST(k * c + day - 1 AS INTEGER)"
+).replace("CAST(next_cycle + k AS INTEGER) AS cycle", "next_cycle + k AS cycle").replace(
+    "CAST(cycle AS INTEGER) AS cycle", "TRY_CAST(cycle AS INTEGER) AS cycle"
+)
+
+
 # ---- inputs -----------------------------------------------------------------------------------
 
 
@@ -430,11 +471,11 @@ def roll_forward(spark, sf_dir):
     return project.cycle_bounds(plan_rows, P).select(
         *planning.PLAN_KEYS,
         F.array_join(F.transform("_days", lambda d: d.cast("string")), ";").alias("days"),
-        F.col("_length").alias("cycle_days"),
+        F.col("_length").cast("int").alias("cycle_days"),
         F.col("_cap").alias("cap"),
         F.col("_current_start").alias("current_start"),
         F.col("_next_start").alias("next_start"),
-        F.col("_missed").alias("missed"),
+        F.col("_missed").cast("int").alias("missed"),
         F.col("_next_cycle").cast("int").alias("next_cycle"),
         F.col("_last_k").alias("last_k"),
     )
@@ -508,6 +549,35 @@ def forecast_both_drugs(spark, sf_dir):
     return _forecast(spark, sf_dir, replace(P, both_drugs=True))
 
 
+def _odd_inputs(spark, sf_dir):
+    return view.odd_subjects(spark, sf_dir), view.odd_mapping(spark, sf_dir)
+
+
+@query(f"{_wide_plan()},{_WIDE_VISITS} SELECT * EXCLUDE (phase), {_STAMP} FROM forecast")
+def long_visit_numbers(spark, sf_dir):
+    """Forecast of subjects and mapping rows with numbers of any length."""
+    return job.forecast(*_odd_inputs(spark, sf_dir), P)
+
+
+@query(f"{_wide_plan()} SELECT study_protocol, subject_number, drug_dispensed, reason FROM judged WHERE reason IS NOT NULL")
+def unprojected_rows(spark, sf_dir):
+    """Plan rows that give no visits, with the reason."""
+    return project.unprojected(job.build_plan(*_odd_inputs(spark, sf_dir), P), P).select(*planning.PLAN_KEYS, "reason")
+
+
+@query(
+    f"{_wide_plan()},{_WIDE_VISITS} SELECT 'plan_rows' AS check_name, count(*) AS n_rows FROM judged "
+    + "".join(
+        f"UNION ALL SELECT 'unprojected: {r}', count(*) FILTER (WHERE reason = '{r}') FROM judged " for r in project.REASONS
+    )
+    + "UNION ALL SELECT 'visits', count(*) FROM forecast "
+    + "".join(f"UNION ALL SELECT 'visits without {c}', count(*) FILTER (WHERE {c} IS NULL) FROM forecast " for c in job.WHOLE_NUMBERS)
+)
+def forecast_write_report(spark, sf_dir):
+    """What the write of a forecast table saw, without a second look at plan or table."""
+    return job.write_forecast(*_odd_inputs(spark, sf_dir), P, fresh_path(spark, "forecast-observed"))
+
+
 # ---- reports ----------------------------------------------------------------------------------
 
 _MEASURES = """CAST(sum(dispensing_quantity) AS BIGINT) AS quantity, count(*) AS n_visits,

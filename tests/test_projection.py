@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from dosecast.operators.project import project_visits
+from dosecast.operators.project import REASONS, bounded, project_visits
 from dosecast.params import ForecastParams
 
 TODAY = dt.date(2025, 1, 10)
@@ -98,3 +98,59 @@ def test_closed_form_against_stepping(spark, horizon_days, renumber):
 def test_no_rows_without_date_or_subject(spark):
     got = project(spark, [(None, 1, 1, "1", 28, None, False)])
     assert got == {0: []}
+
+
+BIG = 2**63 - 1
+# last visit, cycle, day, pattern, length, cap, reason
+BROKEN = [
+    (None, 1, 1, "1", 28, None, "no last visit date"),
+    (d("2025-01-05"), None, 1, "1", 28, None, "visit number too long"),
+    (d("2025-01-05"), BIG, 1, "1", 28, None, "visit number too long"),
+    (d("2025-01-05"), 1, None, "1", 28, None, "visit number too long"),
+    (d("2025-01-05"), 1, BIG, "1", 28, None, "cycle starts before the calendar"),
+    (d("2025-01-05"), 1, 200_000, "1", 28, None, "cycle starts before the calendar"),
+    (d("2025-01-05"), 1, 1, "1", BIG, None, "next cycle after the calendar"),
+    (d("2025-01-05"), 1, 1, "1", 100_000, None, "next cycle after the calendar"),
+    (d("2025-01-05"), 1, 1, f"1,{BIG}", 28, None, "visit days after the calendar"),
+    (d("2025-01-05"), 1, 1, "99999999999999999999", 28, None, "visit days after the calendar"),
+    (d("2025-01-05"), 9, 1, "1,90000", 28, 5.0, "visit days after the calendar"),
+    (d("2025-01-05"), 9, BIG - 1, "1,90000", 28, 5.0, "cycle starts before the calendar"),
+    (d("2025-01-05"), 9, 90_000, "1,90000", 28, 5.0, None),
+    (d("2025-01-05"), 3_000_000_000, 1, "1,8", 28, None, None),
+    (d("1700-01-05"), 3, 1, "1,8", 28, 1e300, None),
+    (d("2261-12-31"), 3, 1, "1", 28, None, None),
+    (d("2262-03-31"), 3, 1, "1", 28, None, "next cycle after the calendar"),
+]
+
+
+def test_numbers_that_leave_the_calendar_have_a_reason(spark):
+    rows = [("S", i, "D", *case[:6], False, False) for i, case in enumerate(BROKEN)]
+    rows.append(("S", None, "D", d("2025-01-05"), 1, 1, "1", 28, None, False, False))
+    plan = spark.createDataFrame(rows, PLAN.replace("_cycle int", "_cycle bigint").replace("_day int", "_day bigint"))
+    found = {r.subject_number: r.reason for r in bounded(plan, ForecastParams(as_of_date=TODAY)).collect()}
+    assert found == {i: case[-1] for i, case in enumerate(BROKEN)} | {None: "no subject number"}
+    assert set(found.values()) - {None} == set(REASONS)
+    visits = project_visits(plan, ForecastParams(as_of_date=TODAY)).collect()
+    labels = {r.predicted_study_visit for r in visits if r.subject_number == 13}
+    assert "Cycle 3000000000 Day 8" in labels and "Cycle 3000000001 Day 1" in labels
+    assert {r.subject_number for r in visits} == {13, 14}
+
+
+def test_report_of_a_write_comes_from_one_job(spark, tmp_path):
+    from dosecast.plans.forecast import build_plan, write_forecast
+    from dosecast.workload import adapters as view
+
+    sf = "/root/testdata/sf0.001"
+    inputs = view.odd_subjects(spark, sf), view.odd_mapping(spark, sf)
+    sc = spark.sparkContext
+    sc.setJobGroup("observed", "observed")
+    build_plan(*inputs, view.PARAMS).write.format("noop").mode("overwrite").save()
+    without = len(sc.statusTracker().getJobIdsForGroup("observed"))
+    sc.setJobGroup("written", "written")
+    report = write_forecast(*inputs, view.PARAMS, str(tmp_path / "forecast"))
+    assert len(sc.statusTracker().getJobIdsForGroup("written")) <= without
+    sc._jsc.clearJobGroup()
+    counts = {r.check_name: r.n_rows for r in report.collect()}
+    assert counts["visits"] == spark.read.parquet(str(tmp_path / "forecast")).count() > 0
+    lost = sum(n for name, n in counts.items() if name.startswith("unprojected"))
+    assert 0 < lost < counts["plan_rows"] and counts["visits without cycle"] > 0

@@ -18,7 +18,7 @@ def test_cycle_and_day(spark):
     visits = ["TPC C20D8", "Cycle 46 Day 8", "Crossover Cycle 5 Day 1", "Cycle46", "Cycle 46", "Screening", None, "cycle 3 day 2"]
     assert each(spark, visits, text.cycle_number) == [20, 46, 5, 46, 46, 0, 0, 3]
     assert each(spark, visits, text.day_number) == [8, 8, 1, 1, 1, 1, 1, 2]
-    assert each(spark, ["Cycle 99999999999"], text.cycle_number) == [0]
+    assert each(spark, ["Cycle 99999999999", "C99999999999999999999"], text.cycle_number) == [99999999999, None]
 
 
 def test_visit_days(spark):
