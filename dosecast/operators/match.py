@@ -129,7 +129,8 @@ def match_tiered(subjects: DataFrame, side: DataFrame, max_bytes: int) -> DataFr
     both = dimension_join(subjects, side, subject_keys(), residual=fits_country, max_bytes=max_bytes)
     keys = {f"_o{k}": F.col(k) for k in _DIM_KEYS}
     keys |= {"_o_country": F.col("_s_country"), "_o_drug": F.col("study_drug_dispensed")}
-    kept = dimension_join(both, overrides(side), keys, "left_anti", max_bytes=max_bytes)
+    hot = subjects, {f"_o{d}": F.col(k) for d, k in zip(_DIM_KEYS, _SUBJECT_KEYS, strict=True)}
+    kept = dimension_join(both, overrides(side), keys, "left_anti", max_bytes=max_bytes, sketched=hot)
     return _subject_columns(kept)
 
 
@@ -145,7 +146,8 @@ def match_exclusive(subjects: DataFrame, side: DataFrame, max_bytes: int) -> Dat
     )
     keys = {f"_o{k}": F.col(k) for k in _DIM_KEYS}
     keys |= {"_o_country": F.col("_s_country"), "_o_tier": F.col("tier")}
-    return _subject_columns(dimension_join(both, served, keys, "left_anti", max_bytes=max_bytes))
+    hot = subjects, {f"_o{d}": F.col(k) for d, k in zip(_DIM_KEYS, _SUBJECT_KEYS, strict=True)}
+    return _subject_columns(dimension_join(both, served, keys, "left_anti", max_bytes=max_bytes, sketched=hot))
 
 
 MATCHERS = {"tiered": match_tiered, "exclusive": match_exclusive, "flat": match_flat}
