@@ -19,6 +19,7 @@ Special token strings inside a text become their ids, as the library does by def
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,8 @@ from dosecast.llm.pretokens import WordBpe
 KEPT_WORDS = 300_000
 KEPT_PIECES = 600_000
 NEVER = 1 << 30
+#: Symbols from which a word's pairs are kept in a heap instead of looked through at each merge.
+HEAP_FROM = 100
 NO_MERGE = (NEVER, -1)
 
 
@@ -98,6 +101,8 @@ class Speculator:
 
     def merged(self, ids: list[int]) -> list[int]:
         """Exact BPE: the lowest rank first, the leftmost of equals."""
+        if len(ids) >= HEAP_FROM:
+            return self.merged_by_heap(ids)
         known, ids = self.rank.get, list(ids)
         found = [known(p, NO_MERGE) for p in zip(ids, ids[1:])]
         while found and (best := min(found)) is not NO_MERGE:
@@ -110,6 +115,28 @@ class Speculator:
                 found[i] = known((ids[i], ids[i + 1]), NO_MERGE)
         return ids
 
+    def merged_by_heap(self, ids: list[int]) -> list[int]:
+        """The same for words of any length: symbols are linked, and pairs wait in a heap by rank and place."""
+        known, ids, n = self.rank.get, list(ids), len(ids)
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        heap = [(found[0], i) for i, pair in enumerate(zip(ids, ids[1:])) if (found := known(pair))]
+        heapq.heapify(heap)
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = after[i]
+            # a pair that a merge has changed since has another rank or none
+            found = known((ids[i], ids[j])) if j >= 0 else None
+            if not found or found[0] != rank:
+                continue
+            k = after[j]
+            ids[i], ids[j], after[i] = found[1], -1, k
+            if k >= 0:
+                before[k] = i
+            for left, right in ((before[i], i), (i, k)):
+                if left >= 0 and right >= 0 and (found := known((ids[left], ids[right]))):
+                    heapq.heappush(heap, (found[0], left))
+        return [x for x in ids if x >= 0]
+
     def proposed(self, word: str) -> list[int] | None:
         """Longest match from the left; None where some symbol has no token."""
         inner, final, end = self.inner, self.final, len(word)

@@ -663,3 +663,19 @@ def test_packed_counters_hold_large_numbers():
     first = table.slice(0, 1).to_pylist()[0]
     assert first["filter_order"] == "ABCDE" and first["kept"] == many and first["removed"] == 3 * many
     assert first["good_lost"] == many and first["unique_fails"] == many
+
+
+def test_long_words_merge_in_time():
+    import time
+
+    speculator = loaded(bpe.Speculator, WORD_BPE)
+    rng = np.random.default_rng(5)
+    for n in (bpe.HEAP_FROM, 1000, 3000):
+        word = "".join(rng.choice(list("abcdeinorst"), n))
+        ids = speculator.symbols(word)
+        by_heap = speculator.merged_by_heap(ids)
+        assert by_heap == Tokenizer.from_file(WORD_BPE).encode(word, add_special_tokens=False).ids
+    started = time.monotonic()
+    word = "".join(rng.choice(list("abcdeinorst"), 200_000))
+    assert speculator.merged(speculator.symbols(word)) == Tokenizer.from_file(WORD_BPE).encode(word, add_special_tokens=False).ids
+    assert time.monotonic() - started < 60
