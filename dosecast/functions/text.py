@@ -75,13 +75,14 @@ def drug_base_of_match(drug: Column) -> Column:
     return F.when(found, F.regexp_extract(drug, "(?U)" + DOSE_PREFIX_PATTERN, 1))
 
 
-def drug_base_of_mapping(drug: Column, countries: Column) -> Column:
-    """Drug name without dose, country and brackets.
+def without_dose(drug: Column) -> Column:
+    return strip(F.regexp_replace(drug, r"(?U)\d.*", ""))
 
-    ``countries`` is an array of lower-case country names; they go one at a time, longest first.
-    """
 
-    def without_country(name: Column, country: Column) -> Column:
+def country_steps(name: Column, countries: Column) -> Column:
+    """The name, then what is left of it after each of an array of lower-case country names, longest first."""
+
+    def without(name: Column, country: Column) -> Column:
         word = F.concat(F.lit(r"\b\Q"), country, F.lit(r"\E\b"))
         name = F.regexp_replace(name, F.concat(F.lit("(?iU)"), word, F.lit("-?")), F.lit(""))
         return F.regexp_replace(name, F.concat(F.lit("(?iU)-"), word), F.lit(""))
@@ -93,13 +94,36 @@ def drug_base_of_mapping(drug: Column, countries: Column) -> Column:
         .when(a > b, 1)
         .otherwise(0),
     )
-    name = strip(F.regexp_replace(drug, r"(?U)\d.*", ""))
-    name = F.aggregate(longest_first, name, without_country)
+    return F.aggregate(
+        longest_first, F.array(name), lambda steps, c: F.concat(steps, F.array(without(F.element_at(steps, -1), c)))
+    )
+
+
+def tidy_base(name: Column) -> Column:
+    """A drug name without brackets, outer hyphens and double blanks."""
     name = F.regexp_replace(name, r"[()]", "")
     name = F.regexp_replace(name, r"(?U)^[\s\-]+|[\s\-]+$", "")
     return strip(F.regexp_replace(name, r"(?U)\s{2,}", " "))
 
 
+def words_and_gaps(name: Column) -> Column:
+    """A text cut at all its word borders, from its first word to its last."""
+    inner = F.regexp_replace(name, r"(?U)^\W+|\W+$", "")
+    return F.filter(F.split(inner, r"(?U)\b"), lambda part: part != "")
+
+
+def phrases(parts: Column, longest: Column) -> Column:
+    """All runs of at most ``longest`` parts, put together."""
+    n = F.size(parts)
+
+    def from_(i: Column) -> Column:
+        last = F.least(n - i, longest)
+        return F.transform(F.sequence(F.lit(1), last), lambda k: F.array_join(F.slice(parts, i + 1, k), ""))
+
+    runs = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), from_))
+    return F.when((n > 0) & (longest > 0), F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+
+
 def study_from_name(name: Column, pattern: str) -> Column:
     """Study protocol in a file name, null without one."""
     return F.nullif(F.regexp_extract(name, f"({pattern})", 1), F.lit(""))

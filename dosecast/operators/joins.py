@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 SALTS = 64
 #: Distinct keys that the heavy-hitter sketch follows; its counts are off by a small multiple of rows / TRACKED at most.
-TRACKED = 100_000
+TRACKED = 10_000
 
 
 def measured_bytes(df: DataFrame) -> int:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dosecast.fixed_values import MATCH_KEYS, TREATMENT_MAPPING_HEADERS, headers
 from dosecast.functions import text
+from dosecast.operators.bases import mapping_bases
 from dosecast.operators.joins import dimension_join
 
 SPECIFIC, GENERIC = 0, 1
@@ -91,10 +92,9 @@ def overrides(side: DataFrame) -> DataFrame:
     only the outcome.
     """
     specific = side.where(F.col("tier") == SPECIFIC)
-    countries = specific.agg(F.collect_set("_m_country")).scalar()
-    named = specific.withColumn("_countries", countries).withColumn(
-        "_base", text.drug_base_of_mapping(F.col("study_drug_dispensed"), F.col("_countries"))
-    )
+    bases = mapping_bases(specific.select("study_drug_dispensed"), specific.select("_m_country"))
+    bases = bases.select(F.col("drug").alias("_b_drug"), F.col("base").alias("_base"))
+    named = specific.join(bases, F.col("study_drug_dispensed") == F.col("_b_drug"), "left")
     allowed = named.select(
         *[F.col(k).alias(f"_a{k}") for k in _DIM_KEYS],
         F.col("_m_country").alias("_a_country"),

@@ -154,7 +154,7 @@ def mapping_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.collect_list(F.struct("p_type", "sz")))
         .scalar()
     )
-    countries = region.where(F.col("r_name").isin("ASIA", "EUROPE")).agg(F.collect_set("r_name")).scalar()
+    countries = region.agg(F.collect_set("r_name")).scalar()
     nothing = F.array(F.lit(None).cast("string"))
     rows = (
         customer.select(_remainder("c_custkey", 4).alias("k"), _remainder("c_custkey", 3).alias("a"))
@@ -177,7 +177,7 @@ def mapping_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("country").isNotNull(), F.concat("country", F.lit("-"), "p_type", F.lit(" "), larger, F.lit("mg")))
         .otherwise(F.concat("p_type", F.lit(" "), size, F.lit(" mg")))
         .alias("study_drug_dispensed"),
-        F.when(promo, "Promo Plus").alias("additional_study_drug_dispensed"),
+        F.when(promo, "Promo Plus").when(F.col("p_type") == "MEDIUM", "Extra 5 mg").alias("additional_study_drug_dispensed"),
         "country",
         F.when(F.col("p_type") == "LARGE", "1, 8,15")
         .when(F.col("p_type") == "SMALL", None)
@@ -199,7 +199,7 @@ SELECT 'ST-' || CAST(s.k AS VARCHAR) AS study_protocol,
        CASE WHEN d.p_type = 'PROMO' THEN NULL
             WHEN ct.country IS NOT NULL THEN ct.country || '-' || d.p_type || ' ' || CAST(d.sz + 1 AS VARCHAR) || 'mg'
             ELSE d.p_type || ' ' || CAST(d.sz AS VARCHAR) || ' mg' END AS study_drug_dispensed,
-       CASE WHEN d.p_type = 'PROMO' THEN 'Promo Plus' ELSE NULL END AS additional_study_drug_dispensed,
+       CASE WHEN d.p_type = 'PROMO' THEN 'Promo Plus' WHEN d.p_type = 'MEDIUM' THEN 'Extra 5 mg' END AS additional_study_drug_dispensed,
        ct.country AS country,
        CASE WHEN d.p_type = 'LARGE' THEN '1, 8,15' WHEN d.p_type = 'SMALL' THEN NULL
             WHEN d.p_type = 'MEDIUM' THEN '1' ELSE '1,8' END AS visit_days,
@@ -210,7 +210,7 @@ FROM (SELECT DISTINCT c_custkey % 4 AS k, c_custkey % 3 AS a FROM customer) s
 CROSS JOIN (SELECT 'Randomized' AS status UNION ALL SELECT 'Crossover Approved') st
 CROSS JOIN (SELECT DISTINCT c_mktsegment AS tpc FROM customer UNION ALL SELECT NULL) t
 CROSS JOIN (SELECT p_type, min(p_size) + 1 AS sz FROM part GROUP BY p_type) d
-CROSS JOIN (SELECT NULL AS country UNION ALL SELECT r_name FROM region WHERE r_name IN ('ASIA','EUROPE')) ct
+CROSS JOIN (SELECT NULL AS country UNION ALL SELECT r_name FROM region) ct
 WHERE ct.country IS NULL OR d.p_type IN ('ECONOMY','LARGE')
 """
 

@@ -10,6 +10,7 @@ from dosecast.fixed_values import EXCLUDED_STATUSES, FORECAST_SCHEMA
 from dosecast.functions import text
 from dosecast.operators import match, prepare, project, quality, rollup
 from dosecast.operators import plan as planning
+from dosecast.operators.bases import mapping_bases
 from dosecast.plans import forecast as job
 from dosecast.sources import sinks, tables
 from dosecast.sources.staging import fresh_path
@@ -30,6 +31,12 @@ def _keys(left: str, right: str) -> str:
     return " AND ".join(f"lower({left}.{k}) IS NOT DISTINCT FROM lower({right}.{k})" for k in names)
 
 
+def _without_countries(name: str) -> str:
+    for country in ("middle east", "america", "africa", "europe", "asia"):
+        name = f"regexp_replace({name}, '(?i)\\b{country}\\b-?', '', 'g')"
+    return name
+
+
 def _prelude(subjects_sql: str = view.SUBJECTS_SQL, cap: str = "max_cycles", mapping_sql: str = view.MAPPING_SQL) -> str:
     return f"""
 WITH subjects AS ({subjects_sql}),
@@ -41,8 +48,7 @@ people AS (SELECT * REPLACE (trim(study_protocol) AS study_protocol, trim(random
 m AS (SELECT mapping.*, CASE WHEN country IS NULL THEN 1 ELSE 0 END AS tier,
         nullif(regexp_extract(study_drug_dispensed, '^(.*?)\\s\\d', 1), '') AS base_match,
         trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-          regexp_replace(regexp_replace(regexp_replace(study_drug_dispensed, '\\d.*', ''),
-            '(?i)\\beurope\\b-?', '', 'g'), '(?i)\\basia\\b-?', '', 'g'),
+          {_without_countries("regexp_replace(study_drug_dispensed, '\\d.*', '')")},
           '[()]', '', 'g'), '^[\\s\\-]+', ''), '[\\s\\-]+$', ''), '\\s{{2,}}', ' ', 'g')) AS base_mapping
       FROM mapping),
 specific AS (SELECT * FROM m WHERE tier = 0)"""
@@ -347,16 +353,11 @@ def visit_day_arrays(spark, sf_dir):
 def drug_bases(spark, sf_dir):
     _, side = _inputs(spark, sf_dir)
     drug = F.col("study_drug_dispensed")
-    countries = side.where(F.col("tier") == match.SPECIFIC).agg(F.collect_set("_m_country")).scalar()
-    return (
-        side.select("study_drug_dispensed")
-        .distinct()
-        .withColumn("_countries", countries)
-        .select(
-            "study_drug_dispensed",
-            text.drug_base_of_match(drug).alias("base_match"),
-            text.drug_base_of_mapping(drug, F.col("_countries")).alias("base_mapping"),
-        )
+    names = side.select(drug).distinct()
+    countries = side.where(F.col("tier") == match.SPECIFIC).select("_m_country")
+    bases = mapping_bases(names, countries)
+    return names.join(bases, drug == F.col("drug"), "left").select(
+        drug, text.drug_base_of_match(drug).alias("base_match"), F.col("base").alias("base_mapping")
     )
 
 
