@@ -44,6 +44,8 @@ DIGITS = 5
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = "#*$%&|<>"
 BROADCAST_BYTES = 64 << 20
+#: Rows of whole texts wait in the writer until a row group is full, so small groups keep the memory of a task small.
+ROW_GROUP_BYTES = 16 << 20
 
 
 def let(value: Column, use) -> Column:
@@ -209,7 +211,7 @@ def annotate(
     """The columns ``keep`` of the documents with a struct column of all facts and the verdict ``kept``; and its name."""
     name, flag = fresh(docs, "quality_facts"), fresh(docs, "in_target")
     rows = flagged(docs, trusted, id_col, flag).withColumn(name, text_facts(F.col(text_col)))
-    rows = stage(rows.select(*keep, flag, name), "quality-facts")
+    rows = stage(rows.select(*keep, flag, name), "quality-facts", **{"parquet.block.size": str(ROW_GROUP_BYTES)})
     raw, target = collected(bucket_counts(rows, name, flag))
     facts = F.col(name)
     failed = base_failed(facts)
