@@ -13,4 +13,4 @@ def test_counts(spark, sf):
         match.match_specific(people, side, limit).count(), match.match_generic(people, side, limit).count(),
         match.match_tiered(people, side, limit).count(), match.unmatched_subjects(people, side, limit).count(),
     )
-    assert found == (150, 1440, 136, 86, 756, 756, 10)
+    assert found == (150, 2304, 136, 252, 756, 756, 10)
