@@ -38,16 +38,83 @@ def demand_all_levels(forecast_rows: DataFrame) -> DataFrame:
     rows = subject_months.agg(
         F.sum("dispensing_quantity").alias("dispensing_quantity"), F.count(F.lit(1)).alias("visits")
     ).withColumn("study", F.col("study_name"))
-    columns = ["parent_depot", "site_id", "study", "drug_dispensed", "month"]
-    sets = [[c, "drug_dispensed", "month"] for c in columns[:3]]
-    kept_out = F.grouping_id(*columns)
-    grouped = rows.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns]).agg(
-        kept_out.alias("_gid"), *_measures(F.sum("visits"))
+    return _by_level(rows, _measures(F.sum("visits")))
+
+
+def _by_level(rows: DataFrame, measures: list[Column], more: tuple[str, ...] = ()) -> DataFrame:
+    """Measures by level, drug, month and ``more`` columns; ``rows`` have a column ``study`` beside ``study_name``."""
+    own = ["parent_depot", "site_id", "study"]
+    shared = ["drug_dispensed", "month", *more]
+    columns = own + shared
+    grouped = rows.groupingSets([[F.col(k) for k in [c, *shared]] for c in own], *[F.col(c) for c in columns]).agg(
+        F.shiftright(F.grouping_id(*columns), len(shared)).alias("_gid"), *measures
     )
     # bit of a column is set when the grouping set leaves it out
-    level = F.when(F.col("_gid") == 0b01100, "depot").when(F.col("_gid") == 0b10100, "site").otherwise("study")
-    out = grouped.withColumn("level", level).withColumnRenamed("study", "study_name").drop("_gid")
-    return out.select("level", *level_columns, "drug_dispensed", "month", "quantity", "n_visits", "n_subjects")
+    level = F.when(F.col("_gid") == 0b011, "depot").when(F.col("_gid") == 0b101, "site").otherwise("study")
+    named = grouped.columns[len(columns) + 1 :]
+    out = grouped.withColumn("level", level).withColumnRenamed("study", "study_name")
+    return out.select("level", *LEVELS.values(), *shared, *named)
+
+
+# ---- rollups that grow by parts -----------------------------------------------------------------
+
+_SUBJECT = ("study_name", "subject_number")
+_CELL = ("level", *LEVELS.values(), "drug_dispensed", "month")
+
+
+def number_subjects(forecast_rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """study_name, subject_number, number: the ``known`` ones, then the new ones under numbers of their own.
+
+    Store the result before it is used: numbers are given where a task stands. Subjects of a study and site come one after
+    the other, so that their bits lie close together.
+    """
+    new = forecast_rows.groupBy(*_SUBJECT).agg(F.min("site_id").alias("_site"))
+    start = F.lit(1).cast("bigint")
+    if known is not None:
+        new = new.join(known, [new[c].eqNullSafe(known[c]) for c in _SUBJECT], "left_anti")
+        start = F.coalesce(known.agg(F.max("number")).scalar(), F.lit(0)).cast("bigint") + 1
+    numbered = new.orderBy("study_name", "_site", "subject_number").select(
+        *_SUBJECT, (start + F.monotonically_increasing_id()).alias("number")
+    )
+    return numbered if known is None else known.select(*_SUBJECT, "number").unionByName(numbered)
+
+
+def demand_part(forecast_rows: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The three rollups of some visits as a part that merges with others: sums, and subjects as bitmaps of their numbers.
+
+    A row holds the subjects of one bucket of 32,768 numbers, so no bitmap grows beyond 4 KB.
+    """
+    subject_months = _by_month(forecast_rows).groupBy(*LEVELS.values(), "subject_number", "drug_dispensed", "month").agg(
+        F.sum("dispensing_quantity").alias("_quantity"), F.count(F.lit(1)).alias("_visits")
+    )
+    wanted = numbers.select(F.col("study_name").alias("_study"), F.col("subject_number").alias("_subject"), "number")
+    same = F.col("study_name").eqNullSafe(F.col("_study")) & F.col("subject_number").eqNullSafe(F.col("_subject"))
+    rows = subject_months.join(wanted, same).select(
+        *LEVELS.values(), F.col("study_name").alias("study"), "drug_dispensed", "month", "_quantity", "_visits",
+        F.bitmap_bucket_number("number").alias("bucket"), F.bitmap_bit_position("number").alias("_bit"),
+    )
+    measures = [
+        F.sum("_quantity").cast("bigint").alias("quantity"),
+        F.sum("_visits").alias("n_visits"),
+        F.bitmap_construct_agg("_bit").alias("subjects"),
+    ]
+    return _by_level(rows, measures, ("bucket",))
+
+
+def merge_demand(parts: DataFrame) -> DataFrame:
+    """Parts of visits that do not overlap, put together by union, as one part. Their subjects may overlap."""
+    return parts.groupBy(*_CELL, "bucket").agg(
+        F.sum("quantity").alias("quantity"), F.sum("n_visits").alias("n_visits"), F.bitmap_or_agg("subjects").alias("subjects")
+    )
+
+
+def demand_of_part(part: DataFrame) -> DataFrame:
+    """What ``demand_all_levels`` gives for all visits of a merged part; subjects are counted exactly."""
+    return part.groupBy(*_CELL).agg(
+        F.sum("quantity").alias("quantity"),
+        F.sum("n_visits").alias("n_visits"),
+        F.sum(F.bitmap_count("subjects")).alias("n_subjects"),
+    )
 
 
 def subject_schedule(forecast_rows: DataFrame, subject_number: Column | int) -> DataFrame:

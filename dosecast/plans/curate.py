@@ -12,7 +12,7 @@ from dosecast.fixed_values import STUDY_HEADER
 from dosecast.functions import text, values
 from dosecast.operators import conform as shaping
 from dosecast.operators.joins import dimension_join
-from dosecast.sources import discovery, ragged_csv, sinks
+from dosecast.sources import catalog, discovery, ragged_csv, sinks
 from dosecast.sources.discovery import FolderChoice, Layout
 from dosecast.sources.staging import stage
 
@@ -151,11 +151,13 @@ def run_curation(
     header_mapping: DataFrame,
     target: str,
     whole_kinds: tuple[str, ...] = (),
+    database: str | None = None,
 ) -> dict[str, Curated]:
     """Curate all kinds into ``target/<kind>``.
 
     Date partitions are replaced one by one; kinds in ``whole_kinds`` replace their table. A kind
-    without files, or with none that can be read, is not written.
+    without files, or with none that can be read, is not written. With ``database`` the kinds are catalog tables there, with
+    their files below ``target``, and readers see each replacement whole or not at all.
     """
     done = {}
     selection = select_files(spark, params)
@@ -164,8 +166,12 @@ def run_curation(
         if curated is None:
             continue
         done[kind] = curated
-        if kind not in whole_kinds:
+        if database and kind not in whole_kinds:
+            catalog.replace_partitions(curated.rows, f"{database}.{kind}", f"{target}/{kind}")
+        elif kind not in whole_kinds:
             sinks.write_partitions(curated.rows, f"{target}/{kind}")
+        elif not curated.rows.isEmpty() and database:
+            catalog.replace_table(curated.rows, f"{database}.{kind}", f"{target}/{kind}")
         elif not curated.rows.isEmpty():
             sinks.write_whole(curated.rows, f"{target}/{kind}")
     return done

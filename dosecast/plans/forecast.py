@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dosecast.operators import match, plan, prepare, project
 from dosecast.params import ForecastParams
-from dosecast.sources import sinks, tables
+from dosecast.sources import catalog, sinks, tables
 
 
 def prepared_inputs(
@@ -105,11 +105,19 @@ def forecast_from_tables(
     params: ForecastParams,
     output_path: str | None = None,
     snapshot_col: str = "processed_timestamp",
+    output_table: str | None = None,
 ) -> DataFrame:
-    """Forecast of the latest snapshot of a stored subject table; with ``output_path`` it replaces that table."""
+    """Forecast of the latest snapshot of a stored subject table; with ``output_path`` it replaces that table.
+
+    With ``output_table`` it replaces the rows of that catalog table at once; its files lie below ``output_path``.
+    """
+    if output_table and not output_path:
+        raise ValueError("output_table needs output_path, the folder of its files")
     subjects = tables.latest_snapshot(tables.scan(spark, subjects_table), snapshot_col)
     out = forecast(subjects, tables.scan(spark, mapping_table), params)
-    if output_path:
+    if output_table:
+        catalog.replace_table(out, output_table, output_path)
+    elif output_path:
         sinks.write_whole(out, output_path)
     return out
 

@@ -141,8 +141,8 @@ def chosen_folder_names(
 def latest_files(files: DataFrame) -> DataFrame:
     """Per date folder, study folder and kind the file modified last; the first path on equal times.
 
-    Only files in a study folder count. One ``min`` over a struct, so nothing is sorted and a folder
-    with very many files combines on the map side.
+    Only files in a study folder count. One ``min`` over a struct, which combines on the map side, so a folder with very
+    many files is a row per task. A struct with text makes it a sort aggregate: each task sorts its own rows by folder.
     """
     age = -F.unix_micros(F.col("modificationTime").cast("timestamp"))
     others = [c for c in files.columns if c not in ("date_folder", "extract_date", "study_folder", "kind", "path")]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from dosecast import fixed_values as fixed
 from dosecast.functions import text
 from dosecast.operators import conform
 from dosecast.plans import curate
-from dosecast.sources import discovery, sinks, tables
+from dosecast.sources import catalog, discovery, sinks, tables
 from dosecast.sources.ragged_csv import LONG_ROW, NO_HEADER, OPEN_QUOTE
 from dosecast.sources.staging import fresh_path
 from dosecast.workload import adapters as view
@@ -438,6 +439,34 @@ def partition_replace(spark, sf_dir):
     return tables.scan(spark, path)
 
 
+@query(
+    """SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1998 THEN o_totalprice + 1 ELSE o_totalprice END AS price,
+    CAST(date_trunc('year', o_orderdate) AS DATE) AS extract_date FROM orders
+    WHERE NOT (year(o_orderdate) = 1998 AND o_orderkey % 2 = 0)"""
+)
+def catalog_partitions(spark, sf_dir):
+    """The same through a catalog table: one year is loaded again from the table's own rows, while a reader holds the table."""
+    rows = view.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_totalprice").alias("price"), F.trunc("o_orderdate", "year").alias("extract_date")
+    )
+    name, folder = f"orders_{uuid.uuid4().hex}", fresh_path(spark, "catalog-partitioned")
+    catalog.replace_partitions(rows, name, folder)
+    stored = tables.scan(spark, name)
+    again = stored.where((F.col("extract_date") == F.lit(dt.date(1998, 1, 1))) & (F.col("o_orderkey") % 2 != 0))
+    catalog.replace_partitions(again.withColumn("price", F.col("price") + 1), name, folder)
+    return tables.scan(spark, name)
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def catalog_whole(spark, sf_dir):
+    """A catalog table by name, replaced whole."""
+    name, folder = f"orders_{uuid.uuid4().hex}", fresh_path(spark, "catalog-whole")
+    orders = view.table(spark, sf_dir, "orders")
+    catalog.replace_table(orders.select("o_orderkey", F.lit("stale").alias("o_orderstatus")), name, folder)
+    catalog.replace_table(orders.select("o_orderkey", "o_orderstatus"), name, folder)
+    return tables.scan(spark, name)
+
+
 @query("SELECT o_orderkey, o_orderstatus FROM orders")
 def whole_overwrite(spark, sf_dir):
     path = fresh_path(spark, "whole")

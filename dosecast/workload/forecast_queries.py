@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from dosecast.operators import match, prepare, project, quality, rollup
 from dosecast.operators import plan as planning
 from dosecast.operators.bases import mapping_bases
 from dosecast.plans import forecast as job
-from dosecast.sources import sinks, tables
-from dosecast.sources.staging import fresh_path
+from dosecast.sources import catalog, sinks, tables
+from dosecast.sources.staging import fresh_path, stage
 from dosecast.sources.tables import latest_snapshot as snapshot_of
 from dosecast.workload import adapters as view
 from dosecast.workload.registry import query
@@ -608,19 +609,33 @@ def rollup_study(spark, sf_dir):
     return rollup.demand(_forecast(spark, sf_dir), "study")
 
 
-@query(
-    f"""{_to_visits()}, f AS (SELECT *, {_MONTH} AS month FROM forecast)
-    SELECT 'depot' AS level, parent_depot, NULL AS site_id, NULL AS study_name, drug_dispensed, month, {_MEASURES}
-      FROM f GROUP BY parent_depot, drug_dispensed, month
-    UNION ALL SELECT 'site', NULL, site_id, NULL, drug_dispensed, month, {_MEASURES}
-      FROM f GROUP BY site_id, drug_dispensed, month
-    UNION ALL SELECT 'study', NULL, NULL, study_name, drug_dispensed, month, {_MEASURES}
-      FROM f GROUP BY study_name, drug_dispensed, month"""
-)
+_ROLLUP_SETS = f"""{_to_visits()}, f AS (SELECT *, {_MONTH} AS month FROM forecast)
+SELECT 'depot' AS level, parent_depot, NULL AS site_id, NULL AS study_name, drug_dispensed, month, {_MEASURES}
+  FROM f GROUP BY parent_depot, drug_dispensed, month
+UNION ALL SELECT 'site', NULL, site_id, NULL, drug_dispensed, month, {_MEASURES}
+  FROM f GROUP BY site_id, drug_dispensed, month
+UNION ALL SELECT 'study', NULL, NULL, study_name, drug_dispensed, month, {_MEASURES}
+  FROM f GROUP BY study_name, drug_dispensed, month"""
+
+
+@query(_ROLLUP_SETS)
 def rollup_sets(spark, sf_dir):
     return rollup.demand_all_levels(_forecast(spark, sf_dir))
 
 
+@query(_ROLLUP_SETS)
+def rollup_sets_incremental(spark, sf_dir):
+    """Visits of the first half of each month as one part, the others merged into it: most subjects are in both."""
+    rows = stage(_forecast(spark, sf_dir), "visits")
+    early = F.dayofmonth("predicted_next_visit_date") <= 15
+    old, new = rows.where(early), rows.where(~early)
+    known = stage(rollup.number_subjects(old), "subject-numbers")
+    stored = stage(rollup.demand_part(old, known), "demand-part")
+    numbers = stage(rollup.number_subjects(new, known), "subject-numbers")
+    merged = rollup.merge_demand(stored.unionByName(rollup.demand_part(new, numbers)))
+    return rollup.demand_of_part(merged)
+
+
 @query(
     _forecast_sql(
         f"""SELECT * EXCLUDE (phase), {_STAMP} FROM forecast WHERE subject_number = (SELECT subject_number FROM
@@ -799,3 +814,21 @@ def forecast_from_tables(spark, sf_dir):
         spark, f"{root}/subjects", f"{root}/mapping", params, f"{root}/forecast", snapshot_col="extract_date"
     )
     return tables.scan(spark, f"{root}/forecast")
+
+
+@query(
+    f"{_prelude(_LATEST_HISTORY)},\nmatched AS ({_matched('tiered', ', s.row_key')}),{_medicine()},"
+    f"{_plan(f'tier * 10000000000000000 + {_HISTORY_ORDER}')},{_bounds()},{_VISITS}\n"
+    f"SELECT * EXCLUDE (phase), {_STAMP} FROM forecast"
+)
+def forecast_from_catalog(spark, sf_dir):
+    """The same run on catalog tables by name: history by date partitions, mapping and forecast whole."""
+    root, names = fresh_path(spark, "catalog-run"), [f"run_{uuid.uuid4().hex}_{x}" for x in ("subjects", "mapping", "forecast")]
+    subjects, mapping, out = names
+    catalog.replace_partitions(view.history(spark, sf_dir), subjects, f"{root}/subjects")
+    catalog.replace_table(view.mapping(spark, sf_dir), mapping, f"{root}/mapping")
+    params = replace(P, subject_order=("extract_date", "row_key"))
+    job.forecast_from_tables(
+        spark, subjects, mapping, params, f"{root}/forecast", snapshot_col="extract_date", output_table=out
+    )
+    return tables.scan(spark, out)
