@@ -17,7 +17,8 @@ bucket is at most two blocks in one task.
 
 Null and empty texts have no shingles: each is its own class without links. A text of one to four words is one shingle.
 Letter case and ASCII white space do not count. Rows without an id take no part (their class is null). Rows that repeat
-an id repeat its result. Extra columns are not looked at.
+id and text repeat its result; texts that share an id are told apart, each with links and class of its own. Extra columns are
+not looked at.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dosecast.llm.common import fresh, id_text, id_type, prepare
@@ -116,6 +117,7 @@ def _sets(batches: Iterator[pa.RecordBatch], runs: int) -> Iterator[pa.RecordBat
         yield pa.record_batch(
             {
                 "doc_id": batch.column("doc_id"),
+                "row_key": batch.column("row_key"),
                 "set_key": pa.array(keys, pa.binary()),
                 "bucket": pa.ListArray.from_arrays(offsets, pa.array(first.view(np.int64))),
                 "below": pa.ListArray.from_arrays(offsets, pa.array(belows, pa.binary())),
@@ -317,50 +319,68 @@ def _least(links: np.ndarray) -> np.ndarray:
         label = new
 
 
-def similar_texts(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """doc_id, class_id (least id of its group of linked texts), copy_of (least id with the same set), n_copies and n_links.
+def _row_key() -> Column:
+    """16 bytes that stand for id and text together, so that texts under one id stay apart."""
+    return F.unhex(F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.md5("text"))))
 
-    ``n_links`` counts different sets with a similarity of ``threshold`` or more; all copies of a text have it.
-    """
+
+def _classified(docs: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """doc_id and row_key of each row, ``first`` of its copies and ``lead`` of its group (id and row key), n_copies, n_links."""
     prepare(docs.sparkSession)
     kind, runs = id_type(docs), runs_for(threshold, recall)
-    schema = f"doc_id {kind}, set_key binary, bucket array<bigint>, below array<binary>"
-    made = stage(id_text(docs).mapInArrow(lambda batches: _sets(batches, runs), schema), "sets")
+    schema = f"doc_id {kind}, row_key binary, set_key binary, bucket array<bigint>, below array<binary>"
+    keyed = id_text(docs).withColumn("row_key", F.when(F.col("doc_id").isNotNull(), _row_key()))
+    made = stage(keyed.mapInArrow(lambda batches: _sets(batches, runs), schema), "sets")
+    row = F.struct("doc_id", "row_key")
     classes = (
         made.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"))
+        .agg(F.min(row).alias("first"), F.count("*").alias("n_copies"))
+        .withColumn("rep", F.col("first.row_key"))
     )
-    same = (F.col("doc_id") == F.col("rep")) & (made["set_key"] == classes["set_key"])
-    sets = made.join(classes.hint("merge"), same).select("rep", "bucket", "below")
+    sets = made.join(classes.hint("merge"), F.col("row_key") == F.col("rep")).select("rep", "bucket", "below")
     one = "bucket bigint, low int, high int"
-    rows = _together(_blocks(_leaves(sets, kind)))
-    needed = rows.mapInArrow(_needed, f"{one}, rep {kind}, side int, buckets array<bigint>")
-    texts = id_text(docs).where("doc_id IS NOT NULL")
-    held = needed.join(texts.hint("merge"), F.col("rep") == F.col("doc_id")).drop("doc_id")
+    rows = _together(_blocks(_leaves(sets, "binary")))
+    needed = rows.mapInArrow(_needed, f"{one}, rep binary, side int, buckets array<bigint>")
+    texts = keyed.where("doc_id IS NOT NULL").select("row_key", "text")
+    held = needed.join(texts.hint("merge"), F.col("rep") == F.col("row_key")).drop("row_key")
     found = _together(held).mapInArrow(
-        lambda batches: _verify(batches, threshold), f"rep {kind}, least {kind}, n_links bigint"
+        lambda batches: _verify(batches, threshold), "rep binary, least binary, n_links bigint"
     )
     found = stage(found, "links")
     n_links = found.groupBy("rep").agg(F.sum("n_links").alias("n_links"))
-    groups = components(found.select(F.col("rep").alias("a"), F.col("least").alias("b")))
-    known = classes.join(n_links.hint("merge"), "rep", "left").join(
-        groups.withColumnRenamed("node", "rep").hint("merge"), "rep", "left"
-    )
-    out = made.select("doc_id", "set_key").join(known.hint("merge"), "set_key", "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
+    groups = components(found.select(F.col("rep").alias("a"), F.col("least").alias("b"))).withColumnRenamed("node", "rep")
+    leads = groups.join(classes.select("rep", "first").hint("merge"), "rep").groupBy("component")
+    leads = groups.join(leads.agg(F.min("first").alias("lead")).hint("merge"), "component").select("rep", "lead")
+    known = classes.join(n_links.hint("merge"), "rep", "left").join(leads.hint("merge"), "rep", "left").drop("rep")
+    out = made.select("doc_id", "row_key", "set_key").join(known.hint("merge"), "set_key", "left")
+    first = F.coalesce("first", row)
     return out.select(
+        "doc_id", "row_key", first.alias("first"), F.coalesce("lead", first).alias("lead"), "n_copies", "n_links"
+    )
+
+
+def similar_texts(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """doc_id, class_id (least id of its group of linked texts), copy_of (least id with the same set), n_copies and n_links.
+
+    ``n_links`` counts different sets with a similarity of ``threshold`` or more; all copies of a text have it.
+    """
+    known = F.col("doc_id").isNotNull()
+    return _classified(docs, threshold, recall).select(
         "doc_id",
-        own.alias("class_id"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("copy_of"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("n_copies", F.lit(1))).otherwise(1).cast("bigint").alias("n_copies"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).cast("bigint").alias("n_links"),
+        F.when(known, F.col("lead.doc_id")).alias("class_id"),
+        F.when(known, F.col("first.doc_id")).alias("copy_of"),
+        F.when(known, F.coalesce("n_copies", F.lit(1))).otherwise(1).cast("bigint").alias("n_copies"),
+        F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("bigint").alias("n_links"),
     )
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """The documents without those that have a lesser id in their group; rows without an id stay."""
-    found = similar_texts(docs.select("doc_id", "text"), threshold, recall)
-    name = fresh(docs, "other_id")
-    others = found.where("class_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(others.hint("merge"), docs["doc_id"] == F.col(name), "left_anti")
+    """The rows whose id and text are the least of their group; rows without an id stay, repeated rows stay together.
+
+    An id with several texts loses only those that a lesser row stands for.
+    """
+    found = _classified(docs.select("doc_id", "text"), threshold, recall)
+    name = fresh(docs, "other_row")
+    others = found.where("doc_id IS NOT NULL AND row_key <> lead.row_key").select(F.col("row_key").alias(name)).distinct()
+    return docs.join(others.hint("merge"), _row_key() == F.col(name), "left_anti")

@@ -427,6 +427,29 @@ def test_jaccard_join(docs, nothing):
     assert jaccard_join.similar_texts(nothing).count() == 0
 
 
+def test_jaccard_join_tells_texts_of_one_id_apart(spark):
+    """Every row by brute force on (id, text), with repeated ids, repeated rows, nulls and texts that differ in case alone."""
+    def base(seed):
+        return " ".join(f"w{seed}x{i}" for i in range(60))
+
+    a, b, c = base(1), base(2), base(3)
+    rows = [(5, a), (5, b), (1, a + " more"), (6, b + " more"), (5, c), (5, c), (7, c.upper()), (5, c.upper()), (None, a),
+            (5, None), (5, ""), (9, base(4)), (2, b + " less")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expect = {
+        (5, a): (1, 5, 1), (1, a + " more"): (1, 1, 1), (5, b): (2, 5, 2), (6, b + " more"): (2, 6, 2),
+        (2, b + " less"): (2, 2, 2), (5, c): (5, 5, 0), (7, c.upper()): (5, 5, 0), (5, c.upper()): (5, 5, 0),
+        (None, a): (None, None, 0), (5, None): (5, 5, 0), (5, ""): (5, 5, 0), (9, base(4)): (9, 9, 0),
+    }
+    got = Counter((r.doc_id, r.class_id, r.copy_of, r.n_links) for r in jaccard_join.similar_texts(df).collect())
+    assert got == Counter((i, *expect[i, t]) for i, t in rows)
+    kept = Counter(tuple(r) for r in jaccard_join.keep_one(df).collect())
+    least = min(c.upper(), c, key=lambda t: hashlib.md5(f"5:{hashlib.md5(t.encode()).hexdigest()}".encode()).digest())
+    assert kept == Counter([
+        (1, a + " more"), (2, b + " less"), *[r for r in rows if r == (5, least)], (None, a), (5, None), (5, ""), (9, base(4))
+    ])
+
+
 def test_jaccard_join_splits_large_buckets(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "SMALL", 8)
     base = text_of(9, 200).split()
