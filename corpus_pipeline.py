@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the columns of documents. A stage's
 result is written and reread as the next one's documents.
+
+Cases, each as its operator states it: a null text is an empty one, which the quality rules reject (too few words); a text of any length is
+taken whole. A null id is judged like any other by the rules on texts, but has no partner among near duplicates, so it stays
+there. Of a group of near duplicates the row with the least id and text stays; rows that repeat both stay together and are judged
+alike. Several texts under one id are rows of their own in every stage. An empty table gives an empty result; extra columns are
+carried along untouched, whatever their names, up to the last stage, which returns the digests alone.
 """
 
 from __future__ import annotations

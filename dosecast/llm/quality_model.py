@@ -125,7 +125,10 @@ def held_out(doc_id="doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE) -> Model:
-    """A model from the documents with a label and outside the held-out fold, ``sample`` of them at most."""
+    """A model from the documents with a label and outside the held-out fold, ``sample`` of them at most.
+
+    Of an id with several texts, or repeated rows, one row counts: that of the least text hash. So the bound holds for rows.
+    """
     prepare(docs.sparkSession)
     known = labels.select(F.col("doc_id").alias("labelled"), F.col(label_col).cast("int").alias("label"))
     known = known.where("labelled IS NOT NULL AND label IS NOT NULL").where(~held_out("labelled"))
@@ -141,7 +144,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample
             )
 
     # the sample is bounded, so its ids may be broadcast whatever the corpus is
-    texts = id_text(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "label")
+    texts = id_text(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
+    texts = texts.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one"))
+    texts = texts.select("doc_id", "one.text", "label")
     found = texts.mapInArrow(run, f"doc_id {id_type(docs)}, label int, features binary").collect()
     found.sort(key=lambda r: (r.doc_id, bytes(r.features)))
     return fit([np.frombuffer(r.features, "<u4") for r in found], [r.label for r in found])
