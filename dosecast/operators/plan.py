@@ -12,31 +12,46 @@ TOTAL = "total_medicines_required_per_cycle"
 
 
 _ORDER = ("tier", "_subject_order", "_mapping_order")
-# never null, so their first value is that of the first row: one aggregate serves all of them
+# never null, so their first value is that of the first row
 _FIRST_ROW = ("visit_count_per_cycle", "parsed_last_visit_cycle", "parsed_last_visit_day")
 
 
+def first_by_nulls(rows: DataFrame, others: list[str]) -> DataFrame:
+    """Per plan key and set of filled columns, the first row and the sum of the quantity.
+
+    A column's first non-null value is in the first of the rows that fill the same columns as its row does, so no other row
+    is needed. One comparison of whole rows finds it; it combines on the map side, so a key with very many rows
+    reaches the shuffle as few rows per task. Where orders are equal, the values decide.
+    """
+    filled = F.array(*[F.col(c).isNotNull() for c in others])
+    row = F.struct(*_ORDER, *_FIRST_ROW, *others)
+    return (
+        rows.groupBy(*PLAN_KEYS, filled.alias("_filled"))
+        .agg(F.sum(TOTAL).alias(TOTAL), F.min(row).alias("_row"))
+        .select(*PLAN_KEYS, TOTAL, "_row.*")
+    )
+
+
 def plan_rows(with_drug: DataFrame) -> DataFrame:
     """Sum of the quantity per cycle; every other column its first non-null value.
 
-    First means: country rows before generic rows, then the subject order, then the mapping order.
-    ``min_by`` skips rows whose order is null, which is what leaves nulls out. All aggregates combine
-    on the map side, so a subject with very many rows reaches the shuffle as one row per task.
+    First means: country rows before generic rows, then the subject order, then the mapping order. What ``first_by_nulls``
+    leaves of a key is sorted once within its partition, and every column takes its first value there.
     """
     known = (*PLAN_KEYS, *_ORDER, *_FIRST_ROW, TOTAL, "subject_country")
     others = [c for c in with_drug.columns if c not in known]
-    ordered = with_drug.withColumn("_order", F.struct(*_ORDER))
+    ordered = first_by_nulls(with_drug, others).repartition(*PLAN_KEYS).sortWithinPartitions(*PLAN_KEYS, *_ORDER)
     plan = ordered.groupBy(*PLAN_KEYS).agg(
         F.coalesce(F.sum(TOTAL), F.lit(0)).cast("bigint").alias(TOTAL),
-        F.min_by(F.struct(*_FIRST_ROW), "_order").alias("_first"),
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_order"))).alias(c) for c in others],
+        *[F.first(c).alias(c) for c in _FIRST_ROW],
+        *[F.first(c, ignorenulls=True).alias(c) for c in others],
     )
     visit = F.col("last_study_visit_recorded")
     return plan.select(
         *PLAN_KEYS,
         TOTAL,
         *others,
-        "_first.*",
+        *_FIRST_ROW,
         F.col("country").alias("subject_country"),
         text.mentions(visit, "crossover").alias("is_crossover"),
         text.mentions(visit, "tpc").alias("is_tpc"),

@@ -128,6 +128,35 @@ def test_first_non_null_in_order_whatever_the_partitioning(spark):
         assert r["total_medicines_required_per_cycle"] == 12
 
 
+def test_first_values_of_a_key_with_many_rows(spark):
+    from random import Random
+
+    from dosecast.operators.plan import plan_rows
+
+    draw, n = Random(7), 6000
+    names = ["country", "site_id", "last_study_visit_recorded"]
+    given = []
+    for i in range(n):
+        key = 1 if i % 3 else i % 50  # one key has two thirds of all rows
+        given.append((key, draw.randrange(2), i * 7919 % n, *[f"v{i}" if draw.random() < 0.02 else None for _ in names]))
+    rows = spark.createDataFrame(given, "subject_number int, tier int, at int, " + ", ".join(f"{c} string" for c in names))
+    ready = rows.selectExpr(
+        "'S' AS study_protocol", "subject_number", "'D' AS drug_dispensed", "tier", "struct(at) AS _subject_order",
+        "struct(0 AS z) AS _mapping_order", "at AS visit_count_per_cycle", "1 AS parsed_last_visit_cycle",
+        "1 AS parsed_last_visit_day", "2 AS total_medicines_required_per_cycle", *names,
+    )
+    want = {}
+    for key in {g[0] for g in given}:
+        group = sorted((g for g in given if g[0] == key), key=lambda g: g[1:3])
+        firsts = [next((g[3 + j] for g in group if g[3 + j] is not None), None) for j in range(3)]
+        want[key] = (2 * len(group), group[0][2], *firsts)
+    for parts in (1, 7):
+        plan = plan_rows(ready.repartition(parts))
+        got = {r.subject_number: (r[3], r.visit_count_per_cycle, *[r[c] for c in names]) for r in plan.collect()}
+        assert got == want
+    assert "min_by" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_match_gives_an_empty_typed_forecast(spark):
     out = job.forecast(
         spark.createDataFrame([subject(1)], SUBJECTS), spark.createDataFrame([row("A", study="other")], MAPPING), P, sort=True
