@@ -5,11 +5,14 @@ tags inside links. Its density is characters per tag, adjusted for links:
 
     density = C / T * log(C * T / (LC * LT), base log(C / NLC * LC + page LC / page C * C + e))
 
-with C characters, T tags, LC and LT those in links, NLC characters outside links; counts of zero count as one.
+with C characters, T tags, LC and LT those in links, NLC characters outside links; counts of zero that divide count as one.
 The score of an element is the sum of its children's densities, its own text standing for a child. The threshold is the
 lowest density on the path from the element of highest score up to the body. From the body down, each element at or
 above it gives the element of highest score in its subtree; the article is all of these, in page order. Where the
-element of highest score lies in an ``article`` or ``main``, only such elements count, each of them whole.
+element of highest score lies in an ``article`` or ``main``, only such elements count, each from its start to its end.
+Inside of what was chosen the threshold counts once more: a part (``PARTS``) below it goes if it is made of links, which is at least
+``LINK_SHARE`` of its characters, and in lists and tables, short by nature, at least ``LIST_LINK_SHARE``; not so a part that holds an
+element found above. Parts without links stay, however short: their density says no more than that.
 
 Elements that by their nature hold no article (menus, headers, footers, sidebars, forms, scripts, styles) and those that
 a class, id or role names as notice, advert or comments are taken out before anything is counted. Such names say nothing
@@ -49,6 +52,10 @@ BLOCKS = set(
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table "
     "tbody td tfoot th thead tr ul caption".split()
 )
+LISTS = set("ul ol dl table".split())
+# elements that hold a part of a page
+PARTS = LISTS | set("div section article blockquote figure center details fieldset address".split())
+LINK_SHARE, LIST_LINK_SHARE = 0.2, 0.5
 ENDS_PARAGRAPH = BLOCKS - set("body html caption tbody td tfoot th thead tr".split())
 # open elements that a start tag closes, and the elements that shield them
 CLOSES = {
@@ -253,7 +260,7 @@ def _density(e: Element, page_ratio: float) -> float:
 
 
 def main_elements(root: Element) -> list[Element]:
-    """The subtrees of the article, apart and in page order."""
+    """The subtrees of the article, apart and in page order; parts of them that are made of links are dropped."""
     if not root.chars:
         return []
     elements, stack = [], [root]
@@ -291,9 +298,18 @@ def main_elements(root: Element) -> list[Element]:
         if at[element] >= covered:
             out.append(element)
             covered = end[element]
+    kept = {above for element in found for above in _up(element)}
+    for element in out:
+        for part in elements[at[element] + 1 : end[element]]:
+            part.drop = part.density < threshold and part not in kept and _made_of_links(part)
     return out
 
 
+def _made_of_links(part: Element) -> bool:
+    share = LIST_LINK_SHARE if part.tag in LISTS else LINK_SHARE
+    return part.tag in PARTS and part.link_chars > 0 and part.link_chars >= share * part.chars
+
+
 def _up(element: Element | None) -> Iterator[Element]:
     while element is not None:
         yield element
