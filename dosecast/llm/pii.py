@@ -31,8 +31,10 @@ ROUNDS = 3
 CONFIDENCE = 0.8
 SUPPORT = 3
 DOUBT = 0.5
-CONTEXT_CHARS = 80
+CONTEXT_CHARS = 80  # tried first; a context that does not end within them is read as far as it goes
 SPAN = "struct<start: int, end: int, kind: int>"
+# three words before a place, or fewer where the text begins; tried at starts of words alone, and without going back
+_LAST_WORDS = r"(?:(?<!\S)\S++\s*+){0,3}$"
 # fixed values of the contract: character classes of its patterns
 _LOCAL, _LABEL = "A-Za-z0-9._%+-", "A-Za-z0-9-"
 
@@ -158,15 +160,19 @@ def _without_edges(x: Column) -> Column:
 
 def _mention(text: Column, span: Column, known: bool) -> Column:
     """What the graph needs of a span: its place, its text and its lexical patterns."""
-    # a window around the span: contexts are words, never whole texts
     low = F.greatest(F.lit(0), span["start"] - CONTEXT_CHARS)
-    left = F.lower(F.substring(text, low + 1, span["start"] - low))
-    left = F.regexp_replace(left, r"\($", "")  # a bracket around the span is no word
-    right = F.lower(F.substring(text, span["end"] + 1, F.lit(CONTEXT_CHARS)))
-    two = F.regexp_extract(left, r"(\S+)\s+(\S+)\s+$", 0)
-    one = F.regexp_extract(left, r"(\S+)\s+$", 1)
+    near = F.regexp_replace(F.substring(text, low + 1, span["start"] - low), r"\($", "")  # a bracket around the span is no word
+    # blanks that end before the window does show that two words stand whole in it
+    whole = (low == 0) | F.rlike(near, F.lit(r"\s\S+\s+\S+\s*$"))
+    before = F.regexp_replace(F.substring(text, F.lit(1), span["start"]), r"\($", "")
+    left = F.lower(F.when(whole, near).otherwise(F.regexp_extract(before, _LAST_WORDS, 0)))
+    near = F.substring(text, span["end"] + 1, F.lit(CONTEXT_CHARS))
+    whole = (F.length(near) < CONTEXT_CHARS) | F.rlike(near, F.lit(r"^\s*\S+\s"))
+    right = F.lower(F.when(whole, near).otherwise(F.regexp_extract(F.substr(text, span["end"] + 1), r"^\s*+\S*+", 0)))
+    two = F.regexp_extract(left, r"(?<!\S)\S++\s++\S++\s++$", 0)
+    one = F.regexp_extract(left, r"(?<!\S)(\S++)\s++$", 1)
     after = F.regexp_extract(right, r"^\s+(\S+)", 1)
-    label = F.regexp_extract(left, r"([^\s:=#]+[:=#])\s*$", 1)
+    label = F.regexp_extract(left, r"(?<![^\s:=#])([^\s:=#]++[:=#])\s*+$", 1)
     folded = F.regexp_replace(F.trim(two), r"\s+", " ")
     return F.struct(
         span["start"].alias("start"),

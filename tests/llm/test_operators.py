@@ -789,3 +789,36 @@ def test_long_words_merge_in_time():
     word = "".join(rng.choice(list("abcdeinorst"), 200_000))
     assert speculator.merged(speculator.symbols(word)) == Tokenizer.from_file(WORD_BPE).encode(word, add_special_tokens=False).ids
     assert time.monotonic() - started < 60
+
+
+def plain_context(text, start, end):
+    """The lexical patterns of a span, from all of the text."""
+    left = re.sub(r"\($", "", text[:start]).lower()
+    blank = left[-1:] in tuple(" \t\n")
+    words = left.split()
+    after = text[end:].lower()
+    right = after.split()[:1] if after[:1] in tuple(" \t\n") else []
+    label = re.search(r"[^\s:=#]+[:=#]\s*\Z", " ".join(words[-1:]) + (" " if blank else ""))
+    return [
+        f"{words[-2]} {words[-1]} _" if blank and len(words) > 1 else None,
+        f"{words[-1]} _ {right[0]}" if blank and words and right else None,
+        f"{label[0].strip()} _" if label else None,
+    ]
+
+
+def test_pii_contexts_are_whole_words_of_any_length(spark):
+    long, mail = "w" * 5000, "a@b.cd"
+    texts = [
+        f"{long} {mail} {long}", f"x {long} {mail}", f"{long} {long} {mail} {long} y", f"one two {mail} three four", f"{long}: {mail}",
+        f"k{'v' * 90}= {mail} z", f"a {' ' * 300}b {' ' * 300}{mail}{' ' * 300}c", f"mail it ({mail}) now", f"{'q' * 79} at {mail}", mail,
+        f"p {'q' * 74} at ({mail}", f"{'u ' * 60}{mail} {'é' * 80} é", f"{'u ' * 60}{mail} {'é' * 79} é",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: [m for m in r.mentions if m.known] for r in pii.facts(docs).select("doc_id", "mentions").collect()}
+    for i, text in enumerate(texts):
+        (mention,) = found[i]
+        assert mention.instance == mail
+        assert mention.patterns == plain_context(text, mention.start, mention.end), i
+    huge = spark.createDataFrame([(1, f"{'L' * 200000} {mail} {'R' * 200000}")], "doc_id bigint, text string")
+    (mention,) = pii.facts(huge).select("mentions").first().mentions
+    assert [p and len(p) for p in mention.patterns] == [None, 400003, None]
