@@ -30,7 +30,7 @@ from dosecast.llm.common import WORD_BPE, id_text, id_type, loaded, prepare
 from dosecast.llm.pretokens import WordBpe
 
 KEPT_WORDS = 300_000
-KEPT_PIECES = 600_000
+KEPT_PIECES = 100_000
 NEVER = 1 << 30
 #: Symbols from which a word's pairs are kept in a heap instead of looked through at each merge.
 HEAP_FROM = 100
@@ -196,7 +196,8 @@ class Encoder:
     def __init__(self, path: str):
         self.bpe: Speculator = loaded(Speculator, path)
         self.ids: dict[str, tuple[int, ...]] = {}
-        self.of_piece: dict[str, list[int]] = {}
+        self.of_piece: dict[str, tuple[int, ...]] = {}
+        self.one = {i: i for i in self.bpe.token}  # one object per id, however many words hold it
 
     def __call__(self, texts: list[str]) -> list[list[int]]:
         text = self.bpe.text
@@ -210,9 +211,11 @@ class Encoder:
         if len(of_piece) > KEPT_PIECES:
             of_piece.clear()
         distinct = list(dict.fromkeys(p for ps in pieces.values() for p in ps if p not in of_piece))
-        of_piece.update(zip(distinct, self.bpe.encode_words([text.symbols(p) for p in distinct])))
+        one = self.one
+        for piece, ids in zip(distinct, self.bpe.encode_words([text.symbols(p) for p in distinct]), strict=True):
+            of_piece[piece] = tuple([one[i] for i in ids])
         for word, own in pieces.items():
-            known[word] = tuple(i for p in own for i in of_piece[p])
+            known[word] = of_piece[own[0]] if len(own) == 1 else tuple([i for p in own for i in of_piece[p]])
         out = []
         for doc in parts:
             ids: list[int] = []
