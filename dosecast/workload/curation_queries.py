@@ -480,5 +480,5 @@ def whole_overwrite(spark, sf_dir):
 def forecast_csv(spark, sf_dir):
     """The forecast written as CSV and read back with its schema."""
     path = fresh_path(spark, "forecast-csv")
-    sinks.write_csv(fq.forecast(spark, sf_dir), path)
+    sinks.write_csv(fq.forecast(spark, sf_dir), path, "gzip")
     return spark.read.schema(fixed.FORECAST_SCHEMA).option("header", "true").csv(path)
