@@ -6,39 +6,61 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LEVELS = {"depot": "parent_depot", "site": "site_id", "study": "study_name"}
-
-
-def _measures(n_visits: Column | None = None) -> list[Column]:
-    # a subject number is unique within its study only
-    subject = F.struct("study_name", "subject_number")
-    return [
-        F.sum("dispensing_quantity").cast("bigint").alias("quantity"),
-        (F.count(F.lit(1)) if n_visits is None else n_visits).alias("n_visits"),
-        F.count_distinct(subject).alias("n_subjects"),
-    ]
+_SUBJECT = ("study_name", "subject_number")
 
 
 def _by_month(forecast_rows: DataFrame) -> DataFrame:
     return forecast_rows.withColumn("month", F.trunc("predicted_next_visit_date", "month"))
 
 
+def _subject_months(forecast_rows: DataFrame, *levels: str) -> DataFrame:
+    """One row per subject, ``levels``, drug and month. A subject number is unique within its study only.
+
+    A forecast sits by study and subject, so this needs no shuffle, and what follows counts rows in place of distinct subjects.
+    """
+    keys = dict.fromkeys((*_SUBJECT, *levels, "drug_dispensed", "month"))
+    return _by_month(forecast_rows).groupBy(*keys).agg(
+        F.sum("dispensing_quantity").alias("_quantity"), F.count(F.lit(1)).alias("_visits")
+    )
+
+
+def _totals() -> list[Column]:
+    """Measures out of one row per subject and cell."""
+    return [
+        F.sum("_quantity").cast("bigint").alias("quantity"),
+        F.sum("_visits").alias("n_visits"),
+        F.count(F.lit(1)).alias("n_subjects"),
+    ]
+
+
 def demand(forecast_rows: DataFrame, level: str) -> DataFrame:
     """Quantity, visits and subjects per ``level``, drug and month."""
-    return _by_month(forecast_rows).groupBy(LEVELS[level], "drug_dispensed", "month").agg(*_measures())
+    rows = _subject_months(forecast_rows, LEVELS[level])
+    return rows.groupBy(LEVELS[level], "drug_dispensed", "month").agg(*_totals())
 
 
 def demand_all_levels(forecast_rows: DataFrame) -> DataFrame:
     """The three rollups in one pass over the forecast; ``level`` tells them apart.
 
-    Visits become one row per subject, drug and month before the grouping sets triple them. A forecast already sits by
-    study, subject and drug, so that step needs no shuffle.
+    Visits become one row per subject, depot, site, drug and month, and then one per subject and cell of each level, all where
+    the subject is. Only sums per cell and task are shuffled.
     """
-    level_columns = list(LEVELS.values())
-    subject_months = _by_month(forecast_rows).groupBy(*level_columns, "subject_number", "drug_dispensed", "month")
-    rows = subject_months.agg(
-        F.sum("dispensing_quantity").alias("dispensing_quantity"), F.count(F.lit(1)).alias("visits")
-    ).withColumn("study", F.col("study_name"))
-    return _by_level(rows, _measures(F.sum("visits")))
+    rows = _subject_months(forecast_rows, *LEVELS.values())
+    cell = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("level"), *[
+            (F.col(c) if LEVELS[name] == c else F.lit(None).cast(kind)).alias(f"_{c}")
+            for c, kind in rows.select(*LEVELS.values()).dtypes
+        ])
+        for name in LEVELS
+    ]))
+    cells = [f"_{c}" for c in LEVELS.values()]
+    each = rows.select(*_SUBJECT, "drug_dispensed", "month", "_quantity", "_visits", cell.alias("_cell"))
+    each = each.select("*", "_cell.*").drop("_cell")
+    per_subject = each.groupBy(*_SUBJECT, "drug_dispensed", "month", "level", *cells).agg(
+        F.sum("_quantity").alias("_quantity"), F.sum("_visits").alias("_visits")
+    )
+    out = per_subject.groupBy("level", *cells, "drug_dispensed", "month").agg(*_totals())
+    return out.withColumnsRenamed({f"_{c}": c for c in LEVELS.values()})
 
 
 def _by_level(rows: DataFrame, measures: list[Column], more: tuple[str, ...] = ()) -> DataFrame:
@@ -58,7 +80,8 @@ def _by_level(rows: DataFrame, measures: list[Column], more: tuple[str, ...] = (
 
 # ---- rollups that grow by parts -----------------------------------------------------------------
 
-_SUBJECT = ("study_name", "subject_number")
+#: Visits of a part that one task counts.
+VISITS = 500_000
 _CELL = ("level", *LEVELS.values(), "drug_dispensed", "month")
 
 
@@ -82,11 +105,13 @@ def number_subjects(forecast_rows: DataFrame, known: DataFrame | None = None) ->
 def demand_part(forecast_rows: DataFrame, numbers: DataFrame) -> DataFrame:
     """The three rollups of some visits as a part that merges with others: sums, and subjects as bitmaps of their numbers.
 
-    A row holds the subjects of one bucket of 32,768 numbers, so no bitmap grows beyond 4 KB.
+    A row holds the subjects of one bucket of 32,768 numbers, so no bitmap grows beyond 4 KB. Stored visits may come in splits
+    of any number of rows, so they are counted and dealt over as many tasks as that needs, by subject and again by the
+    cells that bitmaps are made for.
     """
-    subject_months = _by_month(forecast_rows).groupBy(*LEVELS.values(), "subject_number", "drug_dispensed", "month").agg(
-        F.sum("dispensing_quantity").alias("_quantity"), F.count(F.lit(1)).alias("_visits")
-    )
+    spark = forecast_rows.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, -(-forecast_rows.count() // VISITS))
+    subject_months = _subject_months(forecast_rows.repartition(tasks, *_SUBJECT), *LEVELS.values())
     wanted = numbers.select(F.col("study_name").alias("_study"), F.col("subject_number").alias("_subject"), "number")
     same = F.col("study_name").eqNullSafe(F.col("_study")) & F.col("subject_number").eqNullSafe(F.col("_subject"))
     rows = subject_months.join(wanted, same).select(
@@ -98,7 +123,7 @@ def demand_part(forecast_rows: DataFrame, numbers: DataFrame) -> DataFrame:
         F.sum("_visits").alias("n_visits"),
         F.bitmap_construct_agg("_bit").alias("subjects"),
     ]
-    return _by_level(rows, measures, ("bucket",))
+    return _by_level(rows.repartition(tasks, "bucket", "drug_dispensed", "month"), measures, ("bucket",))
 
 
 def merge_demand(parts: DataFrame) -> DataFrame:
