@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +68,7 @@ class Speculator:
         suffix = self.suffix
         self.inner = {t: i for t, i in own if not suffix or not t.endswith(suffix)}
         self.final = {t[: len(t) - len(suffix)]: i for t, i in own if suffix and t.endswith(suffix)}
-        self.longest_inner = max(map(len, self.inner), default=1)
+        self.inner_lengths = _lengths(self.inner)
         self.longest_final = max(map(len, self.final), default=1)
 
     def _spines(self, made, side: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,19 +141,25 @@ class Speculator:
     def proposed(self, word: str) -> list[int] | None:
         """Longest match from the left; None where some symbol has no token."""
         inner, final, end = self.inner, self.final, len(word)
+        lengths, suffix = self.inner_lengths, self.suffix
         at, out = 0, []
         while at < end:
             if end - at <= self.longest_final and (found := final.get(word[at:])) is not None:
                 out.append(found)
                 return out
             # the last symbol carries the end of the word, so inner tokens stop before it
-            stop = min(end - 1 if self.suffix else end, at + self.longest_inner)
-            while stop > at and (found := inner.get(word[at:stop])) is None:
-                stop -= 1
-            if stop <= at:
-                return None
+            room = (end - 1 if suffix else end) - at
+            for n in lengths.get(word[at : at + 3], ()) if room > 2 else ():
+                if n <= room and (found := inner.get(word[at : at + n])) is not None:
+                    break
+            else:
+                n = 2
+                if room < 2 or (found := inner.get(word[at : at + 2])) is None:
+                    n = 1
+                    if room < 1 or (found := inner.get(word[at])) is None:
+                        return None
             out.append(found)
-            at = stop
+            at += n
         return out
 
     def compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -190,6 +197,15 @@ class Speculator:
         return guesses
 
 
+def _lengths(tokens: Iterable[str]) -> dict[str, tuple[int, ...]]:
+    """Lengths of the tokens of three symbols or more by their first three, the longest first."""
+    found: dict[str, set[int]] = {}
+    for token in tokens:
+        if len(token) > 2:
+            found.setdefault(token[:3], set()).add(len(token))
+    return {start: tuple(sorted(lengths, reverse=True)) for start, lengths in found.items()}
+
+
 class Encoder:
     """Ids of whole texts; what new words of a batch give is kept for later ones."""
 
@@ -205,7 +221,7 @@ class Encoder:
         known = self.ids
         if len(known) > KEPT_WORDS:
             known.clear()
-        new = dict.fromkeys(w for doc in parts for s, ws in doc if not s for w in ws if w not in known)
+        new = set().union(*[ws for doc in parts for s, ws in doc if not s]).difference(known)
         pieces = {w: text.pieces(w) for w in new}
         of_piece = self.of_piece
         if len(of_piece) > KEPT_PIECES:
@@ -223,8 +239,7 @@ class Encoder:
                 if special:
                     ids.append(text.special[part])
                 else:
-                    for word in part:
-                        ids.extend(known[word])
+                    ids.extend(chain.from_iterable(map(known.__getitem__, part)))
             out.append(ids)
         return out
 
@@ -266,7 +281,7 @@ def digests(docs: DataFrame, tokenizer: str = WORD_BPE) -> DataFrame:
                 {
                     "doc_id": batch.column("doc_id"),
                     "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
-                    "ids_sha256": pa.array([_sha(" ".join([number[i] for i in x])) for x in ids]),
+                    "ids_sha256": pa.array([_sha(" ".join(map(number.__getitem__, x))) for x in ids]),
                     "decoded_sha256": pa.array([_sha(bpe_text(encoder.bpe, x)) for x in ids]),
                 }
             )
@@ -283,8 +298,7 @@ def encoded(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[tup
 
 
 def bpe_text(bpe: Speculator, ids: list[int]) -> str:
-    token = bpe.token
-    return " ".join([token[i] for i in ids])
+    return " ".join(map(bpe.token.__getitem__, ids))
 
 
 def _sha(text: str) -> str:

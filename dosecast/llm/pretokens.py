@@ -52,6 +52,8 @@ class WordBpe:
 
     def symbols(self, piece: str) -> str:
         """The piece as one character for each UTF-8 byte."""
+        if piece.isascii() and piece.isprintable() and " " not in piece:
+            return piece
         return piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.byte_symbols)
 
 
