@@ -8,9 +8,13 @@ their headers differently, order them differently, lack some and add some. Files
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import os
+import re
+import uuid
+from collections.abc import Callable, Iterable
+from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from dosecast import fixed_values as fixed
@@ -28,6 +32,9 @@ STAMP = dt.datetime(2024, 3, 1, 6, 0)
 STUDIES = 4
 DATES = ("20240101", "20240201")
 ROWS_PER_FILE = 50_000
+KEYS = ("extract", "folder", "name")
+#: Files of a few lines that one task writes.
+FILES_PER_TASK = 500
 
 
 def params(root: str, **kw) -> CurationParams:
@@ -94,19 +101,68 @@ def per_study(make: Callable[[int], str]) -> Column:
 def write(rows: DataFrame, label: str) -> str:
     """One file per (extract, folder, name), lines by ``ord``; returns the root."""
     root = fresh_path(rows.sparkSession, label)
-    keys = ["extract", "folder", "name"]
-    ordered = rows.repartition(*keys).sortWithinPartitions(*keys, "ord").select("extract", "folder", "name", "line")
-    ordered.write.partitionBy(*keys).text(root)
+    ordered = rows.repartition(*KEYS).sortWithinPartitions(*KEYS, "ord").select(*KEYS, "line")
+    ordered.write.partitionBy(*KEYS).text(root)
     return root
 
 
+def write_small(rows: DataFrame, label: str) -> str:
+    """``write`` for very many files of a few lines each: the same folders and lines.
+
+    Files are dealt by their number: by size, all of them would come together in one task. In a local or mounted folder tasks write
+    with Python's own calls, since Hadoop's local file system starts a ``chmod`` process for each new folder, file and checksum.
+    """
+    spark = rows.sparkSession
+    root = fresh_path(spark, label)
+    rows = rows.withColumns({k: F.nullif(F.col(k), F.lit("")) for k in KEYS})
+    tasks = -(-rows.select(*KEYS).distinct().count() // FILES_PER_TASK)
+    tasks = max(tasks, spark.sparkContext.defaultParallelism)
+    ordered = rows.repartition(tasks, *KEYS).sortWithinPartitions(*KEYS, "ord").select(*KEYS, "line")
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file":
+        folder = at.toUri().getPath()
+        os.makedirs(folder)
+        ordered.foreachPartition(file_writer(folder))
+    else:
+        ordered.write.partitionBy(*KEYS).text(root)
+    return root
+
+
+def file_writer(root: str) -> Callable[[Iterable[Row]], None]:
+    """Writes rows, sorted by ``KEYS``, below ``root`` as Spark's text writer partitions them. A file appears whole or not at all.
+
+    Its functions are local, so that tasks get them by value and need not import this package.
+    """
+
+    def folder_value(value: str | None) -> str:
+        escaped = re.sub(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda c: f"%{ord(c[0]):02X}", value or "")
+        return escaped or "__HIVE_DEFAULT_PARTITION__"
+
+    def write_rows(rows: Iterable[Row]) -> None:
+        for keys, lines in groupby(rows, key=lambda row: tuple(row[k] for k in KEYS)):
+            folder = os.path.join(root, *[f"{k}={folder_value(v)}" for k, v in zip(KEYS, keys, strict=True)])
+            os.makedirs(folder, exist_ok=True)
+            hidden = os.path.join(folder, f".{uuid.uuid4().hex}")
+            with open(hidden, "w", encoding="utf-8", newline="") as file:
+                file.writelines(f"{row['line'] or ''}\n" for row in lines)
+            os.replace(hidden, os.path.join(folder, "part-00000.txt"))
+
+    return write_rows
+
+
 _written: dict[tuple[str, str, str], str] = {}
 
 
-def once(spark: SparkSession, sf_dir: str, label: str, make: Callable[[], DataFrame]) -> str:
+def once(
+    spark: SparkSession,
+    sf_dir: str,
+    label: str,
+    make: Callable[[], DataFrame],
+    writer: Callable[[DataFrame, str], str] = write,
+) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, label)
     if key not in _written:
-        _written[key] = write(make(), label)
+        _written[key] = writer(make(), label)
     return _written[key]
 
 
@@ -251,7 +307,7 @@ def _document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def faulty_extracts(spark: SparkSession, sf_dir: str) -> str:
-    return once(spark, sf_dir, "faulty-extracts", lambda: _faulty_lines(spark, sf_dir))
+    return once(spark, sf_dir, "faulty-extracts", lambda: _faulty_lines(spark, sf_dir), write_small)
 
 
 def _faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
