@@ -7,14 +7,26 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from itertools import chain, islice
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from dosecast.fixed_values import FILE_KINDS
 from dosecast.functions import text
+from dosecast.sources.staging import stage_all
+
+#: Files, or children of a date folder, that one reader is given: the driver holds all files of a reader.
+GROUP_FILES = 10_000
+#: What a task reads, where a file counts as ``FILE_BYTES`` at least.
+TASK_BYTES = 128 * 1024 * 1024
+FILE_BYTES = 512 * 1024
+_GLOB = set("*?[]{}\\")
 
 
 @dataclass(frozen=True)
@@ -51,12 +63,93 @@ def kind_glob(kind: str) -> str:
     return "{" + ",".join("*" + "*".join(o) + "*" + end for o in orders) + "}"
 
 
+def exactly(path: str) -> str:
+    """A pattern that only ``path`` itself fits."""
+    return "".join(f"\\{c}" if c in _GLOB else c for c in path)
+
+
+@contextmanager
+def _light_listing(spark: SparkSession) -> Iterator[None]:
+    """Readers made inside list with few tasks (else one for each path named) and leave no listing behind in the driver's cache."""
+    wanted = {
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism),
+        "spark.sql.hive.manageFilesourcePartitions": "false",
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def load_group(spark: SparkSession, reader: DataFrameReader, paths: list[str]) -> DataFrame:
+    """What ``reader`` makes of one group of paths, given as patterns."""
+    # ``reader.load`` would send each path to Java by a call of its own, which takes longer than reading small files
+    names = spark._jvm.java.util.regex.Pattern.compile("\n").split("\n".join(paths))
+    with _light_listing(spark):
+        if len(names) != len(paths):  # a name holds a line feed
+            return reader.load(paths)
+        return DataFrame(reader._jreader.load(names), spark)
+
+
+def file_groups(files: DataFrame) -> Iterator[tuple[list[str], int]]:
+    """The distinct paths of ``files``, a group at a time, and in how many tasks to read each group.
+
+    They come by way of the driver, which holds one group. Without a column ``length`` a file may have a task of its own.
+    """
+    length = F.greatest("length", F.lit(FILE_BYTES)) if "length" in files.columns else F.lit(TASK_BYTES)
+    files = files.groupBy("path").agg(F.max(length).alias("cost"))
+    parts = files.repartition(-(-files.count() // GROUP_FILES) or 1, "path")
+    rows = parts.toLocalIterator()
+    while group := list(islice(rows, GROUP_FILES)):
+        yield [exactly(r["path"]) for r in group], -(-sum(r["cost"] for r in group) // TASK_BYTES)
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark's listing passes over."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+
+def _children(spark: SparkSession, path: str) -> Iterator[str]:
+    """Patterns of the children of a folder, in no order; of anything else, ``path`` itself."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if set(path) & _GLOB or not system.isDirectory(at):
+        yield path
+    elif system.getUri().getScheme() == "file":
+        # Hadoop's local file system makes a list of all
+        with os.scandir(system.makeQualified(at).toUri().getPath()) as entries:
+            names = (entry.name for entry in entries)
+            yield from (exactly(f"{path.rstrip('/')}/{name}") for name in names if not _hidden(name))
+    else:
+        entries = system.listStatusIterator(at)
+        while entries.hasNext():
+            child = entries.next().getPath()
+            if not _hidden(child.getName()):
+                yield exactly(child.toString())
+
+
 def list_files(spark: SparkSession, *paths: str, glob: str | None = None) -> DataFrame:
-    """Path, modification time and size of all files below ``paths``; contents stay unread."""
+    """Path, modification time and size of all files below ``paths``; contents stay unread.
+
+    Beyond ``GROUP_FILES`` children (study folders, say) these are listed by groups, each written before the next.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(list(paths)).select("path", "modificationTime", "length")
+    columns = ["path", "modificationTime", "length"]
+    children = chain.from_iterable(_children(spark, path) for path in paths)
+    first = list(islice(children, GROUP_FILES + 1))
+    if len(first) <= GROUP_FILES:
+        return reader.load(list(paths)).select(columns)
+    children = chain(first, children)
+    del first
+    groups = iter(lambda: list(islice(children, GROUP_FILES)), [])
+    tasks = -(-GROUP_FILES * FILE_BYTES // TASK_BYTES)
+    return stage_all((load_group(spark, reader, group).select(columns).coalesce(tasks) for group in groups), "listed-files")
 
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"

@@ -10,19 +10,22 @@ Small files without line breaks in cells are cut into lines in place: one narrow
 by many tasks. Its lines are numbered within each split and staged, since a later pass may cut splits
 elsewhere. Quote state then runs along each split and along the list of splits: no step holds a file
 in one task. A file that ends inside quotes is known from its splits and rejected before its lines are
-put together. Carriage returns alone do not make a file splittable: up to the next line feed, it is one line to
+put together. Many files are read by groups, so that the driver never lists them all. Carriage returns alone do not make a file splittable: up to the next line feed, it is one line to
 Spark's reader.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dosecast.functions import csv_text
 from dosecast.operators.joins import dimension_join
-from dosecast.sources.staging import stage
+from dosecast.sources import discovery
+from dosecast.sources.staging import stage, stage_all
 
 MAX_HEADER_ROWS = 10
 WHOLE_BYTES = 16 * 1024 * 1024
@@ -48,13 +51,27 @@ def _is_blank(record: Column) -> Column:
 
 
 def _few_paths(files: DataFrame) -> list[str] | None:
-    """The paths, if they are few enough to name to a reader and free of glob characters; else None.
+    """Patterns of the paths, if they are few enough to name to one reader; else None."""
+    paths = [r["path"] for r in files.select("path").limit(FEW_FILES + 1).collect()]
+    return [discovery.exactly(p) for p in paths] if len(paths) <= FEW_FILES else None
+
+
+def _staged_reads(
+    spark: SparkSession, reader: DataFrameReader, files: DataFrame, read: Callable[[DataFrame, int | None], DataFrame], label: str
+) -> DataFrame:
+    """What ``read`` makes of the named files, and only of these, staged. It is given a reader's frame and a number of tasks, if any.
 
-    Naming them reads nothing else. Without, the folders are read and the wanted files picked by a join.
+    Many files are read by groups, each written before the next is listed: the driver never has all of them.
     """
-    paths = [r["path"] for r in files.select("path").limit(FEW_FILES + 1).collect()]
-    plain = len(paths) <= FEW_FILES and not any(set(p) & set("*?[]{}\\") for p in paths)
-    return paths if plain else None
+    few = _few_paths(files)
+    if few is not None:
+        return stage(read(reader.load(few), None), label)
+    groups = discovery.file_groups(files)
+    return stage_all((read(discovery.load_group(spark, reader, paths), tasks) for paths, tasks in groups), label)
+
+
+def _in_tasks(df: DataFrame, tasks: int | None) -> DataFrame:
+    return df.coalesce(tasks) if tasks else df
 
 
 def read_ragged_csv(
@@ -65,42 +82,37 @@ def read_ragged_csv(
     max_rows: int = MAX_HEADER_ROWS,
     whole_bytes: int = WHOLE_BYTES,
 ) -> DataFrame:
-    """Records of the files below ``paths``; of those in ``chosen`` (column ``path``) if given."""
-    few = None if chosen is None else _few_paths(chosen)
+    """Records of the files below ``paths``; of those in ``chosen`` (column ``path``, better with ``length``) if given."""
+    chosen = discovery.list_files(spark, *paths, glob=glob) if chosen is None else chosen
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob and not few:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(few or paths).select("path", "length", "content", F.col("_metadata.file_path").alias("uri"))
-    if chosen is not None and not few:
-        wanted = chosen.select(F.col("path").alias("_wanted"))
-        files = dimension_join(files, wanted, {"_wanted": F.col("path")}, "left_semi")
-    checked = _cut_in_place(files.where(F.col("length") <= whole_bytes), max_rows)
-    # one pass over the files: records, or for a file with breaks in cells a row that only names it
-    numbered = F.transform("body", lambda line, at: F.struct(at.alias("at"), line.alias("record")))
-    filled = F.filter(numbered, lambda x: ~_is_blank(x["record"]))
-    first_pass = stage(
-        checked.withColumn("_line", F.explode_outer(filled)).select(
-            "path", "uri", "header", "error", "header_at", "multi_line", "_line.*"
-        ),
-        "csv-first-pass",
-    )
+
+    # one pass over the files: records, or for a large file or one with breaks in cells a row that only names it
+    def cut(found: DataFrame, tasks: int | None) -> DataFrame:
+        files = found.select("path", "length", "content", F.col("_metadata.file_path").alias("uri"))
+        numbered = F.transform("body", lambda line, at: F.struct(at.alias("at"), line.alias("record")))
+        filled = F.filter(numbered, lambda x: ~_is_blank(x["record"]))
+        checked = _cut_in_place(files.where(F.col("length") <= whole_bytes), max_rows)
+        lines = checked.withColumn("_line", F.explode_outer(filled)).select(
+            "path", "uri", "length", "header", "error", "header_at", "multi_line", "_line.*"
+        )
+        large = files.where(F.col("length") > whole_bytes).select("path", "uri", "length", F.lit(True).alias("multi_line"))
+        return _in_tasks(lines.unionByName(large, allowMissingColumns=True), tasks)
+
+    first_pass = _staged_reads(spark, reader, chosen, cut, "csv-first-pass")
     narrow = first_pass.where(~F.col("multi_line")).select(
         "path", "header", (F.col("header_at") + F.col("at")).alias("line_no"), "record", "error"
     )
-    split = (
-        first_pass.where("multi_line").select("path", "uri")
-        .unionByName(files.where(F.col("length") > whole_bytes).select("path", "uri"))
-    )
+    split = first_pass.where("multi_line").select("path", "uri", "length")
     if split.isEmpty():
         return narrow
-    return narrow.unionByName(_read_splits(spark, paths, stage(split, "split-files"), glob, max_rows))
+    return narrow.unionByName(_read_splits(spark, stage(split, "split-files"), max_rows))
 
 
 def _cut_in_place(files: DataFrame, max_rows: int) -> DataFrame:
     """Per small file: header, body lines, error, and whether some cell holds a line break."""
     content = F.col("content").cast("string")
     lines = F.split(content, "\r\n|\n|\r")
-    cut = files.select("path", "uri", F.is_valid_utf8(content).alias("_valid"), lines.alias("_lines"))
+    cut = files.select("path", "uri", "length", F.is_valid_utf8(content).alias("_valid"), lines.alias("_lines"))
     head = F.slice("_lines", 1, max_rows)
     # 1-based position, 0 for none
     cut = cut.withColumn("header_at", F.array_position(F.transform(head, csv_text.is_header), F.lit(True)).cast("int"))
@@ -121,7 +133,7 @@ def _cut_in_place(files: DataFrame, max_rows: int) -> DataFrame:
     )
     cut = cut.withColumn("error", error)
     return cut.select(
-        "path", "uri", "header", "header_at", "multi_line", "error",
+        "path", "uri", "length", "header", "header_at", "multi_line", "error",
         F.when(F.col("error").isNull() & ~F.col("multi_line"), F.col("_body")).alias("body"),
     )
 
@@ -148,33 +160,29 @@ def _running_state(df: DataFrame, part: list[str], order: str, closed: str, open
     return df.withColumns({"after_closed": after(0), "after_opened": after(1)}).drop("_flips", "_set")
 
 
-def _numbered_lines(spark: SparkSession, paths: list[str], split: DataFrame, glob: str | None) -> DataFrame:
-    few = _few_paths(split)
-    reader = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n")
-    if glob and not few:
-        reader = reader.option("pathGlobFilter", glob)
-    lines = reader.text(few or paths).select(
-        F.col("_metadata.file_path").alias("uri"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("seq"),
-        F.is_valid_utf8("value").alias("valid"),  # patterns mend bad bytes, so this comes first
-        "value",
-    )
+def _numbered_lines(spark: SparkSession, split: DataFrame) -> DataFrame:
+    reader = spark.read.format("text").option("recursiveFileLookup", "true").option("lineSep", "\n")
     # each line keeps its end, so that records can be put together again
     ended = F.split(F.concat("value", F.lit("\n")), r"(?<=\r)(?!\n)")
-    lines = lines.select("uri", "block", "seq", "valid", F.posexplode(ended).alias("part", "line"))
     # lines of one split are read in order by one task, so seq orders them; a split is bounded in bytes
     w = W.partitionBy("uri", "block").orderBy("seq", "part")
-    if not few:
-        wanted = split.select(F.col("uri").alias("_wanted"))
-        lines = dimension_join(lines, wanted, {"_wanted": F.col("uri")}, "left_semi")
-    return stage(lines.withColumn("at", F.row_number().over(w) - 1).drop("seq", "part"), "csv-lines")
 
+    def number(found: DataFrame, tasks: int | None) -> DataFrame:
+        lines = found.select(
+            F.col("_metadata.file_path").alias("uri"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("seq"),
+            F.is_valid_utf8("value").alias("valid"),  # patterns mend bad bytes, so this comes first
+            "value",
+        )
+        lines = _in_tasks(lines, tasks).select("uri", "block", "seq", "valid", F.posexplode(ended).alias("part", "line"))
+        return lines.withColumn("at", F.row_number().over(w) - 1).drop("seq", "part")
 
-def _read_splits(
-    spark: SparkSession, paths: list[str], split: DataFrame, glob: str | None, max_rows: int
-) -> DataFrame:
-    lines = _numbered_lines(spark, paths, split, glob)
+    return _staged_reads(spark, reader, split, number, "csv-lines")
+
+
+def _read_splits(spark: SparkSession, split: DataFrame, max_rows: int) -> DataFrame:
+    lines = _numbered_lines(spark, split)
     may_head = (F.col("at") < max_rows) & csv_text.is_header(_without_end(F.col("line")))
     by_block = W.partitionBy("uri").orderBy("block")
     before = by_block.rowsBetween(W.unboundedPreceding, -1)
