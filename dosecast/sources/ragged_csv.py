@@ -10,8 +10,10 @@ Small files without line breaks in cells are cut into lines in place: one narrow
 by many tasks. Its lines are numbered within each split and staged, since a later pass may cut splits
 elsewhere. Quote state then runs along each split and along the list of splits: no step holds a file
 in one task. A file that ends inside quotes is known from its splits and rejected before its lines are
-put together. Many files are read by groups, so that the driver never lists them all. Carriage returns alone do not make a file splittable: up to the next line feed, it is one line to
+put together. Carriage returns alone do not make a file splittable: up to the next line feed, it is one line to
 Spark's reader.
+
+Many files are read by groups, so that the driver never lists them all.
 """
 
 from __future__ import annotations

@@ -36,15 +36,16 @@ def test_no_reader_holds_more_than_a_group_of_files(spark, tree, monkeypatch):
     held = []
 
     def watched(read):
-        def call(self, *args, **kw):
-            df = read(self, *args, **kw)
+        def call(*args, **kw):
+            df = read(*args, **kw)
             held.append(len(df.inputFiles()))
             return df
 
         return call
 
-    for name in ("load", "text"):
-        monkeypatch.setattr(DataFrameReader, name, watched(getattr(DataFrameReader, name)))
+    for owner, name in ((DataFrameReader, "load"), (DataFrameReader, "text"), (discovery, "load_group")):
+        if hasattr(owner, name):
+            monkeypatch.setattr(owner, name, watched(getattr(owner, name)))
     settings = ("spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.hive.manageFilesourcePartitions")
     before = [spark.conf.get(key) for key in settings]
     params = curate.CurationParams(tree, r"AA-BB-\d+-\d+", dt.datetime(2024, 3, 1))
